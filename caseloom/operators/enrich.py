@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,7 +133,6 @@ def rule_reply(df: DataFrame, rules: RuleSet = DEFAULT_RULES,
 
 def model_reply_udf(reply_fn: Callable):
     """Wrap ``reply_fn(pd.Series[str]) -> pd.Series[str]`` as a pandas UDF."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def _call(prompts: pd.Series) -> pd.Series:

@@ -153,12 +153,14 @@ def summary_lookup(enrichment: DataFrame) -> DataFrame:
 
 
 def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_n: int = 3,
-                block_rows: int = 2048, num_blocks: int | None = None) -> DataFrame:
+                block_rows: int = 2048, num_blocks: int | None = None, n_rows: int | None = None) -> DataFrame:
     """OUT-8: for every embedding row, its ``top_n`` most similar other tickets.
 
     ``embeddings``: ticket_id, issue_category, embedding (array of numbers).
     ``enrichment``: ticket_id, customer_summary, next_best_action[, created_at]
     for the summary lookups; without it those columns are null.
+    ``n_rows``: an upper bound of the row count, used only to size the blocks;
+    when absent the input is counted (one extra pass).
     """
     spark = embeddings.sparkSession
     emb = embeddings.select(
@@ -175,7 +177,8 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
     distinct = distinct.withColumn("_uid", F.xxhash64(*content))
 
     if num_blocks is None:
-        n_rows = distinct.count()
+        if n_rows is None:
+            n_rows = distinct.count()
         num_blocks = choose_blocks(n_rows, block_rows, spark.sparkContext.defaultParallelism)
     b = int(num_blocks)
     staged = (

@@ -1,0 +1,99 @@
+"""The batch pipeline: raw → silver → model tables → gold → brief.
+
+Each stage reads the layer the previous stage wrote and writes its own, so a
+stage's lineage starts at stored files: a lost executor recomputes from the
+last written layer, and the 360 table is computed once, then both aggregates
+read it (OPT-9). Only these functions touch storage.
+"""
+
+from __future__ import annotations
+
+from typing import Callable
+
+from pyspark.sql import SparkSession
+
+from caseloom.config import PipelineConfig
+from caseloom.operators import brief, kpis, mart, reports, similarity, standardize
+from caseloom.operators.embed import embed
+from caseloom.operators.enrich import DEFAULT_RULES, RuleSet, enrich
+from caseloom.sinks.writers import export_csv, write_table, write_text
+from caseloom.sources.catalog import register_tables
+from caseloom.sources.raw import read_raw_csv, read_raw_json, read_table
+
+CSV_TABLES = ["orders", "shipments", "returns", "products"]
+
+
+def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    """OUT-1..5: typed silver tables as Parquet."""
+    counts = {}
+    for t in CSV_TABLES:
+        raw = read_raw_csv(spark, cfg.path("raw", t), t)
+        fn = standardize.STANDARDIZERS[t]
+        df = fn(raw, cfg.delay_hours_threshold) if t == "shipments" else fn(raw)
+        counts[t] = write_table(df, cfg.path("silver", t))
+    tickets = standardize.standardize_tickets(read_raw_json(spark, cfg.path("raw", "support_tickets")))
+    counts["support_tickets"] = write_table(tickets, cfg.path("silver", "support_tickets"))
+    return counts
+
+
+def run_tickets(spark: SparkSession, cfg: PipelineConfig, reply_fn: Callable | None = None,
+                rules: RuleSet = DEFAULT_RULES, vector_fn=None) -> dict[str, int]:
+    """OUT-6..8: enrichment, embeddings, top-N similar tickets."""
+    tickets = read_table(spark, cfg.path("silver", "support_tickets"))
+    counts = {"ticket_enrichment": write_table(enrich(tickets, reply_fn=reply_fn, rules=rules),
+                                               cfg.path("model", "ticket_enrichment"))}
+    enrichment = read_table(spark, cfg.path("model", "ticket_enrichment"))
+    counts["ticket_embeddings"] = write_table(embed(enrichment, cfg.embedding_dim, vector_fn),
+                                              cfg.path("model", "ticket_embeddings"))
+    embeddings = read_table(spark, cfg.path("model", "ticket_embeddings"))
+    pairs = similarity.top_matches(embeddings, enrichment, top_n=cfg.top_n,
+                                   block_rows=cfg.similarity_block_rows,
+                                   n_rows=counts["ticket_embeddings"])
+    counts["ticket_similarity"] = write_table(pairs, cfg.path("model", "ticket_similarity"))
+    return counts
+
+
+def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    """OUT-9..11: the 360 table once, then both aggregates from the stored copy."""
+    m = mart.order_support_360(
+        read_table(spark, cfg.path("silver", "orders")),
+        read_table(spark, cfg.path("silver", "shipments")),
+        read_table(spark, cfg.path("silver", "returns")),
+        read_table(spark, cfg.path("model", "ticket_enrichment")),
+        read_table(spark, cfg.path("model", "ticket_similarity")),
+        threshold=cfg.delay_hours_threshold,
+    )
+    counts = {"order_support_360": write_table(m, cfg.path("gold", "order_support_360"))}
+    stored = read_table(spark, cfg.path("gold", "order_support_360"))
+    counts["issue_kpis"] = write_table(kpis.issue_kpis(stored), cfg.path("gold", "issue_kpis"))
+    counts["city_issue_hotspots"] = write_table(kpis.city_issue_hotspots(stored),
+                                                cfg.path("gold", "city_issue_hotspots"))
+    return counts
+
+
+def run_brief(spark: SparkSession, cfg: PipelineConfig, brief_fn: Callable | None = None,
+              export_csv_copies: bool = False) -> dict[str, int]:
+    """OUT-12 (and SNK-5..8): register the tables, query, write the brief."""
+    register_tables(spark, cfg)
+    kpi_top = reports.run_report_sql(spark, "brief_kpi_top10") if cfg.brief_limit == 10 else \
+        reports.brief_kpi_top(spark.table("issue_kpis"), cfg.brief_limit)
+    hot_top = reports.run_report_sql(spark, "brief_hotspot_top10") if cfg.brief_limit == 10 else \
+        reports.brief_hotspot_top(spark.table("city_issue_hotspots"), cfg.brief_limit)
+    counts = {"daily_ops_brief": write_text(brief.daily_brief(kpi_top, hot_top, brief_fn),
+                                            cfg.path("gold", "daily_ops_brief"), "brief")}
+    if export_csv_copies:
+        for name in ("issue_kpis", "city_issue_hotspots"):
+            counts[f"{name}_csv"] = export_csv(spark.table(name), cfg.path("gold", f"{name}_csv"),
+                                               single_file=True)
+    return counts
+
+
+def run_all(spark: SparkSession, cfg: PipelineConfig, **kwargs) -> dict[str, int]:
+    """All stages in order (what the state machine of the source ran)."""
+    counts = {}
+    counts.update(run_silver(spark, cfg))
+    counts.update(run_tickets(spark, cfg, reply_fn=kwargs.get("reply_fn"),
+                              rules=kwargs.get("rules", DEFAULT_RULES), vector_fn=kwargs.get("vector_fn")))
+    counts.update(run_gold(spark, cfg))
+    counts.update(run_brief(spark, cfg, brief_fn=kwargs.get("brief_fn")))
+    return counts

@@ -71,9 +71,16 @@ def ticket_embeddings(spark, d, enrichment=None):
         "ticket_id", "order_id", "issue_category", "embedding")
 
 
+def _vector_count(spark, d):
+    # block sizing needs only the order of magnitude: the source table's row count
+    # (answered from Parquet footers) bounds the number of vectors
+    return analog.table(spark, d, "embeddings").count()
+
+
 def ticket_similarity(spark, d, enrichment=None):
     enrichment = enrichment if enrichment is not None else ticket_enrichment(spark, d)
-    return similarity.top_matches(ticket_embeddings(spark, d, enrichment), enrichment, top_n=3)
+    return similarity.top_matches(ticket_embeddings(spark, d, enrichment), enrichment, top_n=3,
+                                  n_rows=_vector_count(spark, d))
 
 
 def conversation_enrichment(spark, d):
@@ -87,7 +94,8 @@ def conversation_embeddings(spark, d, enrichment=None):
 
 def conversation_similarity(spark, d):
     enrichment = conversation_enrichment(spark, d)
-    return similarity.top_matches(conversation_embeddings(spark, d, enrichment), enrichment, top_n=3)
+    n = analog.table(spark, d, "conversations").count()  # turns bound the tickets
+    return similarity.top_matches(conversation_embeddings(spark, d, enrichment), enrichment, top_n=3, n_rows=n)
 
 
 # ---------------------------------------------------------------- gold layer
@@ -154,7 +162,7 @@ def _parse_model_reply(spark, d):
 
 
 def _redact_documents(spark, d):
-    docs = analog.table(spark, d, "documents")
+    docs = analog.table(spark, d, "documents", spread_by="doc_id")
     return docs.select("doc_id", redact(F.col("text")).alias("redacted_text"))
 
 

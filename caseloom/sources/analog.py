@@ -37,8 +37,22 @@ PROMISED_DELIVERY_DAYS = 5
 _TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, spread_by) if spread_by else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a scan by ``key`` when it comes in fewer files than cores.
+
+    Used before per-row work that is CPU-heavy (JSON, regex over long text). A
+    single small file is a single split, so that work would otherwise run in one
+    task. Real inputs arrive as many files and are left alone (no extra shuffle).
+    Hash partitioning needs no sort and is deterministic under retries."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < cores:
+        return df.repartition(cores, key)
+    return df
 
 
 def ts_text(col: Column | str) -> Column:
@@ -204,7 +218,7 @@ def _message(k: Column, event_id: Column, user_id: Column, event_type: Column) -
 
 def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw support tickets (text columns) plus the simulated model ``reply``."""
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events", spread_by="event_id")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
     df = events.join(orders, F.col("event_id") == F.col("o_orderkey")).withColumn("_k", k)
