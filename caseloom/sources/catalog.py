@@ -1,7 +1,8 @@
 """SQL names for the stored tables (SNK-5..8, SRC-5).
 
 ``register_tables`` is idempotent: database and tables are created only if
-missing, over the Parquet folders the pipeline wrote. Reports then run as
+missing, over the Parquet folders the pipeline wrote, and cached file listings
+are refreshed (a re-run overwrites the folders). Reports then run as
 plain ``spark.sql`` against those names.
 """
 
@@ -27,6 +28,8 @@ def register_tables(spark: SparkSession, cfg: PipelineConfig, use: bool = True)
     for name, (layer, folder) in SQL_TABLES.items():
         location = cfg.path(layer, folder).replace("'", "\\'")
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING parquet LOCATION '{location}'")
+        # the folder may have been rewritten since the table was first registered
+        spark.catalog.refreshTable(f"`{db}`.`{name}`")
         created.append(f"{db}.{name}")
     if use:
         spark.catalog.setCurrentDatabase(db)
