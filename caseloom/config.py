@@ -67,6 +67,16 @@ def build_session(master: str | None = None, app_name: str = "caseloom",
     return spark
 
 
+def materialize(df):
+    """Compute ``df`` once into the cluster's checkpoint folder and cut its lineage.
+
+    For an intermediate result that several later steps read: they read the
+    checkpoint files instead of recomputing it, and a lost executor does not
+    send recomputation back to the raw inputs."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 

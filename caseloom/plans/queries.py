@@ -11,6 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.config import materialize
 from caseloom.functions.pii import redact
 from caseloom.functions.replies import parse_reply
 from caseloom.functions.text import embedding_text, ticket_prompt
@@ -64,6 +65,12 @@ def ticket_enrichment(spark, d):
     return enrich(silver_tickets(spark, d, with_reply=True), reply="reply")
 
 
+def shared_enrichment(spark, d):
+    """The enrichment once, checkpointed: the mart, the vector join and the
+    summary lookup all read it."""
+    return materialize(ticket_enrichment(spark, d))
+
+
 def ticket_embeddings(spark, d, enrichment=None):
     enrichment = enrichment if enrichment is not None else ticket_enrichment(spark, d)
     vectors = analog.ticket_vectors(spark, d)
@@ -78,7 +85,7 @@ def _vector_count(spark, d):
 
 
 def ticket_similarity(spark, d, enrichment=None):
-    enrichment = enrichment if enrichment is not None else ticket_enrichment(spark, d)
+    enrichment = enrichment if enrichment is not None else shared_enrichment(spark, d)
     return similarity.top_matches(ticket_embeddings(spark, d, enrichment), enrichment, top_n=3,
                                   n_rows=_vector_count(spark, d))
 
@@ -100,7 +107,7 @@ def conversation_similarity(spark, d):
 
 # ---------------------------------------------------------------- gold layer
 def order_support_360(spark, d, fanout: bool = False):
-    enrichment = ticket_enrichment(spark, d)
+    enrichment = shared_enrichment(spark, d)
     return mart.order_support_360(
         silver_orders(spark, d), silver_shipments(spark, d), silver_returns(spark, d, fanout),
         enrichment, ticket_similarity(spark, d, enrichment))
@@ -114,28 +121,33 @@ def city_issue_hotspots(spark, d):
     return kpis.city_issue_hotspots(order_support_360(spark, d))
 
 
-def _gold_views(spark, d):
+def _gold_views(spark, d, need_mart: bool = True):
     """Register the gold tables under their SQL names (SRC-5) for the SQL reports."""
-    m = order_support_360(spark, d)
+    enrichment = shared_enrichment(spark, d)
+    sim = materialize(ticket_similarity(spark, d, enrichment))
+    sim.createOrReplaceTempView("ticket_similarity")
+    if not need_mart:
+        return
+    m = materialize(mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d),
+                                           silver_returns(spark, d), enrichment, sim))
     m.createOrReplaceTempView("order_support_360")
-    ticket_similarity(spark, d).createOrReplaceTempView("ticket_similarity")
     kpis.issue_kpis(m).createOrReplaceTempView("issue_kpis")
     kpis.city_issue_hotspots(m).createOrReplaceTempView("city_issue_hotspots")
 
 
 def _sql_report(name):
     def run(spark, d):
-        _gold_views(spark, d)
+        _gold_views(spark, d, need_mart=name != "similarity_patterns")
         return reports.run_report_sql(spark, name)
     return run
 
 
 def stage_row_counts(spark, d):
     """AGG-8: rows per stage output, one row per stage (a union of counts)."""
-    enrichment = ticket_enrichment(spark, d)
-    sim = ticket_similarity(spark, d, enrichment)
-    m = mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d), silver_returns(spark, d),
-                               enrichment, sim)
+    enrichment = shared_enrichment(spark, d)
+    sim = materialize(ticket_similarity(spark, d, enrichment))
+    m = materialize(mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d),
+                                           silver_returns(spark, d), enrichment, sim))
     k = kpis.issue_kpis(m)
     h = kpis.city_issue_hotspots(m)
     stages = [
@@ -187,13 +199,13 @@ def _hot_top(spark, d):
 
 
 def _metrics_block(spark, d):
-    m = order_support_360(spark, d)
+    m = materialize(order_support_360(spark, d))
     return brief.metrics_block(reports.brief_kpi_top(kpis.issue_kpis(m)),
                                reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
 
 
 def _daily_brief(spark, d):
-    m = order_support_360(spark, d)
+    m = materialize(order_support_360(spark, d))
     return brief.daily_brief(reports.brief_kpi_top(kpis.issue_kpis(m)),
                              reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
 
