@@ -77,6 +77,11 @@ def metrics_block(kpi_top: DataFrame, hotspot_top: DataFrame) -> DataFrame:
     return metric_entries(kpi_top, hotspot_top).select(block_text(F.col("entries")).alias("metrics_block"))
 
 
+def brief_prompt_text(kpi_top: DataFrame, hotspot_top: DataFrame) -> DataFrame:
+    """FN-7: one row, column ``prompt``: what a text model would be asked."""
+    return metric_entries(kpi_top, hotspot_top).select(brief_prompt(block_text(F.col("entries"))).alias("prompt"))
+
+
 def _brief_text(entries: Column) -> Column:
     """UDF-3 default: headline, issue-pattern paragraph, action paragraph, block.
 

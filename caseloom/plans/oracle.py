@@ -15,8 +15,8 @@ Dialect notes, each a place where the two engines differ by default:
 from __future__ import annotations
 
 from caseloom.functions.pii import EMAIL_TOKEN, PHONE_TOKEN
-from caseloom.functions.text import (EMBEDDING_TEXT_PARTS, HOTSPOT_HEADER, KPI_HEADER, TICKET_PROMPT_FIELDS,
-                                     TICKET_PROMPT_HEAD)
+from caseloom.functions.text import (BRIEF_PROMPT_HEAD, EMBEDDING_TEXT_PARTS, HOTSPOT_HEADER, KPI_HEADER,
+                                     TICKET_PROMPT_FIELDS, TICKET_PROMPT_HEAD)
 from caseloom.operators.enrich import DEFAULT_RULES, RuleSet
 from caseloom.schemas import ISSUE_CATEGORIES
 from caseloom.sources.analog import CORPUS_RULES
@@ -410,7 +410,20 @@ ORACLE_SQL: dict[str, str] = {
     "issue_volume_by_category_sql": with_ctes(_ISSUE_VOLUME, "mart"),
     "city_hotspots_top25_sql": with_ctes(_CITY_TOP25, "mart"),
     "similarity_patterns_sql": with_ctes(_SIM_PATTERNS, "sim"),
+    "high_risk_orders_sql": with_ctes(
+        "SELECT order_id, customer_id, city, product_name, carrier, shipment_status, delay_hours, issue_category, "
+        "urgency, root_cause_hint, next_best_action FROM mart WHERE risk_flag = true", "mart"),
+    "brief_kpi_top10_sql": with_ctes(
+        "SELECT issue_category, ticket_count, impacted_orders, average_delay_hours, average_order_amount, "
+        "average_refund_amount FROM kt", "kt"),
+    "brief_hotspot_top10_sql": with_ctes(
+        "SELECT city, issue_category, ticket_count, average_delay_hours FROM ht", "ht"),
+    "brief_kpi_top10_text": with_ctes(
+        "SELECT " + ", ".join(f"{txt(c)} AS {c}" for c in [
+            "issue_category", "ticket_count", "impacted_orders", "average_delay_hours", "average_order_amount",
+            "average_refund_amount"]) + " FROM kt", "kt"),
     "metrics_block": with_ctes("SELECT metrics_block FROM blk", "blk"),
+    "brief_prompt": with_ctes(f"SELECT {strip(q(BRIEF_PROMPT_HEAD) + ' || metrics_block')} AS prompt FROM blk", "blk"),
     "daily_brief": with_ctes(_BRIEF, "blk", "kt", "ht"),
     "stage_row_counts": with_ctes(_stage_counts(), "s_tickets", "s_enrichment", "emb", "sim", "mart", "kpis",
                                   "hotspots", "kt", "ht"),

@@ -106,30 +106,38 @@ def conversation_similarity(spark, d):
 
 
 # ---------------------------------------------------------------- gold layer
-def order_support_360(spark, d, fanout: bool = False):
+def order_support_360(spark, d, fanout: bool = False, with_similarity: bool = True):
+    """The 360 table. Aggregates and reports that never read the similarity
+    columns pass ``with_similarity=False``: the same rows, without building
+    (or checkpointing) the similarity stage that Catalyst would prune anyway."""
+    if not with_similarity:
+        return mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d),
+                                      silver_returns(spark, d, fanout), ticket_enrichment(spark, d), None)
     enrichment = shared_enrichment(spark, d)
     return mart.order_support_360(
         silver_orders(spark, d), silver_shipments(spark, d), silver_returns(spark, d, fanout),
         enrichment, ticket_similarity(spark, d, enrichment))
 
 
+def _gold(spark, d):
+    """360 for the aggregates and reports (they read no similarity column)."""
+    return order_support_360(spark, d, with_similarity=False)
+
+
 def issue_kpis(spark, d):
-    return kpis.issue_kpis(order_support_360(spark, d))
+    return kpis.issue_kpis(_gold(spark, d))
 
 
 def city_issue_hotspots(spark, d):
-    return kpis.city_issue_hotspots(order_support_360(spark, d))
+    return kpis.city_issue_hotspots(_gold(spark, d))
 
 
-def _gold_views(spark, d, need_mart: bool = True):
-    """Register the gold tables under their SQL names (SRC-5) for the SQL reports."""
-    enrichment = shared_enrichment(spark, d)
-    sim = materialize(ticket_similarity(spark, d, enrichment))
-    sim.createOrReplaceTempView("ticket_similarity")
-    if not need_mart:
+def _gold_views(spark, d, name: str):
+    """Register the tables a SQL report reads under their SQL names (SRC-5)."""
+    if name == "similarity_patterns":
+        ticket_similarity(spark, d).createOrReplaceTempView("ticket_similarity")
         return
-    m = materialize(mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d),
-                                           silver_returns(spark, d), enrichment, sim))
+    m = _gold(spark, d)
     m.createOrReplaceTempView("order_support_360")
     kpis.issue_kpis(m).createOrReplaceTempView("issue_kpis")
     kpis.city_issue_hotspots(m).createOrReplaceTempView("city_issue_hotspots")
@@ -137,7 +145,7 @@ def _gold_views(spark, d, need_mart: bool = True):
 
 def _sql_report(name):
     def run(spark, d):
-        _gold_views(spark, d, need_mart=name != "similarity_patterns")
+        _gold_views(spark, d, name)
         return reports.run_report_sql(spark, name)
     return run
 
@@ -199,13 +207,23 @@ def _hot_top(spark, d):
 
 
 def _metrics_block(spark, d):
-    m = materialize(order_support_360(spark, d))
+    m = _gold(spark, d)
     return brief.metrics_block(reports.brief_kpi_top(kpis.issue_kpis(m)),
                                reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
 
 
+def _brief_prompt(spark, d):
+    m = _gold(spark, d)
+    return brief.brief_prompt_text(reports.brief_kpi_top(kpis.issue_kpis(m)),
+                                   reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
+
+
+def _kpi_top_text(spark, d):
+    return reports.as_text_rows(reports.brief_kpi_top(issue_kpis(spark, d)))
+
+
 def _daily_brief(spark, d):
-    m = materialize(order_support_360(spark, d))
+    m = _gold(spark, d)
     return brief.daily_brief(reports.brief_kpi_top(kpis.issue_kpis(m)),
                              reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
 
@@ -237,9 +255,9 @@ QUERIES: dict[str, Query] = {
     "issue_kpis": issue_kpis,
     "city_issue_hotspots": city_issue_hotspots,
     # reports (RPT-1..6), DataFrame form
-    "issue_volume_by_category": lambda s, d: reports.issue_volume_by_category(order_support_360(s, d)),
-    "city_hotspots_top25": lambda s, d: reports.city_hotspots(order_support_360(s, d)),
-    "high_risk_orders": lambda s, d: reports.high_risk_orders(order_support_360(s, d)),
+    "issue_volume_by_category": lambda s, d: reports.issue_volume_by_category(_gold(s, d)),
+    "city_hotspots_top25": lambda s, d: reports.city_hotspots(_gold(s, d)),
+    "high_risk_orders": lambda s, d: reports.high_risk_orders(_gold(s, d)),
     "similarity_patterns": lambda s, d: reports.similarity_patterns(ticket_similarity(s, d)),
     "brief_kpi_top10": _kpi_top,
     "brief_hotspot_top10": _hot_top,
@@ -247,8 +265,14 @@ QUERIES: dict[str, Query] = {
     "issue_volume_by_category_sql": _sql_report("issue_volume_by_category"),
     "city_hotspots_top25_sql": _sql_report("city_hotspots_top25"),
     "similarity_patterns_sql": _sql_report("similarity_patterns"),
+    "high_risk_orders_sql": _sql_report("high_risk_orders"),
+    "brief_kpi_top10_sql": _sql_report("brief_kpi_top10"),
+    "brief_hotspot_top10_sql": _sql_report("brief_hotspot_top10"),
+    # query results as text, the way the brief reads them (SRC-6)
+    "brief_kpi_top10_text": _kpi_top_text,
     # brief (OUT-12) and stage counts (AGG-8)
     "metrics_block": _metrics_block,
+    "brief_prompt": _brief_prompt,
     "daily_brief": _daily_brief,
     "stage_row_counts": stage_row_counts,
 }
