@@ -27,7 +27,7 @@ class PipelineConfig:
     delay_hours_threshold: float = 24.0
     brief_limit: int = 10
     embedding_dim: int = 64
-    similarity_block_rows: int = 2048
+    similarity_block_rows: int = 8192
     extra: dict = field(default_factory=dict)
 
     def path(self, layer: str, table: str) -> str:

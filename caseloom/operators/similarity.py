@@ -16,7 +16,9 @@ Plan (all distributed, no pair table is ever materialised):
    emitted once per copy.
 
 Work is exact: N²·d multiply-adds in BLAS, N·B·top_n candidate rows shuffled.
-B grows with N (``block_rows`` rows per block), so per-task memory is bounded.
+B grows with N (``block_rows`` rows per block); inside a task the left block is
+scored in chunks, so memory is bounded by the block data plus one
+chunk_rows × block_rows score matrix, whatever N is.
 """
 
 from __future__ import annotations
@@ -106,7 +108,33 @@ def _best_partners(left: pd.DataFrame, right: pd.DataFrame, scores: np.ndarray,
     })
 
 
-def _pair_kernel(top_n: int):
+def _keep_best(cands: pd.DataFrame, top_n: int) -> pd.DataFrame:
+    """Per left row, the ``top_n`` best of several candidate lists."""
+    ranked = cands.assign(_neg=-cands["_key"]).sort_values(
+        ["_uid", "ticket_id", "_neg", "matched_ticket_id", "_ruid"], kind="mergesort")
+    return ranked.groupby(["_uid", "ticket_id"], sort=False, dropna=False).head(top_n).drop(columns="_neg")
+
+
+def _block_pair(left: pd.DataFrame, right: pd.DataFrame, ul: np.ndarray, ur: np.ndarray, top_n: int,
+                chunk_rows: int, both: bool) -> list[pd.DataFrame]:
+    """Score ``chunk_rows`` left rows at a time (the score matrix never exceeds
+    chunk_rows × |right|); each product serves both directions when ``both``."""
+    out, backward = [], []
+    for start in range(0, len(left), chunk_rows):
+        part = left.iloc[start:start + chunk_rows].reset_index(drop=True)
+        scores = ul[start:start + chunk_rows] @ ur.T
+        out.append(_best_partners(part, right, scores, top_n))
+        if both:
+            backward.append(_best_partners(right, part, scores.T, top_n))
+    backward = [b for b in backward if not b.empty]
+    if len(backward) > 1:
+        out.append(_keep_best(pd.concat(backward, ignore_index=True), top_n))
+    else:
+        out += backward
+    return [o for o in out if not o.empty]
+
+
+def _pair_kernel(top_n: int, chunk_rows: int):
     columns = [f.name for f in _CANDIDATE_SCHEMA.fields]
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -118,11 +146,7 @@ def _pair_kernel(top_n: int):
         dim = int(max(len(v) if v is not None else 0 for v in pdf["embedding"]))
         ul = _unit_rows(_matrix(left["embedding"], dim))
         ur = ul if bi == bj else _unit_rows(_matrix(right["embedding"], dim))
-        scores = ul @ ur.T
-        parts = [_best_partners(left, right, scores, top_n)]
-        if bi != bj:
-            parts.append(_best_partners(right, left, scores.T, top_n))
-        parts = [p for p in parts if not p.empty]
+        parts = _block_pair(left, right, ul, ur, top_n, chunk_rows, both=bi != bj)
         if not parts:
             return pd.DataFrame(columns=columns)
         return pd.concat(parts, ignore_index=True)[columns]
@@ -153,7 +177,8 @@ def summary_lookup(enrichment: DataFrame) -> DataFrame:
 
 
 def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_n: int = 3,
-                block_rows: int = 2048, num_blocks: int | None = None, n_rows: int | None = None) -> DataFrame:
+                block_rows: int = 8192, num_blocks: int | None = None, n_rows: int | None = None,
+                chunk_rows: int = 1024) -> DataFrame:
     """OUT-8: for every embedding row, its ``top_n`` most similar other tickets.
 
     ``embeddings``: ticket_id, issue_category, embedding (array of numbers).
@@ -161,6 +186,9 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
     for the summary lookups; without it those columns are null.
     ``n_rows``: an upper bound of the row count, used only to size the blocks;
     when absent the input is counted (one extra pass).
+    ``block_rows`` sets the replication (each row travels to N / block_rows
+    block pairs); ``chunk_rows`` bounds a task's score matrix to
+    chunk_rows × block_rows doubles, independently of the block size.
     """
     spark = embeddings.sparkSession
     emb = embeddings.select(
@@ -188,7 +216,7 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
         .withColumn("_bj", F.greatest("_blk", "_j"))
         .drop("_j")
     )
-    candidates = staged.groupBy("_bi", "_bj").applyInPandas(_pair_kernel(top_n), _CANDIDATE_SCHEMA)
+    candidates = staged.groupBy("_bi", "_bj").applyInPandas(_pair_kernel(top_n, chunk_rows), _CANDIDATE_SCHEMA)
 
     # a partner with several identical copies fills up to top_n slots
     expanded = candidates.withColumn(

@@ -49,11 +49,11 @@ def _records():
     return recs
 
 
-@pytest.mark.parametrize("blocks", [1, 3])
-def test_top_matches_equals_brute_force(spark, blocks):
+@pytest.mark.parametrize("blocks,chunk", [(1, 1024), (3, 1024), (3, 4)])
+def test_top_matches_equals_brute_force(spark, blocks, chunk):
     recs = _records()
     df = spark.createDataFrame(recs, SCHEMA)
-    got = top_matches(df, None, top_n=3, num_blocks=blocks).select(
+    got = top_matches(df, None, top_n=3, num_blocks=blocks, chunk_rows=chunk).select(
         "ticket_id", "matched_ticket_id", "similarity_rank", "similarity_score").collect()
     got = sorted((r[0], r[1], r[2], r[3]) for r in got)
     want = brute_force(recs, 3)
