@@ -75,15 +75,16 @@ def run_brief(spark: SparkSession, cfg: PipelineConfig, brief_fn: Callable | Non
               export_csv_copies: bool = False) -> dict[str, int]:
     """OUT-12 (and SNK-5..8): register the tables, query, write the brief."""
     register_tables(spark, cfg)
-    kpi_top = reports.run_report_sql(spark, "brief_kpi_top10") if cfg.brief_limit == 10 else \
-        reports.brief_kpi_top(spark.table("issue_kpis"), cfg.brief_limit)
-    hot_top = reports.run_report_sql(spark, "brief_hotspot_top10") if cfg.brief_limit == 10 else \
-        reports.brief_hotspot_top(spark.table("city_issue_hotspots"), cfg.brief_limit)
+    db = cfg.database
+    kpi_top = reports.run_report_sql(spark, "brief_kpi_top10", db) if cfg.brief_limit == 10 else \
+        reports.brief_kpi_top(spark.table(f"`{db}`.issue_kpis"), cfg.brief_limit)
+    hot_top = reports.run_report_sql(spark, "brief_hotspot_top10", db) if cfg.brief_limit == 10 else \
+        reports.brief_hotspot_top(spark.table(f"`{db}`.city_issue_hotspots"), cfg.brief_limit)
     counts = {"daily_ops_brief": write_text(brief.daily_brief(kpi_top, hot_top, brief_fn),
                                             cfg.path("gold", "daily_ops_brief"), "brief")}
     if export_csv_copies:
         for name in ("issue_kpis", "city_issue_hotspots"):
-            counts[f"{name}_csv"] = export_csv(spark.table(name), cfg.path("gold", f"{name}_csv"),
+            counts[f"{name}_csv"] = export_csv(spark.table(f"`{db}`.{name}"), cfg.path("gold", f"{name}_csv"),
                                                single_file=True)
     return counts
 

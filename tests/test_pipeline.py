@@ -71,7 +71,7 @@ def test_run_all_end_to_end(spark, workdir):
     # second run overwrites with the same result; registration is idempotent
     assert run_all(spark, cfg) == counts
     assert len(register_tables(spark, cfg)) == 4
-    assert spark.sql("SELECT count(*) AS n FROM order_support_360").collect()[0].n == 30
+    assert spark.sql("SELECT count(*) AS n FROM retail_support.order_support_360").collect()[0].n == 30
     spark.catalog.setCurrentDatabase("default")
 
 
