@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.operators.similarity import top_similarity
+from caseloom.operators.skew import Side, left_join_chain
 from caseloom.schemas import DELAY_THRESHOLD_HOURS, MART_COLUMNS
 
 _SHIPMENT_COLS = ["shipment_id", "carrier", "dispatch_time", "expected_delivery_time", "delivery_time",
@@ -57,10 +58,13 @@ def _flags(df: DataFrame, threshold: float) -> DataFrame:
 
 def order_support_360(orders: DataFrame, shipments: DataFrame, returns: DataFrame,
                       enrichment: DataFrame, similarity: DataFrame | None = None,
-                      threshold: float = DELAY_THRESHOLD_HOURS) -> DataFrame:
+                      threshold: float = DELAY_THRESHOLD_HOURS,
+                      hot_key_rows: int | None = 1_000_000) -> DataFrame:
     """One row per order and matching shipment × return × ticket (SEM-9 fan-out kept).
 
     A ticket joins only when both order_id and customer_id agree (JN-3, SEM-10).
+    An order_id with more than ``hot_key_rows`` shipments, returns or tickets
+    is joined spread over many tasks (``operators.skew``); ``None`` skips the check.
     """
     o = orders.select(*_ORDER_COLS)
     s = shipments.select("order_id", *_SHIPMENT_COLS)
@@ -68,12 +72,12 @@ def order_support_360(orders: DataFrame, shipments: DataFrame, returns: DataFram
     te = ticket_side(enrichment, similarity)
 
     keyed = o.filter(F.col("order_id").isNotNull())
-    joined = (
-        keyed.join(s, "order_id", "left")
-        .join(r, "order_id", "left")
-        .join(te, (F.col("order_id") == F.col("_te_order_id"))
-              & (F.col("customer_id") == F.col("_te_customer_id")), "left")
-        .drop("_te_order_id", "_te_customer_id")
+    joined = left_join_chain(
+        keyed, "order_id",
+        [Side(s, "order_id"), Side(r, "order_id"),
+         Side(te, "_te_order_id", [("customer_id", "_te_customer_id")],
+              count_on=enrichment.select(F.col("order_id").alias("_te_order_id")))],
+        hot_threshold=hot_key_rows,
     )
     unkeyed = o.filter(F.col("order_id").isNull())
     empty_right = {c: F.lit(None).cast(joined.schema[c].dataType)

@@ -146,3 +146,24 @@ def test_brief_without_rows(spark):
     block = brief.metrics_block(kt, ht).collect()[0].metrics_block
     assert block == "Top issue KPI rows:\n\nTop city hotspot rows:"
     assert "no support tickets" in brief.daily_brief(kt, ht).collect()[0].brief
+
+
+def test_hot_order_key_is_spread_and_exact(spark):
+    """One order holds most shipments, returns and tickets: the salted path
+    gives exactly the rows of the plain chain."""
+    orders = spark.createDataFrame([_order(f"O{i}", f"C{i}") for i in range(6)] + [_order(None, "CX")], ORDERS)
+    ships = spark.createDataFrame(
+        [(f"S{i}", "O1", "X", TS, TS, TS, float(i), "DELAYED") for i in range(40)]
+        + [("S99", "O2", "X", TS, TS, TS, 30.0, "DELAYED")], SHIP)
+    rets = spark.createDataFrame([(f"R{i}", "O1", "WRONG_ITEM", float(i), "OPEN") for i in range(5)]
+                                 + [(f"Q{i}", "O3", "WRONG_ITEM", 1.0, "OPEN") for i in range(12)], RET)
+    enr = spark.createDataFrame([_ticket("T1", "O1", "C1"), _ticket("T1b", "O1", "C9"), _ticket("T3", "O3", "C3"),
+                                 _ticket("T4", "O4", "C4")], ENR)
+    plain = mart.order_support_360(orders, ships, rets, enr, None, hot_key_rows=None)
+    salted = mart.order_support_360(orders, ships, rets, enr, None, hot_key_rows=4)
+    key = lambda r: tuple(str(x) for x in r)
+    a = sorted(plain.collect(), key=key)
+    b = sorted(salted.collect(), key=key)
+    assert len(a) == 40 * 5 + 12 + 5 and a == b
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
