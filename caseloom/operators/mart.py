@@ -59,24 +59,31 @@ def _flags(df: DataFrame, threshold: float) -> DataFrame:
 def order_support_360(orders: DataFrame, shipments: DataFrame, returns: DataFrame,
                       enrichment: DataFrame, similarity: DataFrame | None = None,
                       threshold: float = DELAY_THRESHOLD_HOURS,
-                      hot_key_rows: int | None = 1_000_000) -> DataFrame:
+                      hot_key_rows: int | None = 1_000_000,
+                      key_sources: list[DataFrame] | None = None) -> DataFrame:
     """One row per order and matching shipment × return × ticket (SEM-9 fan-out kept).
 
     A ticket joins only when both order_id and customer_id agree (JN-3, SEM-10).
     An order_id with more than ``hot_key_rows`` shipments, returns or tickets
     is joined spread over many tasks (``operators.skew``); ``None`` skips the check.
+    ``key_sources``: for shipments, returns and tickets, a cheaper frame with an
+    ``order_id`` column whose rows per key are at least the side's (for example
+    the source rows a derived side is built from). Rows per key are counted
+    there; a miss only costs balance, never rows.
     """
     o = orders.select(*_ORDER_COLS)
     s = shipments.select("order_id", *_SHIPMENT_COLS)
     r = returns.select("order_id", *_RETURN_COLS)
     te = ticket_side(enrichment, similarity)
 
+    src = key_sources or [None, None, enrichment.select("order_id")]
     keyed = o.filter(F.col("order_id").isNotNull())
     joined = left_join_chain(
         keyed, "order_id",
-        [Side(s, "order_id"), Side(r, "order_id"),
+        [Side(s, "order_id", count_on=src[0]),
+         Side(r, "order_id", count_on=src[1]),
          Side(te, "_te_order_id", [("customer_id", "_te_customer_id")],
-              count_on=enrichment.select(F.col("order_id").alias("_te_order_id")))],
+              count_on=None if src[2] is None else src[2].select(F.col("order_id").alias("_te_order_id")))],
         hot_threshold=hot_key_rows,
     )
     unkeyed = o.filter(F.col("order_id").isNull())

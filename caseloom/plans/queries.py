@@ -106,17 +106,23 @@ def conversation_similarity(spark, d):
 
 
 # ---------------------------------------------------------------- gold layer
+def key_sources(spark, d):
+    """Source rows per order for the hot-key count: every shipment, return and
+    ticket of the analog tables comes from a line item or an event with that key."""
+    lines = analog.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("order_id"))
+    events = analog.table(spark, d, "events").select(F.col("event_id").cast("string").alias("order_id"))
+    return [lines, lines, events]
+
+
 def order_support_360(spark, d, fanout: bool = False, with_similarity: bool = True):
     """The 360 table. Aggregates and reports that never read the similarity
     columns pass ``with_similarity=False``: the same rows, without building
     (or checkpointing) the similarity stage that Catalyst would prune anyway."""
-    if not with_similarity:
-        return mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d),
-                                      silver_returns(spark, d, fanout), ticket_enrichment(spark, d), None)
-    enrichment = shared_enrichment(spark, d)
+    enrichment = shared_enrichment(spark, d) if with_similarity else ticket_enrichment(spark, d)
+    sim = ticket_similarity(spark, d, enrichment) if with_similarity else None
     return mart.order_support_360(
         silver_orders(spark, d), silver_shipments(spark, d), silver_returns(spark, d, fanout),
-        enrichment, ticket_similarity(spark, d, enrichment))
+        enrichment, sim, key_sources=key_sources(spark, d))
 
 
 def _gold(spark, d):
@@ -155,7 +161,8 @@ def stage_row_counts(spark, d):
     enrichment = shared_enrichment(spark, d)
     sim = materialize(ticket_similarity(spark, d, enrichment))
     m = materialize(mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d),
-                                           silver_returns(spark, d), enrichment, sim))
+                                           silver_returns(spark, d), enrichment, sim,
+                                           key_sources=key_sources(spark, d)))
     k = kpis.issue_kpis(m)
     h = kpis.city_issue_hotspots(m)
     stages = [
