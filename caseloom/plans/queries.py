@@ -33,34 +33,56 @@ TICKET_COLUMNS = ["ticket_id", "order_id", "customer_id", "created_at", "channel
                   "agent_notes"]
 
 
+def _plan_once(fn):
+    """Build a lazy plan once per session and arguments. Only the plan object is
+    reused (it holds no data): every action still reads the Parquet tables and
+    does all the work. Never wraps checkpointed results."""
+    def wrapper(spark, d, *args, **kwargs):
+        cache = spark.__dict__.setdefault("_caseloom_plans", {})
+        key = (fn.__name__, d, args, tuple(sorted(kwargs.items())))
+        if key not in cache:
+            cache[key] = fn(spark, d, *args, **kwargs)
+        return cache[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 # ---------------------------------------------------------------- silver layer
+@_plan_once
 def silver_orders(spark, d):
     return standardize.standardize_orders(analog.raw_orders(spark, d)).select(*ORDER_COLUMNS)
 
 
+@_plan_once
 def silver_shipments(spark, d):
     return standardize.standardize_shipments(analog.raw_shipments(spark, d)).select(*SHIPMENT_COLUMNS)
 
 
+@_plan_once
 def silver_returns(spark, d, fanout: bool = False):
     raw = analog.raw_returns_fanout(spark, d) if fanout else analog.raw_returns(spark, d)
     return standardize.standardize_returns(raw).select(*RETURN_COLUMNS)
 
 
+@_plan_once
 def silver_products(spark, d):
     return standardize.standardize_products(analog.raw_products(spark, d)).select(*PRODUCT_COLUMNS)
 
 
+@_plan_once
 def silver_tickets(spark, d, with_reply: bool = False):
     cols = TICKET_COLUMNS + (["reply"] if with_reply else [])
     return standardize.standardize_tickets(analog.event_tickets(spark, d)).select(*cols)
 
 
+@_plan_once
 def silver_conversation_tickets(spark, d):
     return standardize.standardize_tickets(analog.conversation_tickets(spark, d)).select(*TICKET_COLUMNS)
 
 
 # ---------------------------------------------------------------- model layer
+@_plan_once
 def ticket_enrichment(spark, d):
     return enrich(silver_tickets(spark, d, with_reply=True), reply="reply")
 
@@ -90,6 +112,7 @@ def ticket_similarity(spark, d, enrichment=None):
                                   n_rows=_vector_count(spark, d))
 
 
+@_plan_once
 def conversation_enrichment(spark, d):
     return enrich(silver_conversation_tickets(spark, d), rules=analog.CORPUS_RULES)
 
@@ -106,6 +129,7 @@ def conversation_similarity(spark, d):
 
 
 # ---------------------------------------------------------------- gold layer
+@_plan_once
 def key_sources(spark, d):
     """Source rows per order for the hot-key count: every shipment, return and
     ticket of the analog tables comes from a line item or an event with that key."""
