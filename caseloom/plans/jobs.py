@@ -90,7 +90,7 @@ def run_brief(spark: SparkSession, cfg: PipelineConfig, brief_fn: Callable | Non
 
 
 def run_all(spark: SparkSession, cfg: PipelineConfig, **kwargs) -> dict[str, int]:
-    """All stages in order (what the state machine of the source ran)."""
+    """All stages in order."""
     counts = {}
     counts.update(run_silver(spark, cfg))
     counts.update(run_tickets(spark, cfg, reply_fn=kwargs.get("reply_fn"),

@@ -3,7 +3,7 @@ import json
 import os
 
 from caseloom.config import PipelineConfig
-from caseloom.plans.pipeline import run_all
+from caseloom.plans.jobs import run_all
 from caseloom.sinks.writers import export_csv, export_json
 from caseloom.sources.catalog import register_tables
 from caseloom.sources.raw import read_raw_csv, read_raw_json
