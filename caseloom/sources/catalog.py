@@ -21,6 +21,18 @@ SQL_TABLES = {
 }
 
 
+def register_csv_table(spark: SparkSession, database: str, name: str, path: str, schema) -> str:
+    """SNK-7 import form: a table over headered CSV (quotes escaped by doubling,
+    quoted line breaks allowed), typed by ``schema``."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    location = path.replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({cols}) USING csv "
+              f"OPTIONS (header 'true', escape '\"', multiLine 'true') LOCATION '{location}'")
+    spark.catalog.refreshTable(f"`{database}`.`{name}`")
+    return f"{database}.{name}"
+
+
 def register_tables(spark: SparkSession, cfg: PipelineConfig, use: bool = True) -> list[str]:
     db = cfg.database
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")

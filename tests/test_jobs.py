@@ -5,7 +5,8 @@ import os
 from caseloom.config import PipelineConfig
 from caseloom.plans.jobs import run_all
 from caseloom.sinks.writers import export_csv, export_json
-from caseloom.sources.catalog import register_tables
+from caseloom.plans.jobs import run_brief
+from caseloom.sources.catalog import register_csv_table, register_tables
 from caseloom.sources.raw import read_raw_csv, read_raw_json
 from caseloom.streaming.ingest import ingest_available
 
@@ -72,6 +73,13 @@ def test_run_all_end_to_end(spark, workdir):
     assert run_all(spark, cfg) == counts
     assert len(register_tables(spark, cfg)) == 4
     assert spark.sql("SELECT count(*) AS n FROM retail_support.order_support_360").collect()[0].n == 30
+    # CSV copies of the aggregates, read back through a CSV table definition
+    counts = run_brief(spark, cfg, export_csv_copies=True)
+    kpis = spark.read.parquet(cfg.path("gold", "issue_kpis"))
+    name = register_csv_table(spark, "support_import", "issue_kpis_csv", cfg.path("gold", "issue_kpis_csv"),
+                              kpis.schema)
+    assert counts["issue_kpis_csv"] == kpis.count()
+    assert sorted(spark.table(name).collect()) == sorted(kpis.collect())
     spark.catalog.setCurrentDatabase("default")
 
 

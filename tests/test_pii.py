@@ -5,10 +5,16 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.pii import redact
 
-# The masking rules as a Python program would apply them (Unicode classes).
+# The masking patterns in Python regex syntax, where \d, \w and
+# \b are Unicode-aware; the Spark patterns must give the same answers.
+PY_PHONE = r"\b\d{10}\b"
+PY_EMAIL = r"[\w\.-]+@[\w\.-]+\.\w+"
+
+
 def python_redact(text):
-    text = re.sub(r"\b\d{10}\b", "[REDACTED_PHONE]", text)
-    return re.sub(r"[\w\.-]+@[\w\.-]+\.\w+", "[REDACTED_EMAIL]", text)
+    for pattern, token in ((PY_PHONE, "[REDACTED_PHONE]"), (PY_EMAIL, "[REDACTED_EMAIL]")):
+        text = re.sub(pattern, token, text)
+    return text
 
 
 CASES = [
