@@ -17,7 +17,14 @@ PHONE_TOKEN = "[REDACTED_PHONE]"
 EMAIL_TOKEN = "[REDACTED_EMAIL]"
 _WORD = r"\p{L}\p{N}_"
 PHONE_PATTERN = rf"(?<![{_WORD}])\p{{Nd}}{{10}}(?![{_WORD}])"
-EMAIL_PATTERN = rf"[{_WORD}.-]+@[{_WORD}.-]+\.[{_WORD}]+"
+# The start guard (\G, or a character that cannot be part of an address before
+# it) only skips start positions inside a run of e-mail characters. What follows
+# "@" does not depend on where the run started, so the leftmost match always
+# starts at the first character of a run, or right where the previous match
+# ended; the matches are the same. Without the guard a backtracking engine
+# retries every position of a long run (quadratic: 30 s instead of 0.2 s on one
+# 40,000-character word).
+EMAIL_PATTERN = rf"(?:\G|(?<![{_WORD}.-]))[{_WORD}.-]+@[{_WORD}.-]+\.[{_WORD}]+"
 
 
 def redact(text: Column | str) -> Column:

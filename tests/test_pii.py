@@ -31,6 +31,11 @@ CASES = [
     "9800000044 9800000045 9800000046 adjacent",
     "line\n9800000044\nnext",
     "émile9800000044 glued to a letter",
+    "x" * 5000 + "@" + "y" * 5000 + ".com and " + "z" * 20000,
+    "a-b.c_d@sub.example.co.uk, e@f.g; h@i",
+    ".lead@dot.com -dash@x.io",
+    "a@b.cc.-x@y.z",
+    "u@v.ww-p@q.rr",
 ]
 
 
