@@ -9,7 +9,9 @@ from caseloom.schemas import ISSUE_CATEGORIES, REPLY_KEYS, REPLY_SCHEMA, SENTIME
 
 # Python's str.strip() removes Unicode white space; Spark's trim removes blanks
 # only, so strip with a Unicode-aware regex instead.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# (the guard before the trailing run keeps this linear on long inner runs of
+# white space: only a run's first character is tried as a start)
+_EDGE_SPACE = r"(?U)^\s+|(?<!\s)\s+$"
 
 
 def _strip(col: Column) -> Column:
