@@ -178,7 +178,7 @@ def summary_lookup(enrichment: DataFrame) -> DataFrame:
 
 def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_n: int = 3,
                 block_rows: int = 8192, num_blocks: int | None = None, n_rows: int | None = None,
-                chunk_rows: int = 1024) -> DataFrame:
+                chunk_rows: int = 1024, copy_chunk: int = 100_000) -> DataFrame:
     """OUT-8: for every embedding row, its ``top_n`` most similar other tickets.
 
     ``embeddings``: ticket_id, issue_category, embedding (array of numbers).
@@ -225,7 +225,7 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
         F.col("_key").desc(), F.col("matched_ticket_id").asc(), F.col("_ruid").asc(), F.col("_copy").asc())
     ranked = expanded.withColumn("similarity_rank", F.row_number().over(w)).filter(
         F.col("similarity_rank") <= top_n)
-    out = ranked.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_m"))))
+    out = _emit_copies(ranked, copy_chunk)
     return out.select(
         "ticket_id", "matched_ticket_id", "ticket_issue_category", "matched_issue_category",
         F.col("similarity_rank").cast("int").alias("similarity_rank"),
@@ -234,6 +234,21 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
     )
 
 
+def _emit_copies(ranked: DataFrame, chunk: int) -> DataFrame:
+    """One output row per copy of each left row.
+
+    A row with few copies expands in place. A row with more than ``chunk`` copies
+    (a hot group of identical rows) is first cut into chunk-sized pieces, and
+    the pieces are spread over tasks, so no single task emits the whole group."""
+    few = ranked.filter(F.col("_m") <= chunk)
+    few = few.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_m"))))
+    many = ranked.filter(F.col("_m") > chunk)
+    many = many.withColumn("_piece", F.explode(F.sequence(F.lit(0), ((F.col("_m") - 1) / chunk).cast("long"))))
+    many = many.repartition("_uid", "_piece", "similarity_rank").withColumn(
+        "_rep", F.explode(F.sequence(F.lit(1), F.least(F.lit(chunk), F.col("_m") - F.col("_piece") * chunk))))
+    return few.unionByName(many.drop("_piece"))
+
+
 def top_similarity(similarity: DataFrame) -> DataFrame:
     """WIN-1/FLT-5: the best-ranked match per ticket (ties → smaller matched id).
 

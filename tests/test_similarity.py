@@ -102,3 +102,12 @@ def test_blocked_plan_never_builds_pairs(spark):
     plan = top_matches(df, None, num_blocks=3)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "FlatMapGroupsInPandas" in plan
+
+
+def test_many_copies_are_emitted_in_pieces(spark):
+    rows = [("T1", "A", [1.0, 0.0])] * 7 + [("T2", "B", [1.0, 1.0]), ("T3", "C", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = top_matches(df, None, top_n=2, num_blocks=2, copy_chunk=3).collect()
+    want = top_matches(df, None, top_n=2, num_blocks=2).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert sum(1 for r in got if r.ticket_id == "T1") == 7 * 2
