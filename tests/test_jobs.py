@@ -106,3 +106,23 @@ def test_raw_readers_and_stream_ingest(spark, workdir):
     assert again == {"orders": 0}  # nothing new: each file is ingested once
     typed = spark.read.parquet(f"{workdir}/silver_stream/orders")
     assert typed.count() == 30 and dict(typed.dtypes)["quantity"] == "int"
+
+
+def test_raw_reader_edges(spark, workdir):
+    import pytest
+
+    os.makedirs(f"{workdir}/bad", exist_ok=True)
+    with open(f"{workdir}/bad/part-0.jsonl", "w") as fh:
+        fh.write('{"ticket_id": "T1", "order_id": "O1"}\n{not json\n')
+    with pytest.raises(Exception):
+        read_raw_json(spark, f"{workdir}/bad").collect()
+    kept = read_raw_json(spark, f"{workdir}/bad", mode="PERMISSIVE").collect()
+    assert len(kept) == 2 and kept[0].ticket_id == "T1"
+    os.makedirs(f"{workdir}/empty", exist_ok=True)
+    empty = read_raw_csv(spark, f"{workdir}/empty", "orders")
+    assert empty.count() == 0 and "order_id" in empty.columns  # explicit schema (SEM-16)
+    os.makedirs(f"{workdir}/hdr", exist_ok=True)
+    with open(f"{workdir}/hdr/part-0.csv", "w") as fh:
+        fh.write("product_id,category,product_name,catalog_price\nP1,kitchen,Mug,2.5\n")
+    with pytest.raises(Exception):
+        read_raw_csv(spark, f"{workdir}/hdr", "products").collect()  # header names are checked
