@@ -36,18 +36,32 @@ def token_slot(token: str, dim: int) -> tuple[int, float]:
     return int(h[:4], 16) % dim, (1.0 if int(h[4], 16) < 8 else -1.0)
 
 
-def hashed_vectors(texts: pd.Series, dim: int) -> pd.Series:
-    """Vectorised over one Arrow batch: tokenise, hash each distinct token once."""
-    tokens = [(_TOKEN.findall(t.lower()) if isinstance(t, str) else None) for t in texts]
-    lengths = np.array([len(t) if t is not None else 0 for t in tokens], dtype=np.int64)
-    mat = np.zeros((len(tokens), dim), dtype=np.float64)
-    flat = [tok for t in tokens if t for tok in t]
-    if flat:
-        uniq, inverse = np.unique(np.array(flat, dtype=object), return_inverse=True)
-        slots = np.array([token_slot(u, dim) for u in uniq])
-        rows = np.repeat(np.arange(len(tokens)), lengths)
-        np.add.at(mat, (rows, slots[inverse, 0].astype(np.int64)), slots[inverse, 1])
-    return pd.Series([None if t is None else mat[i] for i, t in enumerate(tokens)], index=texts.index)
+def hashed_vectors(texts: pd.Series, dim: int, cache_limit: int = 1_000_000) -> pd.Series:
+    """One Arrow batch: tokenise each text and add its token slots.
+
+    Memory is one text's tokens plus a bounded token → slot cache, so a batch
+    of very long documents never materialises all of its tokens at once."""
+    cache: dict[str, tuple[int, float]] = {}
+    out = []
+    for text in texts:
+        if not isinstance(text, str):
+            out.append(None)
+            continue
+        vec = np.zeros(dim, dtype=np.float64)
+        tokens = _TOKEN.findall(text.lower())
+        if tokens:
+            slots = np.empty(len(tokens), dtype=np.int64)
+            signs = np.empty(len(tokens), dtype=np.float64)
+            for i, tok in enumerate(tokens):
+                hit = cache.get(tok)
+                if hit is None:
+                    if len(cache) >= cache_limit:
+                        cache.clear()
+                    hit = cache[tok] = token_slot(tok, dim)
+                slots[i], signs[i] = hit
+            np.add.at(vec, slots, signs)
+        out.append(vec)
+    return pd.Series(out, index=texts.index, dtype=object)
 
 
 def hashed_embedding(dim: int = 64):

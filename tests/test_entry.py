@@ -1,7 +1,5 @@
 """The driver contract: entry(), queries() and oracle_sql() agree with each other."""
 
-import math
-
 import duckdb
 import pytest
 

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from caseloom.operators import brief, kpis, mart, reports
 from caseloom.schemas import MART_COLUMNS

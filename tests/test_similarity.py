@@ -3,7 +3,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from caseloom.functions.vectors import cosine
 from caseloom.operators.similarity import top_matches, top_similarity
