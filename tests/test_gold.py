@@ -166,3 +166,17 @@ def test_hot_order_key_is_spread_and_exact(spark):
     assert len(a) == 40 * 5 + 12 + 5 and a == b
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan
+
+
+def test_brief_with_a_model_function(spark):
+    import pandas as pd
+
+    def fake_model(prompts: pd.Series) -> pd.Series:
+        return prompts.map(lambda p: "MODEL BRIEF\n" + p.split("Metrics:\n", 1)[1].split("\n", 1)[0])
+
+    kt, ht = _kpi_rows(spark, 3)
+    text = brief.daily_brief(kt, ht, brief_fn=fake_model).collect()[0].brief
+    assert text == "MODEL BRIEF\nTop issue KPI rows:"
+    prompt = brief.brief_prompt_text(kt, ht).collect()[0].prompt
+    assert prompt.startswith("Write a daily operations brief using the curated metrics below.")
+    assert prompt.endswith("- City2 / CAT02: tickets=48, avg_delay_hours=1.5")
