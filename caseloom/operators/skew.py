@@ -86,7 +86,11 @@ def _hot_branch(left: DataFrame, key: str, sides: list[Side], hot: DataFrame, he
     on_key = lambda df, k: df.join(keys, df[k] == keys["_hk"], "left_semi")
     lrows = on_key(left, key)
     df, rk, extras = _prep(heavy, sides[heavy])
-    heavy_rows = on_key(df, rk).withColumn("_rsalt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    # A random bucket (not a content hash) so identical copies of a row spread
+    # too. Any bucket is correct, since the left row and the other sides are in
+    # every bucket. Spark treats the nondeterministic key as indeterminate and
+    # re-runs the downstream stage if a map output is lost.
+    heavy_rows = on_key(df, rk).withColumn("_rsalt", F.floor(F.rand(17) * salts).cast("int"))
     copies = lrows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     matched = copies.join(heavy_rows, _cond(key, rk, extras, salt=True), "inner")
     present = heavy_rows.select(rk, *[rc for _, rc in extras]).distinct()

@@ -153,7 +153,8 @@ def test_hot_order_key_is_spread_and_exact(spark):
     orders = spark.createDataFrame([_order(f"O{i}", f"C{i}") for i in range(6)] + [_order(None, "CX")], ORDERS)
     ships = spark.createDataFrame(
         [(f"S{i}", "O1", "X", TS, TS, TS, float(i), "DELAYED") for i in range(40)]
-        + [("S99", "O2", "X", TS, TS, TS, 30.0, "DELAYED")], SHIP)
+        + [("S99", "O2", "X", TS, TS, TS, 30.0, "DELAYED")]
+        + [("S5", "O5", "X", TS, TS, TS, 1.0, "DELIVERED")] * 9, SHIP)  # a hot group of identical copies
     rets = spark.createDataFrame([(f"R{i}", "O1", "WRONG_ITEM", float(i), "OPEN") for i in range(5)]
                                  + [(f"Q{i}", "O3", "WRONG_ITEM", 1.0, "OPEN") for i in range(12)], RET)
     enr = spark.createDataFrame([_ticket("T1", "O1", "C1"), _ticket("T1b", "O1", "C9"), _ticket("T3", "O3", "C3"),
@@ -163,7 +164,7 @@ def test_hot_order_key_is_spread_and_exact(spark):
     key = lambda r: tuple(str(x) for x in r)
     a = sorted(plain.collect(), key=key)
     b = sorted(salted.collect(), key=key)
-    assert len(a) == 40 * 5 + 12 + 5 and a == b
+    assert len(a) == 40 * 5 + 12 + 9 + 4 and a == b
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan
 
