@@ -2,8 +2,7 @@
 
 Plan (all distributed, no pair table is ever materialised):
 
-1. Attach each ticket's summary and next action (one deduplicated lookup of
-   the enrichment, joined once *before* the pair work, so no join follows it).
+1. Only ticket id, category and vector travel through the pair work.
 2. Collapse exact copies of a row into one row with a multiplicity ``_m``
    (partial aggregation: a hot group of copies costs one row, not a hot task).
 3. Hash every distinct row into one of B blocks; send each row to the
@@ -12,8 +11,9 @@ Plan (all distributed, no pair table is ever materialised):
    keep each row's best ``top_n`` distinct partners from the other block
    (self and same-id partners excluded, SEM-14). Only candidates leave the task.
 5. Final ``row_number`` over (score key desc, matched id asc) per left row,
-   after expanding each candidate by its multiplicity; then each left row is
-   emitted once per copy.
+   after expanding each candidate by its multiplicity; then the summaries are
+   looked up for the N·top_n result rows (one deduplicated lookup of the
+   enrichment), and each left row is emitted once per copy.
 
 Work is exact: N²·d multiply-adds in BLAS, N·B·top_n candidate rows shuffled.
 B grows with N (``block_rows`` rows per block); inside a task the left block is
@@ -36,13 +36,10 @@ _CANDIDATE_SCHEMA = T.StructType([
     T.StructField("_m", T.LongType()),
     T.StructField("ticket_id", T.StringType()),
     T.StructField("ticket_issue_category", T.StringType()),
-    T.StructField("ticket_summary", T.StringType()),
     T.StructField("_ruid", T.LongType()),
     T.StructField("_mr", T.LongType()),
     T.StructField("matched_ticket_id", T.StringType()),
     T.StructField("matched_issue_category", T.StringType()),
-    T.StructField("matched_ticket_summary", T.StringType()),
-    T.StructField("recommended_action_pattern", T.StringType()),
     T.StructField("_score", T.DoubleType()),
     T.StructField("_key", T.DoubleType()),
 ])
@@ -96,13 +93,10 @@ def _best_partners(left: pd.DataFrame, right: pd.DataFrame, scores: np.ndarray,
         "_m": left["_m"].to_numpy()[rows],
         "ticket_id": left["ticket_id"].to_numpy()[rows],
         "ticket_issue_category": left["issue_category"].to_numpy()[rows],
-        "ticket_summary": left["customer_summary"].to_numpy()[rows],
         "_ruid": ruid[cols],
         "_mr": right["_m"].to_numpy()[cols],
         "matched_ticket_id": right["ticket_id"].to_numpy()[cols],
         "matched_issue_category": right["issue_category"].to_numpy()[cols],
-        "matched_ticket_summary": right["customer_summary"].to_numpy()[cols],
-        "recommended_action_pattern": right["next_best_action"].to_numpy()[cols],
         "_score": scores[rows, cols],
         "_key": key[rows, cols],
     })
@@ -193,14 +187,7 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
     spark = embeddings.sparkSession
     emb = embeddings.select(
         "ticket_id", "issue_category", F.col("embedding").cast("array<double>").alias("embedding"))
-    if enrichment is not None:
-        if "created_at" not in enrichment.columns:
-            enrichment = enrichment.withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
-        emb = emb.join(summary_lookup(enrichment), "ticket_id", "left")
-    else:
-        emb = emb.withColumns({"customer_summary": F.lit(None).cast("string"),
-                               "next_best_action": F.lit(None).cast("string")})
-    content = ["ticket_id", "issue_category", "embedding", "customer_summary", "next_best_action"]
+    content = ["ticket_id", "issue_category", "embedding"]
     distinct = emb.groupBy(*content).agg(F.count(F.lit(1)).alias("_m"))
     distinct = distinct.withColumn("_uid", F.xxhash64(*content))
 
@@ -225,6 +212,22 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
         F.col("_key").desc(), F.col("matched_ticket_id").asc(), F.col("_ruid").asc(), F.col("_copy").asc())
     ranked = expanded.withColumn("similarity_rank", F.row_number().over(w)).filter(
         F.col("similarity_rank") <= top_n)
+    # summaries join the N·top_n results, not the N·B replicated rows (JN-6/7)
+    if enrichment is not None:
+        if "created_at" not in enrichment.columns:
+            enrichment = enrichment.withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
+        lookup = summary_lookup(enrichment)
+        ranked = (
+            ranked.join(lookup.select("ticket_id", F.col("customer_summary").alias("ticket_summary")),
+                        "ticket_id", "left")
+            .join(lookup.select(F.col("ticket_id").alias("matched_ticket_id"),
+                                F.col("customer_summary").alias("matched_ticket_summary"),
+                                F.col("next_best_action").alias("recommended_action_pattern")),
+                  "matched_ticket_id", "left")
+        )
+    else:
+        ranked = ranked.withColumns({c: F.lit(None).cast("string") for c in
+                                     ("ticket_summary", "matched_ticket_summary", "recommended_action_pattern")})
     out = _emit_copies(ranked, copy_chunk)
     return out.select(
         "ticket_id", "matched_ticket_id", "ticket_issue_category", "matched_issue_category",
