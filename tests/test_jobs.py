@@ -126,3 +126,17 @@ def test_raw_reader_edges(spark, workdir):
         fh.write("product_id,category,product_name,catalog_price\nP1,kitchen,Mug,2.5\n")
     with pytest.raises(Exception):
         read_raw_csv(spark, f"{workdir}/hdr", "products").collect()  # header names are checked
+
+
+def test_stream_picks_up_only_new_files(spark, workdir):
+    write_raw(workdir)
+    cfg = PipelineConfig(root=workdir)
+    assert ingest_available(spark, cfg, ["support_tickets"]) == {"support_tickets": 20}
+    with open(f"{workdir}/raw/support_tickets/part-1.jsonl", "w") as fh:
+        for i in range(3):
+            fh.write(json.dumps({"ticket_id": f"N{i}", "order_id": "O001", "customer_id": "C1",
+                                 "created_at": "2026-03-03T08:00:00", "channel": "chat",
+                                 "customer_message": "late again", "agent_notes": "x"}) + "\n")
+    assert ingest_available(spark, cfg, ["support_tickets"]) == {"support_tickets": 3}
+    typed = spark.read.parquet(f"{workdir}/silver_stream/support_tickets")
+    assert typed.count() == 23 and typed.filter("channel = 'CHAT'").count() == 3
