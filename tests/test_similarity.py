@@ -110,3 +110,20 @@ def test_many_copies_are_emitted_in_pieces(spark):
     want = top_matches(df, None, top_n=2, num_blocks=2).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
     assert sum(1 for r in got if r.ticket_id == "T1") == 7 * 2
+
+
+def test_column_form_equals_blocked_form(spark):
+    """SURVEY 5.3 #4: the column-form cosine of each reported pair equals the
+    blocked kernel's score."""
+    import pyspark.sql.functions as F
+
+    recs = [r for r in _records() if r[0] not in ("T045", "T046")]  # unique ids
+    df = spark.createDataFrame(recs, SCHEMA)
+    pairs = top_matches(df, None, top_n=3, num_blocks=3)
+    a = df.select(F.col("ticket_id"), F.col("embedding").alias("ea"))
+    b = df.select(F.col("ticket_id").alias("matched_ticket_id"), F.col("embedding").alias("eb"))
+    joined = pairs.join(a, "ticket_id").join(b, "matched_ticket_id").select(
+        "similarity_score", cosine("ea", "eb").alias("c"))
+    rows = joined.collect()
+    assert len(rows) == pairs.count() > 0
+    assert all(abs(r.similarity_score - r.c) <= 5e-7 for r in rows)
