@@ -28,6 +28,9 @@ class PipelineConfig:
     brief_limit: int = 10
     embedding_dim: int = 64
     similarity_block_rows: int = 8192
+    # write orders, shipments and returns bucketed by order_id into this many
+    # buckets (catalog tables): the 360 joins then read co-partitioned inputs
+    order_buckets: int | None = None
     extra: dict = field(default_factory=dict)
 
     def path(self, layer: str, table: str) -> str:

@@ -16,11 +16,22 @@ from caseloom.config import PipelineConfig
 from caseloom.operators import brief, kpis, mart, reports, similarity, standardize
 from caseloom.operators.embed import embed
 from caseloom.operators.enrich import DEFAULT_RULES, RuleSet, enrich
-from caseloom.sinks.writers import export_csv, write_table, write_text
+from caseloom.sinks.writers import export_csv, write_bucketed_table, write_table, write_text
 from caseloom.sources.catalog import register_tables
 from caseloom.sources.raw import read_raw_csv, read_raw_json, read_table
 
 CSV_TABLES = ["orders", "shipments", "returns", "products"]
+ORDER_KEYED = ["orders", "shipments", "returns"]
+
+
+def _silver_name(cfg: PipelineConfig, table: str) -> str:
+    return f"`{cfg.database}`.`silver_{table}`"
+
+
+def _read_silver(spark: SparkSession, cfg: PipelineConfig, table: str):
+    if cfg.order_buckets and table in ORDER_KEYED:
+        return spark.table(_silver_name(cfg, table))
+    return read_table(spark, cfg.path("silver", table))
 
 
 def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
@@ -30,7 +41,12 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
         raw = read_raw_csv(spark, cfg.path("raw", t), t)
         fn = standardize.STANDARDIZERS[t]
         df = fn(raw, cfg.delay_hours_threshold) if t == "shipments" else fn(raw)
-        counts[t] = write_table(df, cfg.path("silver", t))
+        if cfg.order_buckets and t in ORDER_KEYED:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{cfg.database}`")
+            counts[t] = write_bucketed_table(df, _silver_name(cfg, t), cfg.path("silver", t), "order_id",
+                                             cfg.order_buckets)
+        else:
+            counts[t] = write_table(df, cfg.path("silver", t))
     tickets = standardize.standardize_tickets(read_raw_json(spark, cfg.path("raw", "support_tickets")))
     counts["support_tickets"] = write_table(tickets, cfg.path("silver", "support_tickets"))
     return counts
@@ -56,9 +72,9 @@ def run_tickets(spark: SparkSession, cfg: PipelineConfig, reply_fn: Callable | N
 def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     """OUT-9..11: the 360 table once, then both aggregates from the stored copy."""
     m = mart.order_support_360(
-        read_table(spark, cfg.path("silver", "orders")),
-        read_table(spark, cfg.path("silver", "shipments")),
-        read_table(spark, cfg.path("silver", "returns")),
+        _read_silver(spark, cfg, "orders"),
+        _read_silver(spark, cfg, "shipments"),
+        _read_silver(spark, cfg, "returns"),
         read_table(spark, cfg.path("model", "ticket_enrichment")),
         read_table(spark, cfg.path("model", "ticket_similarity")),
         threshold=cfg.delay_hours_threshold,
