@@ -38,3 +38,36 @@ def test_bad_replies_are_kept_with_a_reason(spark):
     assert out["3"].reply_error is None and out["3"].enum_ok is False and out["3"].issue_category == "LOST_PARCEL"
     assert out["4"].requires_human_followup is True and out["4"].enum_ok
     assert out["5"].reply_error == "no reply"
+
+
+def python_clean(raw):
+    """Expected cleaning: trim; a leading ```json (any case) goes, then a
+    leading ```, then a trailing ```; trim after each step."""
+    text = raw.strip()
+    if text[:7].lower() == "```json":
+        text = text[7:].strip()
+    if text.startswith("```"):
+        text = text[3:].strip()
+    if text.endswith("```"):
+        text = text[:-3].strip()
+    return text
+
+
+def test_strip_fences_fuzz(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from caseloom.functions.replies import strip_fences
+
+    rng = random.Random(3)
+    heads = ["", "```json", "```JSON", "```Json", "```", "``````json", " ```json\n", "json"]
+    tails = ["", "```", "\n```", "``````", "``` \n", "`"]
+    spaces = ["", " ", "\n", "\t", " \n\t ", " "]
+    body = '{"a": 1}'
+    texts = [rng.choice(spaces) + rng.choice(heads) + rng.choice(spaces) + body + rng.choice(spaces)
+             + rng.choice(tails) + rng.choice(spaces) for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.c for r in df.select("i", strip_fences(F.col("t")).alias("c")).collect()}
+    bad = [(t, got[i], python_clean(t)) for i, t in enumerate(texts) if got[i] != python_clean(t)]
+    assert not bad, bad[:3]
