@@ -48,3 +48,20 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [dcols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert got == want
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_QUERIES="standardize_products,issue_kpis", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600, cwd="/tmp")
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert out.returncode == 0 and len(lines) == 1, out.stderr[-2000:]
+    rec = json.loads(lines[0])
+    assert rec["unit"] == "sec" and set(rec["queries"]) == {"standardize_products", "issue_kpis"}
+    assert rec["value"] == round(sum(rec["queries"].values()), 3) or abs(rec["value"] - sum(rec["queries"].values())) < 0.01
