@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caseloom.llm.fingerprints import op8_fingerprints
+from caseloom.llm.mixing import OP2_SQL, op2_mixing
+from caseloom.llm.packing import op10_best_fit_packing
 from caseloom.llm.token_counts import op9_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
+    "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": OP2_SQL,
+}
