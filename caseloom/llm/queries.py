@@ -10,6 +10,7 @@ from caseloom.llm.fingerprints import op8_fingerprints
 from caseloom.llm.language import op1_language_id
 from caseloom.llm.mixing import OP2_SQL, op2_mixing
 from caseloom.llm.packing import op10_best_fit_packing
+from caseloom.llm.substrings import op6_substring_dedup
 from caseloom.llm.token_counts import op9_token_counts
 from caseloom.llm.toxicity import op5_toxicity
 
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
     "op5_toxicity": op5_toxicity,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
