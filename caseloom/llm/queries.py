@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from caseloom.llm.fingerprints import op8_fingerprints
 from caseloom.llm.language import op1_language_id
 from caseloom.llm.mixing import OP2_SQL, op2_mixing
+from caseloom.llm.ngram_join import op7_ngram_join
 from caseloom.llm.packing import op10_best_fit_packing
 from caseloom.llm.substrings import op6_substring_dedup
 from caseloom.llm.token_counts import op9_token_counts
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_ngram_join": op7_ngram_join,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
