@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caseloom.llm.ann import op3_nearest
 from caseloom.llm.fingerprints import op8_fingerprints
 from caseloom.llm.language import op1_language_id
 from caseloom.llm.mixing import OP2_SQL, op2_mixing
@@ -18,6 +19,7 @@ from caseloom.llm.toxicity import op5_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
+    "op3_nearest": op3_nearest,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_ngram_join": op7_ngram_join,
