@@ -26,12 +26,18 @@ from caseloom.llm.frames import cut, table
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
-MEMO_ENTRIES = 250_000  # words whose ids a worker keeps; beyond it the memo starts anew
+MEMO_ENTRIES = 800_000  # words whose ids a worker keeps; beyond it the memo starts anew
+TEXTS_AT_ONCE = 256
 MEMO_CHARS = 48
 RANK_BLOCK = 1 << 16  # ranks are joined to runs in blocks, so no join key holds more pieces than this
 RUN_BYTES_IN_DRIVER = 64 << 20
 
 
+def folded(text: str) -> str:
+    """The text in lower case where that is what the tokenizer does first anyway, and every character alike; else unchanged."""
+    return text.lower() if text.isascii() or max(text) < "\u0130" else text
+
+
 class WordEncoder:
     """Ids of whole texts, put together from the ids of their blank-separated words.
 
@@ -62,14 +68,14 @@ class WordEncoder:
                 at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [folded(t).replace("\n", " ").split(" ") for t in texts]
         out = []
-        for lo in range(0, len(split), 64):  # a few texts at a time, so a full memo can start anew between them
-            some = split[lo:lo + 64]
+        for lo in range(0, len(split), TEXTS_AT_ONCE):
+            some = split[lo:lo + TEXTS_AT_ONCE]
             words = {w for w in set().union(*some) if len(w) <= MEMO_CHARS}
             new = words - self.memo.keys()
-            if len(self.memo) + len(new) > MEMO_ENTRIES:
-                self.memo, new = {"": b""}, words
+            if len(self.memo) + len(new) > MEMO_ENTRIES:  # start anew with the words in use
+                self.memo = {"": b""} | {w: self.memo[w] for w in words - new}
             self.learn(list(new))
             for parts in some:
                 try:

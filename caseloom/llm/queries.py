@@ -12,6 +12,7 @@ from caseloom.llm.language import op1_language_id
 from caseloom.llm.mixing import OP2_SQL, op2_mixing
 from caseloom.llm.ngram_join import op7_ngram_join
 from caseloom.llm.packing import op10_best_fit_packing
+from caseloom.llm.privacy import op4_personal_data
 from caseloom.llm.substrings import op6_substring_dedup
 from caseloom.llm.token_counts import op9_token_counts
 from caseloom.llm.toxicity import op5_toxicity
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
     "op3_nearest": op3_nearest,
+    "op4_personal_data": op4_personal_data,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_ngram_join": op7_ngram_join,

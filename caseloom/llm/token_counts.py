@@ -26,7 +26,7 @@ from caseloom.llm.frames import table
 
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"  # Unicode White_Space
 SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-MEMO_ENTRIES = 400_000  # segments (and token pairs) a worker keeps; beyond it the memo starts anew
+MEMO_ENTRIES = 600_000  # segments (and token pairs) a worker keeps; beyond it the memo starts anew
 MEMO_CHARS = 64
 
 
@@ -50,15 +50,21 @@ class PrefixCounter:
         if pre["type"] != "ByteLevel" or pre["add_prefix_space"] or spec["normalizer"] or model["ignore_merges"]:
             raise ValueError(f"{path}: not a plain byte-level BPE file")
         self.ids = model["vocab"]
-        self.texts = {i: t for t, i in self.ids.items()}
         self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): r for r, m in enumerate(model["merges"])}
         self.longest = max(map(len, self.ids))
         self.alphabet = byte_alphabet()
         self.pretoken = regex.compile(public_tokenizers.PATTERN)
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.special = re.compile("|".join(special)) if special else None
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.states: dict[str, tuple[str, int]] = {}
+        # by token id: the rank of the merge that made it (-1: a single byte) and the two parts; by pair of ids: its rank
+        size = max(self.ids.values()) + 1
+        self.made, self.parts, self.joins = [-1] * size, [(-1, -1)] * size, {}
+        for (a, b), r in self.ranks.items():
+            left, right, both = self.ids[a], self.ids[b], self.ids[a + b]
+            self.made[both], self.parts[both], self.joins[left << 20 | right] = r, (left, right), r
+        self.alone: dict[str, bool] = {}  # at most a token each
+        self.pairs: dict[int, bool] = {}
+        self.states: dict[str, tuple[int, int]] = {}
         self.totals: dict[str, int] = {}
 
     def merge(self, symbols: list[str]) -> list[str]:
@@ -71,17 +77,43 @@ class PrefixCounter:
             symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def fits(self, left: str, right: str) -> bool:
-        """Whether ``right`` may follow ``left`` (empty: begin a pre-token) in an encoding."""
-        key = (left, right)
-        known = self.pairs.get(key)
+    def begins(self, token: str) -> bool:
+        """Whether a token's own text is encoded as that token."""
+        known = self.alone.get(token)
         if known is None:
-            if len(self.pairs) >= MEMO_ENTRIES:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merge([*left, *right]) == ([left, right] if left else [right])
+            known = self.alone[token] = self.merge(list(token)) == [token]
         return known
 
-    def state(self, s: str) -> tuple[str, int]:
+    def fits(self, left: int, right: int) -> bool:
+        """Whether token ``right`` may follow ``left`` in an encoding.
+
+        Both are taken apart in the reverse order of their merges. If at some moment the two parts that touch could have
+        merged before the part just taken apart was made, the greedy encoder would have joined them instead.
+        """
+        key = left << 20 | right
+        known = self.pairs.get(key)
+        if known is not None:
+            return known
+        if len(self.pairs) >= MEMO_ENTRIES:
+            self.pairs.clear()
+        joins, made, parts = self.joins, self.made, self.parts
+        a, b, before, known = left, right, 1 << 60, True
+        while True:
+            rank = joins.get(a << 20 | b)
+            if rank is not None and rank < before:
+                known = False
+                break
+            # take apart what was merged last; of one rank, the encoder merges the left one first
+            if made[a] < 0 and made[b] < 0:
+                break
+            if made[a] > made[b]:
+                before, a = made[a], parts[a][1]
+            else:
+                before, b = made[b] + 1, parts[b][0]
+        self.pairs[key] = known
+        return known
+
+    def state(self, s: str) -> tuple[int, int]:
         """(last token, count) of the pre-token prefix ``s`` (in the byte alphabet).
 
         The states of all its prefixes are stored on the way; pre-tokens that begin alike share them.
@@ -97,9 +129,14 @@ class PrefixCounter:
             i -= 1
         for i in range(i + 1, len(s) + 1):
             for j in range(max(0, i - self.longest), i):
-                token = s[j:i]
-                if token in ids:
-                    left, n = states[s[:j]] if j else ("", 0)
+                token = ids.get(s[j:i])
+                if token is not None:
+                    if not j:
+                        if self.begins(s[:i]):
+                            states[s[:i]] = token, 1
+                            break
+                        continue
+                    left, n = states[s[:j]]
                     if fits(left, token):
                         states[s[:i]] = token, n + 1
                         break
@@ -118,20 +155,31 @@ class PrefixCounter:
     def run_counts(self, data: bytes) -> list[int]:
         """The same table for a long pre-token, in lists instead of the memo."""
         s = "".join(map(self.alphabet.__getitem__, data))
-        last, counts = [""], [0]
+        last, counts = [-1], [0]
         for i in range(1, len(s) + 1):
             for j in range(max(0, i - self.longest), i):
-                token = s[j:i]
-                if token in self.ids and self.fits(last[j], token):
+                token = self.ids.get(s[j:i])
+                if token is not None and (self.fits(last[j], token) if j else self.begins(s[:i])):
                     last.append(token)
                     counts.append(counts[j] + 1)
                     break
         return counts
 
+    def pretokens(self, segment: str) -> list[str]:
+        """The pre-tokens of a segment; a blank and plain letters, with a comma or full stop, need no pattern."""
+        word = segment[1:-1]
+        if segment[0] == " " and word.isalpha() and max(word) < "\u0250":
+            end = segment[-1]
+            if end in ".,":
+                return [segment[:-1], end]
+            if end.isalpha() and end < "\u0250":
+                return [segment]
+        return self.pretoken.findall(segment)
+
     def segment_total(self, segment: str) -> int:
         total = self.totals.get(segment)
         if total is None:
-            total = sum(map(self.pretoken_total, self.pretoken.findall(segment)))
+            total = sum(map(self.pretoken_total, self.pretokens(segment)))
             if len(segment) <= MEMO_CHARS:
                 if len(self.totals) >= MEMO_ENTRIES:
                     self.totals.clear()
