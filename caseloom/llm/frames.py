@@ -64,15 +64,17 @@ def ranked(df: DataFrame, keys: list[Column], name: str, by: list[str] = ()) ->
     return out.drop(mid)
 
 
-def coordinates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, text, at) where ``at`` is unique and orders rows by id.
+def coordinates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """Rows (doc_id, text, at), or with ``keep`` all columns and ``at``; ``at`` is unique and orders rows by id.
 
     It is the id itself where ids are unique, as they are meant to be. Where some are null or repeated, it is the row's
     place in the order of id (null first) and text, so that every row still has a place of its own.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    per_id = rows.groupBy("doc_id").count()
+    key, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.drop("at") if keep else docs.select(key.alias("doc_id"), text.alias("text"))
+    key, text = (key, text) if keep else (F.col("doc_id"), F.col("text"))
+    per_id = docs.groupBy(F.col(id_col).alias("id")).count()
     if docs.schema[id_col].dataType.simpleString() in ("bigint", "int") and not per_id.where(
-            F.col("doc_id").isNull() | (F.col("count") > 1)).head(1):
-        return rows.withColumn("at", F.col("doc_id").cast("long"))
-    return ranked(rows, [F.col("doc_id").asc_nulls_first(), F.col("text")], "at")
+            F.col("id").isNull() | (F.col("count") > 1)).head(1):
+        return rows.withColumn("at", key.cast("long"))
+    return ranked(rows, [key.asc_nulls_first(), text], "at")

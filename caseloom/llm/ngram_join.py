@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -53,13 +54,25 @@ def gram_sets(column: pa.Array, gram: int) -> Iterator[tuple[int, np.ndarray]]:
                 yield lo + i, np.zeros(0, U)
 
 
-def least_overlap(n: int, m: int, num: int = NUMERATOR, den: int = DENOMINATOR) -> int:
-    """The smallest intersection with which sets of n and m elements are alike."""
-    return -(-num * (n + m) // (num + den))
+@dataclass(frozen=True)
+class Alike:
+    """The threshold: den * intersection >= num * union, that is (num + den) * intersection >= num * (sum of lengths)."""
 
+    num: int = NUMERATOR
+    den: int = DENOMINATOR
 
-def prefix_length(n: int, num: int = NUMERATOR, den: int = DENOMINATOR) -> int:
-    return n + num * n // -den + 1 if n else 0
+    def holds(self, overlap: int, lengths: int) -> bool:
+        return (self.num + self.den) * overlap >= self.num * lengths
+
+    def least_overlap(self, lengths):
+        return -(-self.num * lengths // (self.num + self.den))
+
+    def shortest(self, n):
+        """The length of the shortest set that can be alike to one of n."""
+        return -(-n * self.num // self.den)
+
+    def prefix(self, n: int) -> int:
+        return n - self.shortest(n) + 1 if n else 0
 
 
 def gram_classes(rows: DataFrame, gram: int = GRAM) -> np.ndarray:
@@ -96,14 +109,14 @@ def gram_classes(rows: DataFrame, gram: int = GRAM) -> np.ndarray:
     return levels.reshape(-1)
 
 
-def _summaries(batches, gram: int, levels: np.ndarray):
+def _summaries(batches, gram: int, alike: Alike, levels: np.ndarray):
     for b in batches:
         n, digest, profile, prefix = [], [], [], []
         for _, s in gram_sets(b.column(1), gram):
             n.append(len(s))
             digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
             profile.append(np.minimum(np.bincount((s & U(PROFILE - 1)).astype(np.int64), minlength=PROFILE), 65535).astype("<u2").tobytes())
-            p = prefix_length(len(s))
+            p = alike.prefix(len(s))
             if p:
                 rank = (levels[(s >> U(64 - COUNTER_BITS)).astype(np.int64)].astype(U) << U(56)) | (mix(s) >> U(8))
                 s = s[np.argpartition(rank, p - 1)[:p]] if p < len(s) else s
@@ -157,7 +170,7 @@ def _edge_batches(pairs: Iterator[tuple[int, int]]):
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
 
-def _candidates(batches):
+def _candidates(batches, alike: Alike):
     """Edges that span the candidate groups of each subtree: pairs whose lengths and profiles allow the threshold."""
     def pairs():
         for t in _groups(batches, 4):
@@ -169,12 +182,12 @@ def _candidates(batches):
             node, n, prof = node[order], n[order], prof[order]
             links = Links(len(n))
             for i in range(1, len(n)):
-                lo = int(np.searchsorted(n, -(-n[i] * NUMERATOR // DENOMINATOR)))
+                lo = int(np.searchsorted(n, alike.shortest(n[i])))
                 if lo >= i:
                     continue
                 differ = np.abs(prof[lo:i] - prof[i]).sum(axis=1)
-                need = -(-NUMERATOR * (n[lo:i] + n[i]) // (NUMERATOR + DENOMINATOR))
-                for j in np.flatnonzero(differ <= n[lo:i] + n[i] - 2 * need) + lo:
+                both = n[lo:i] + n[i]
+                for j in np.flatnonzero(differ <= both - 2 * alike.least_overlap(both)) + lo:
                     if links.join(i, int(j)):
                         yield int(node[i]), int(node[j])
     yield from _edge_batches(pairs())
@@ -202,7 +215,7 @@ class Trie:
                 lo = hi
 
 
-def _walk(root: Trie, x: int, mask: np.ndarray, n: int, links: Links):
+def _walk(root: Trie, x: int, mask: np.ndarray, n: int, links: Links, alike: Alike):
     """Link set x with every set of the trie that is alike; yields the links that join components."""
     stack = [(root, 0)]
     while stack:
@@ -211,10 +224,10 @@ def _walk(root: Trie, x: int, mask: np.ndarray, n: int, links: Links):
             continue
         overlap += int(mask[t.segment].sum())
         best = min(max(n - overlap + t.depth, t.least), t.most)  # the length with the most room
-        if (NUMERATOR + DENOMINATOR) * (overlap + min(n - overlap, best - t.depth)) < NUMERATOR * (n + best):
+        if not alike.holds(overlap + min(n - overlap, best - t.depth), n + best):
             continue
         for m in t.members:
-            if (NUMERATOR + DENOMINATOR) * overlap >= NUMERATOR * (n + t.depth) and links.join(x, m):
+            if alike.holds(overlap, n + t.depth) and links.join(x, m):
                 yield x, m
         stack += [(c, overlap) for c in t.children]
 
@@ -227,12 +240,12 @@ def _settle(t: Trie, links: Links) -> bool:
     return t.one
 
 
-def trie_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+def trie_links(sets: list[np.ndarray], alike: Alike = Alike()) -> Iterator[tuple[int, int]]:
     """Links (i, j) that span the components of alike sets. Grams that most sets share come first in the trie."""
     links = Links(len(sets))
     if len(sets) == 2:
         a, b = sets
-        if (NUMERATOR + DENOMINATOR) * len(np.intersect1d(a, b, assume_unique=True)) >= NUMERATOR * (len(a) + len(b)):
+        if alike.holds(len(np.intersect1d(a, b, assume_unique=True)), len(a) + len(b)):
             yield 0, 1
         return
     grams, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -246,20 +259,20 @@ def trie_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
         if root.one:
             return
         mask[ranked[x]] = True
-        yield from _walk(root, x, mask, len(ranked[x]), links)
+        yield from _walk(root, x, mask, len(ranked[x]), links, alike)
         mask[ranked[x]] = False
         if seen & (seen - 1) == 0 or seen % 64 == 0:
             _settle(root, links)
 
 
-def _verified(batches):
+def _verified(batches, alike: Alike):
     def pairs():
         for t in _groups(batches, 3):
             if t.num_rows < 2:
                 continue
             node = t.column("node").to_pylist()
             sets = [np.frombuffer(x, "<u8") for x in t.column("grams").to_pylist()]
-            for i, j in trie_links(sets):
+            for i, j in trie_links(sets, alike):
                 yield node[i], node[j]
     yield from _edge_batches(pairs())
 
@@ -274,25 +287,26 @@ def _blocks(df: DataFrame, key: str, size: str) -> DataFrame:
         "task", F.xxhash64(key, F.least("__own", "__other"), F.greatest("__own", "__other"))).drop("__own", "__other")
 
 
-def link_components(rows: DataFrame, gram: int = GRAM) -> DataFrame:
+def link_components(rows: DataFrame, gram: int = GRAM, alike: Alike = Alike()) -> DataFrame:
     """(at, n_shingles, component) for rows (at, text) with unique ``at``; component is the least ``at`` reachable."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     levels = spark.sparkContext.broadcast(gram_classes(rows, gram))
-    seen = cut(rows.select("at", "text").mapInArrow(lambda b: _summaries(b, gram, levels.value),
+    seen = cut(rows.select("at", "text").mapInArrow(lambda b: _summaries(b, gram, alike, levels.value),
                                                     "at long, n int, digest binary, profile binary, prefix array<bigint>"))
     classes = seen.where("n > 0").groupBy("digest").agg(F.min("at").alias("node"))  # equal sets: one class
     firsts = seen.join(classes.select(F.col("node").alias("at")), "at").select(F.col("at").alias("node"), "n", "profile", "prefix")
     firsts = cut(firsts)
 
-    hung = firsts.select("node", F.explode("prefix").alias("gram"))
+    # one shuffle by gram serves the counts and the join that brings them back
+    hung = firsts.select("node", F.explode("prefix").alias("gram")).repartition(parts, "gram")
     h = F.xxhash64("node")
     subtrees = hung.groupBy("gram").agg(F.count("*").alias("size"), F.bit_xor(h).alias("x"),
                                         F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s")).where("size > 1")
     same = hung.join(subtrees, "gram").select(F.xxhash64("size", "x", "s").alias("key"), "size", "node").distinct()
     members = _blocks(same.join(firsts.select("node", "n", "profile"), "node"), "key", "size")
     found = members.select("task", "node", "n", "profile").repartition(parts, "task").sortWithinPartitions("task").mapInArrow(
-        _candidates, "a long, b long")
+        lambda b: _candidates(b, alike), "a long, b long")
     groups = cut(components(found))
 
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
@@ -307,21 +321,30 @@ def link_components(rows: DataFrame, gram: int = GRAM) -> DataFrame:
     sets = rows.join(wanted.hint("shuffle_hash"), "at").select("at", "root", "size", "text").mapInArrow(
         whole, "node long, root long, size long, grams binary")
     tasks = _blocks(sets, "root", "size").select("task", "node", "grams")
-    links = tasks.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(_verified, "a long, b long")
+    links = tasks.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(
+        lambda b: _verified(b, alike), "a long, b long")
     roots = components(links)
     of_class = classes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component"))
     return seen.select("at", "n", "digest").join(of_class, "digest", "left").select(
         "at", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "at").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, gram: int = GRAM, alike: Alike = Alike(), id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     rows = coordinates(docs, id_col, text_col)
-    out = link_components(rows, gram)
+    out = link_components(rows, gram, alike)
     ids = rows.select("at", "doc_id")
     named = out.join(ids, "at").join(ids.select(F.col("at").alias("component"), F.col("doc_id").alias("component_id")), "component")
     return named.select("doc_id", "n_shingles", "component_id")
 
 
+def keep_one(docs: DataFrame, gram: int, alike: Alike, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The first row (by id, then text) of every component; rows with an empty set all stay. All columns are kept."""
+    rows = coordinates(docs, id_col, text_col, keep=True)
+    out = link_components(rows.select("at", F.coalesce(F.col(text_col), F.lit("")).alias("text")), gram, alike)
+    return rows.join(out.where("at = component").select("at").hint("shuffle_hash"), "at", "left_semi").select(*docs.columns)
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -223,6 +223,24 @@ def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id",
                           + ", passages array<struct<first:bigint,end:bigint,score:double>>" * passages)
 
 
+def keep_clean(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text") -> DataFrame:
+    """The rows whose score stays below one half, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        m = shared.value
+        for b in batches:
+            keep = []
+            for text in b.column(place).to_pylist():
+                words = tokens(text or "")
+                best = max((s for s, _, _ in m.segments(words)), default=0.0) if m else 0.0
+                keep.append(not (m and m.odds and m.score(best, len(words)) >= 0.5))
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = score(docs, fit(docs, table(spark, sf_dir, "labels")))
