@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -27,11 +27,11 @@ class PipelineConfig:
     delay_hours_threshold: float = 24.0
     brief_limit: int = 10
     embedding_dim: int = 64
-    similarity_block_rows: int = 8192
+    similarity_block_rows: int = 100_000
     # write orders, shipments and returns bucketed by order_id into this many
     # buckets (catalog tables): the 360 joins then read co-partitioned inputs
     order_buckets: int | None = None
-    extra: dict = field(default_factory=dict)
+    hot_key_rows: int | None = 1_000_000  # rows of one order that one task may join
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{getattr(self, layer)}/{table}"
@@ -44,10 +44,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The mart joins four inputs that are all keyed by order_id; the last join
-    # adds customer_id to the key. Orders are unique by order_id, so keeping the
-    # order_id partitioning for that join avoids re-shuffling the wide left side.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -81,13 +77,16 @@ def materialize(df):
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a folder of our own set.
+    A local session (one machine, as in tests) that names none gets a folder of its own; on a cluster a local folder
+    would be another one on every machine, so there it is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="caseloom-ckpt-", dir=os.environ.get("CASELOOM_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

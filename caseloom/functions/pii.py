@@ -36,11 +36,3 @@ def redact(text: Column | str) -> Column:
     col = F.col(text) if isinstance(text, str) else text
     masked = F.regexp_replace(col, PHONE_PATTERN, PHONE_TOKEN)
     return F.regexp_replace(masked, EMAIL_PATTERN, EMAIL_TOKEN)
-
-
-def redact_columns(df, columns, suffix: str | None = None):
-    """Mask several text columns in place (or into ``<col><suffix>``)."""
-    out = df
-    for c in columns:
-        out = out.withColumn(c + (suffix or ""), redact(F.col(c)))
-    return out

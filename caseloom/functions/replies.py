@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from caseloom.schemas import ISSUE_CATEGORIES, REPLY_KEYS, REPLY_SCHEMA, SENTIMENTS, URGENCIES
+from caseloom.schemas import ISSUE_CATEGORIES, REPLY_KEYS, SENTIMENTS, URGENCIES
+
+MESSAGE_KEY = "pii_redacted_message"
 
 # Python's str.strip() removes Unicode white space; Spark's trim removes blanks
 # only, so strip with a Unicode-aware regex instead.
@@ -40,13 +43,23 @@ def parse_reply(df: DataFrame, reply_col: str = "reply", prefix: str = "") -> Da
     and does not abort the batch: ``reply_error`` says why (SEM-7). Enum values
     are checked, never rewritten (SEM-8).
     """
-    out = df.withColumn("_reply", F.from_json(strip_fences(F.col(reply_col)), REPLY_SCHEMA))
+    # The text is read as the only element of a JSON array: prose or a second object after the first makes the array
+    # invalid or longer. The map knows which keys are there, null or not.
+    wrapped = F.concat(F.lit("["), strip_fences(F.col(reply_col)), F.lit("]"))
+    strict = {"allowSingleQuotes": "false"}
+    fields = T.StructType([T.StructField(k, T.StringType()) for k in REPLY_KEYS])
+    out = df.withColumn("_all", F.from_json(wrapped, T.ArrayType(fields), strict))
+    out = out.withColumn("_keys", F.from_json(wrapped, T.ArrayType(T.MapType(T.StringType(), T.StringType())), strict))
+    one = (F.size("_all") == 1) & (F.size("_keys") == 1)
+    out = out.withColumn("_reply", F.when(one, F.get("_all", F.lit(0)))).withColumn("_keys", F.when(one, F.get("_keys", F.lit(0))))
     parsed = F.col("_reply")
-    missing = F.concat_ws(",", *[F.when(parsed.getField(k).isNull(), F.lit(k)) for k in REPLY_KEYS])
+    missing = F.concat_ws(",", *[F.when(~F.map_contains_key("_keys", k), F.lit(k)) for k in REPLY_KEYS])
     error = (
         F.when(F.col(reply_col).isNull(), F.lit("no reply"))
-        .when(parsed.isNull() | parsed.getField("_corrupt_record").isNotNull(), F.lit("unparseable reply"))
+        .when(parsed.isNull() | F.col("_keys").isNull(), F.lit("unparseable reply"))
         .when(missing != "", F.concat(F.lit("missing keys: "), missing))
+        # every other key may be null, but the message is what gets masked and kept
+        .when(parsed.getField(MESSAGE_KEY).isNull(), F.lit(f"null {MESSAGE_KEY}"))
     )
     out = out.withColumn("reply_error", error)
     exprs = []
@@ -54,10 +67,8 @@ def parse_reply(df: DataFrame, reply_col: str = "reply", prefix: str = "") -> Da
         value = F.col("_reply").getField(k)
         if k == "requires_human_followup":
             value = _to_bool(value)
-        # a corrupt reply yields no fields at all
-        value = F.when(F.col("_reply").getField("_corrupt_record").isNull(), value)
         exprs.append(value.alias(prefix + k))
-    out = out.select("*", *exprs).drop("_reply")
+    out = out.select("*", *exprs).drop("_reply", "_all", "_keys")
     enum_ok = (
         F.col(prefix + "issue_category").isin(ISSUE_CATEGORIES)
         & F.col(prefix + "sentiment").isin(SENTIMENTS)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from caseloom.schemas import ISSUE_CATEGORIES, REPLY_KEYS, SENTIMENTS, URGENCIES
+
 # A missing value renders as the word None inside prompts and embedding text,
 # which is what a Python f-string prints for it; in metric lines (query results
 # fetched as text) it renders as the empty string.
@@ -40,6 +42,24 @@ Metrics:
 _EDGE_SPACE = r"(?U)^\s+|(?<!\s)\s+$"
 
 
+def ticket_instruction() -> str:
+    """What a model must know to answer in the form ``parse_reply`` reads: keys, allowed values, rules."""
+    return "\n".join([
+        "Answer with one JSON object and nothing else.",
+        "It must hold these keys: " + ", ".join(REPLY_KEYS) + ".",
+        "issue_category is one of: " + ", ".join(ISSUE_CATEGORIES) + ".",
+        "sentiment is one of: " + ", ".join(SENTIMENTS) + ". urgency is one of: " + ", ".join(URGENCIES) + ".",
+        "requires_human_followup is true or false.",
+        "pii_redacted_message is the customer's message with phone numbers and e-mail addresses masked.",
+        "Keep the other fields to one short sentence each and invent nothing.",
+    ])
+
+
+def brief_instruction() -> str:
+    """The tone a model writes the brief in."""
+    return "You write for operations managers: plain, factual, short. Use only the numbers given."
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

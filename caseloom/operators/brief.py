@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.text import HOTSPOT_HEADER, KPI_HEADER, brief_prompt, hotspot_line, kpi_line, \
+from caseloom.functions.text import HOTSPOT_HEADER, KPI_HEADER, brief_instruction, brief_prompt, hotspot_line, kpi_line, \
     result_text
 
 
@@ -134,5 +134,5 @@ def daily_brief(kpi_top: DataFrame, hotspot_top: DataFrame, brief_fn: Callable |
         return entries.select(_brief_text(F.col("entries")).alias("brief"))
     from caseloom.operators.enrich import model_reply_udf
 
-    prompt = brief_prompt(block_text(F.col("entries")))
+    prompt = F.concat(F.lit(brief_instruction() + "\n\n"), brief_prompt(block_text(F.col("entries"))))
     return entries.select(model_reply_udf(brief_fn)(prompt).alias("brief"))

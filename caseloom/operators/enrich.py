@@ -5,7 +5,7 @@ Three ways to produce the reply, all distributed:
 * ``reply=<column>``: the reply text is already a column (a model's stored
   output, or a simulated one); it is parsed with Column expressions.
 * ``reply_fn=<callable>``: a caller-supplied model call, ``pandas.Series`` of
-  prompts → ``pandas.Series`` of reply texts, run as an Arrow-batched pandas UDF
+  prompts (the reply format first, then the ticket) → ``pandas.Series`` of reply texts, run as an Arrow-batched pandas UDF
   on the executors (one call per batch, not per row on the driver).
 * neither: a rule classifier made of ``rlike`` Column expressions (default,
   since no model service is reachable). The rules are an argument.
@@ -22,32 +22,44 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.pii import redact
 from caseloom.functions.replies import parse_reply
-from caseloom.functions.text import ticket_prompt
+from caseloom.functions.text import ticket_instruction, ticket_prompt
 from caseloom.schemas import ENRICHMENT_COLUMNS, ISSUE_CATEGORIES, SENTIMENTS, URGENCIES
 
 
+def word(w: str) -> str:
+    """A whole word, with explicit Unicode word classes (portable across regex engines)."""
+    return rf"(^|[^\p{{L}}\p{{N}}_]){w}([^\p{{L}}\p{{N}}_]|$)"
+
+
 @dataclass(frozen=True)
 class RuleSet:
-    """Ordered (value, regex) rules; the first match wins, else the default."""
+    """Ordered (value, regex) rules; the first match wins, else the default.
+
+    Words are bounded by non-letters that every engine knows (see ``word``). What a customer declines ("instead of a
+    refund") must not count as asked for, so the rules that name the fault come before those that name the remedy.
+    """
 
     categories: list = field(default_factory=lambda: [
-        ("RETURN_PICKUP_DELAY", r"pick ?-?up"),
-        ("REFUND_DELAY", r"refund"),
-        ("REPLACEMENT_REQUEST", r"replac|exchange"),
-        ("DAMAGED_ITEM", r"damag|broken|crack|defect|torn|shatter"),
-        ("WRONG_ITEM_SENT", r"wrong|different (item|product|size|colou?r)|not what i ordered"),
-        ("PAYMENT_ISSUE", r"payment|charged|billing|invoice|card|upi"),
-        ("DELIVERY_EXCEPTION", r"exception|lost|missing|return(ed)? to sender|undeliver|address"),
-        ("DELIVERY_DELAY", r"delay|late|not (yet )?(arrived|delivered)|still waiting|where is my"),
+        ("RETURN_PICKUP_DELAY", word("(pick ?-?ups?|reverse logistics|collections? (windows?|slots?|agents?))")),
+        ("WRONG_ITEM_SENT", word("(wrong|mismatch(ed)?|mixed up|(completely )?different (items?|products?|sizes?|colou?rs?)|not what i ordered)")),
+        ("PAYMENT_ISSUE", word("(payments?|charged|charges|double charge|billing|invoices?|debit(ed)?|cards?|upi)")),
+        ("REPLACEMENT_REQUEST", word("(replacements?|replace(d)?|exchanges?) (instead|rather than|and no(t a)? refund)")
+         + "|" + word("(specifically|only) (asked for|wants?) (a )?(replacement|exchange)")),
+        ("DAMAGED_ITEM", word("(damag(e|es|ed|ing)|broken|broke|crack(s|ed)?|dent(s|ed)?|torn|shatter(ed)?|smashed)")),
+        ("REPLACEMENT_REQUEST", word("(replacements?|replace(d)?|exchanges?|defective|faulty|not working)")),
+        ("REFUND_DELAY", word("(refunds?|refunded|settlements?|money back|reimburs(e|ed|ement))")),
+        ("DELIVERY_EXCEPTION", word("(delivery exception|proof of delivery|never (received|arrived)|nothing (was )?(actually )?received|marked (as )?delivered"
+                                    "|lost|missing|return(ed)? to sender|undelivered|undeliverable|(wrong|incomplete) address)")),
+        ("DELIVERY_DELAY", word("(delay(s|ed)?|late|eta|transit|overdue|not (yet )?(arrived|delivered)|still waiting|where is my)")),
     ])
     default_category: str = "GENERAL_QUERY"
     sentiments: list = field(default_factory=lambda: [
-        ("NEGATIVE", r"angry|frustrat|terrible|worst|unacceptable|disappoint|upset|annoy|!!"),
-        ("POSITIVE", r"thank|great|appreciate|happy|glad"),
+        ("NEGATIVE", word("(angry|frustrat(ed|ing)|terrible|worst|unacceptable|disappoint(ed|ing)|dissatisfied|upset|annoy(ed|ing))") + "|!!"),
+        ("POSITIVE", word("(thanks?|thank you|great|appreciate(d)?|happy|glad)")),
     ])
     default_sentiment: str = "NEUTRAL"
     urgencies: list = field(default_factory=lambda: [
-        ("HIGH", r"urgent|asap|immediately|escalat|legal|chargeback|today"),
+        ("HIGH", word("(urgent(ly)?|asap|immediate(ly)?|escalat(e|ed|ion)|legal|chargeback|today)")),
     ])
     default_urgency: str = "MEDIUM"
     low_urgency_categories: tuple = ("GENERAL_QUERY",)
@@ -59,7 +71,7 @@ class RuleSet:
         "REFUND_DELAY": "Refund processing backlog",
         "PAYMENT_ISSUE": "Payment capture or reconciliation error",
         "RETURN_PICKUP_DELAY": "Reverse pickup not scheduled",
-        "REPLACEMENT_REQUEST": "Customer prefers replacement",
+        "REPLACEMENT_REQUEST": "A like-for-like exchange was asked for",
         "GENERAL_QUERY": "General information request",
     })
     actions: dict = field(default_factory=lambda: {
@@ -132,13 +144,16 @@ def rule_reply(df: DataFrame, rules: RuleSet = DEFAULT_RULES,
 
 
 def model_reply_udf(reply_fn: Callable):
-    """Wrap ``reply_fn(pd.Series[str]) -> pd.Series[str]`` as a pandas UDF."""
+    """Wrap ``reply_fn(pd.Series[str]) -> pd.Series[str]`` as a pandas UDF.
+
+    A model call may answer differently each time and costs money: marked nondeterministic, the optimizer neither
+    repeats nor moves it."""
 
     @F.pandas_udf("string")
     def _call(prompts: pd.Series) -> pd.Series:
         return pd.Series(reply_fn(prompts), index=prompts.index).astype(object)
 
-    return _call
+    return _call.asNondeterministic()
 
 
 def enrich(tickets: DataFrame, reply: str | None = None, reply_fn: Callable | None = None,
@@ -152,18 +167,15 @@ def enrich(tickets: DataFrame, reply: str | None = None, reply_fn: Callable | No
     if reply is not None or reply_fn is not None:
         staged = tickets
         if reply is None:
-            staged = tickets.withColumn("_model_reply", model_reply_udf(reply_fn)(ticket_prompt()))
+            asked = F.concat(F.lit(ticket_instruction() + "\n\n"), ticket_prompt())
+            staged = tickets.withColumn("_model_reply", model_reply_udf(reply_fn)(asked))
             reply = "_model_reply"
         parsed = parse_reply(staged.withColumnRenamed(reply, "_reply_text"), "_reply_text")
     else:
         parsed = rule_reply(tickets, rules)
     masked = parsed.withColumn("pii_redacted_message", redact(F.col("pii_redacted_message")))
-    if strict:
-        masked = masked.withColumn(
-            "reply_error",
-            F.when(F.col("reply_error").isNotNull(),
-                   F.raise_error(F.concat(F.lit("bad model reply for ticket "),
-                                          F.coalesce(F.col("ticket_id"), F.lit("?")), F.lit(": "),
-                                          F.col("reply_error")))),
-        )
+    if strict:  # in a filter, which no projection or count can drop
+        bad = F.raise_error(F.concat(F.lit("bad model reply for ticket "), F.coalesce(F.col("ticket_id"), F.lit("?")),
+                                     F.lit(": "), F.col("reply_error")))
+        masked = masked.filter(F.when(F.col("reply_error").isNotNull(), bad.cast("boolean")).otherwise(True))
     return masked.select(*ENRICHMENT_COLUMNS, "reply_error", "enum_ok")

@@ -60,12 +60,13 @@ def order_support_360(orders: DataFrame, shipments: DataFrame, returns: DataFram
                       enrichment: DataFrame, similarity: DataFrame | None = None,
                       threshold: float = DELAY_THRESHOLD_HOURS,
                       hot_key_rows: int | None = 1_000_000,
-                      key_sources: list[DataFrame] | None = None) -> DataFrame:
+                      key_sources: list[DataFrame | None] | None = None) -> DataFrame:
     """One row per order and matching shipment × return × ticket (SEM-9 fan-out kept).
 
     A ticket joins only when both order_id and customer_id agree (JN-3, SEM-10).
     An order_id with more than ``hot_key_rows`` shipments, returns or tickets
     is joined spread over many tasks (``operators.skew``); ``None`` skips the check.
+    ``lost_tickets`` counts the tickets that find no order.
     ``key_sources``: for shipments, returns and tickets, a cheaper frame with an
     ``order_id`` column whose rows per key are at least the side's (for example
     the source rows a derived side is built from). Rows per key are counted
@@ -82,8 +83,7 @@ def order_support_360(orders: DataFrame, shipments: DataFrame, returns: DataFram
         keyed, "order_id",
         [Side(s, "order_id", count_on=src[0]),
          Side(r, "order_id", count_on=src[1]),
-         Side(te, "_te_order_id", [("customer_id", "_te_customer_id")],
-              count_on=None if src[2] is None else src[2].select(F.col("order_id").alias("_te_order_id")))],
+         Side(te, "_te_order_id", [("customer_id", "_te_customer_id")], count_on=src[2], count_key="order_id")],
         hot_threshold=hot_key_rows,
     )
     unkeyed = o.filter(F.col("order_id").isNull())
@@ -91,3 +91,19 @@ def order_support_360(orders: DataFrame, shipments: DataFrame, returns: DataFram
                    for c in joined.columns if c not in _ORDER_COLS}
     unkeyed = unkeyed.withColumns(empty_right).select(*joined.columns)
     return _flags(joined.unionByName(unkeyed), threshold)
+
+
+def lost_tickets(orders: DataFrame, enrichment: DataFrame) -> DataFrame:
+    """One row: tickets in all, and those the mart cannot show because no order has their order and customer (SEM-10)."""
+    known = orders.select(F.col("order_id").alias("_o"), F.col("customer_id").alias("_c")).distinct()
+    match = (F.col("order_id") == F.col("_o")) & (F.col("customer_id") == F.col("_c"))
+    return enrichment.select("order_id", "customer_id").join(known, match, "left").agg(
+        F.count(F.lit(1)).alias("tickets"), F.count_if(F.col("_o").isNull()).alias("lost"))
+
+
+def assert_unique(df: DataFrame, key: str) -> DataFrame:
+    """The frame itself, or an error if a key occurs twice (SEM-9: opt-in check against fan-out)."""
+    twice = df.groupBy(key).count().where(F.col("count") > 1).head(1)
+    if twice:
+        raise ValueError(f"{key} {twice[0][0]!r} occurs {twice[0][1]} times")
+    return df

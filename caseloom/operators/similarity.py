@@ -47,14 +47,17 @@ _CANDIDATE_SCHEMA = T.StructType([
 # Scores are ranked on this many decimals so that equal vectors compare equal
 # whatever the block shape did to the last bits of the product (SEM-13).
 RANK_DECIMALS = 12
+SCORE_CELLS = 8_000_000  # doubles of one score matrix: 64 MB
 
 
 def _matrix(vectors: pd.Series, dim: int) -> np.ndarray:
+    """Vectors as rows, in one copy; a null or shorter vector is filled up with zeros."""
+    lengths = np.fromiter((len(v) if v is not None else 0 for v in vectors), np.int64, len(vectors))
     mat = np.zeros((len(vectors), dim), dtype=np.float64)
-    for i, v in enumerate(vectors):
-        if v is not None and len(v):
-            arr = np.asarray(v, dtype=np.float64)
-            mat[i, : arr.shape[0]] = arr
+    if lengths.any():
+        flat = np.concatenate([v for v in vectors if v is not None and len(v)])
+        row = np.repeat(np.arange(len(vectors)), lengths)
+        mat[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
     return mat
 
 
@@ -75,19 +78,21 @@ def _best_partners(left: pd.DataFrame, right: pd.DataFrame, scores: np.ndarray,
     k = min(top_n, masked.shape[1])
     if k == 0:
         return pd.DataFrame()
-    # k-th best key per row; every candidate at or above it (ties included)
-    kth = -np.partition(-masked, k - 1, axis=1)[:, k - 1]
-    rows, cols = np.nonzero(valid & (masked >= kth[:, None]))
+    # The right rows stand in the order ties are settled in (id, then uid): of the keys equal to the k-th best, the
+    # first ones fill what the better ones leave. Only k places a row are ever listed, however many tie.
+    kth = -np.partition(-masked, k - 1, axis=1)[:, k - 1:k]
+    reach = valid & (masked >= kth)
+    crowded = np.flatnonzero(reach.sum(axis=1) > k)
+    for i in crowded:
+        better = np.flatnonzero(reach[i] & (masked[i] > kth[i]))
+        ties = np.flatnonzero(reach[i] & (masked[i] == kth[i]))[:k - len(better)]
+        reach[i] = False
+        reach[i, better] = True
+        reach[i, ties] = True
+    rows, cols = np.nonzero(reach)
     if rows.size == 0:
         return pd.DataFrame()
-    id_rank = right["ticket_id"].rank(method="dense").to_numpy()
     ruid = right["_uid"].to_numpy()
-    order = np.lexsort((ruid[cols], id_rank[cols], -key[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
-    pos = np.arange(rows.size) - np.repeat(starts, np.diff(np.r_[starts, rows.size]))
-    keep = pos < k
-    rows, cols = rows[keep], cols[keep]
     return pd.DataFrame({
         "_uid": left["_uid"].to_numpy()[rows],
         "_m": left["_m"].to_numpy()[rows],
@@ -111,9 +116,10 @@ def _keep_best(cands: pd.DataFrame, top_n: int) -> pd.DataFrame:
 
 def _block_pair(left: pd.DataFrame, right: pd.DataFrame, ul: np.ndarray, ur: np.ndarray, top_n: int,
                 chunk_rows: int, both: bool) -> list[pd.DataFrame]:
-    """Score ``chunk_rows`` left rows at a time (the score matrix never exceeds
-    chunk_rows × |right|); each product serves both directions when ``both``."""
+    """Score some left rows at a time, at most ``chunk_rows`` and so that the score matrix stays within SCORE_CELLS;
+    each product serves both directions when ``both``."""
     out, backward = [], []
+    chunk_rows = max(1, min(chunk_rows, SCORE_CELLS // max(1, len(right))))
     for start in range(0, len(left), chunk_rows):
         part = left.iloc[start:start + chunk_rows].reset_index(drop=True)
         scores = ul[start:start + chunk_rows] @ ur.T
@@ -133,6 +139,7 @@ def _pair_kernel(top_n: int, chunk_rows: int):
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         bi, bj = int(pdf["_bi"].iloc[0]), int(pdf["_bj"].iloc[0])
+        pdf = pdf.sort_values(["ticket_id", "_uid"], kind="mergesort")
         left = pdf[pdf["_blk"] == bi].reset_index(drop=True)
         right = left if bi == bj else pdf[pdf["_blk"] == bj].reset_index(drop=True)
         if left.empty or right.empty:
@@ -171,8 +178,8 @@ def summary_lookup(enrichment: DataFrame) -> DataFrame:
 
 
 def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_n: int = 3,
-                block_rows: int = 8192, num_blocks: int | None = None, n_rows: int | None = None,
-                chunk_rows: int = 1024, copy_chunk: int = 100_000) -> DataFrame:
+                block_rows: int = 100_000, num_blocks: int | None = None, n_rows: int | None = None,
+                chunk_rows: int = 1024, copy_chunk: int = 100_000, require_summaries: bool = False) -> DataFrame:
     """OUT-8: for every embedding row, its ``top_n`` most similar other tickets.
 
     ``embeddings``: ticket_id, issue_category, embedding (array of numbers).
@@ -181,8 +188,10 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
     ``n_rows``: an upper bound of the row count, used only to size the blocks;
     when absent the input is counted (one extra pass).
     ``block_rows`` sets the replication (each row travels to N / block_rows
-    block pairs); ``chunk_rows`` bounds a task's score matrix to
-    chunk_rows × block_rows doubles, independently of the block size.
+    block pairs; 100,000 rows of 64 doubles are 51 MB); ``chunk_rows`` and SCORE_CELLS bound a task's score matrix,
+    independently of the block size.
+    ``require_summaries``: a result row whose id the enrichment doesn't have fails the job, as at the source; else its
+    summary columns are null.
     """
     spark = embeddings.sparkSession
     emb = embeddings.select(
@@ -217,6 +226,12 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
         if "created_at" not in enrichment.columns:
             enrichment = enrichment.withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
         lookup = summary_lookup(enrichment)
+        if require_summaries:
+            have = lookup.select(F.col("ticket_id").alias("_have"))
+            for side in ("ticket_id", "matched_ticket_id"):
+                unknown = F.raise_error(F.concat(F.lit("no enrichment for ticket "), F.coalesce(F.col(side), F.lit("?"))))
+                ranked = ranked.join(have, F.col(side) == F.col("_have"), "left").filter(
+                    F.when(F.col("_have").isNull(), unknown.cast("boolean")).otherwise(True)).drop("_have")
         ranked = (
             ranked.join(lookup.select("ticket_id", F.col("customer_summary").alias("ticket_summary")),
                         "ticket_id", "left")
@@ -240,16 +255,11 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
 def _emit_copies(ranked: DataFrame, chunk: int) -> DataFrame:
     """One output row per copy of each left row.
 
-    A row with few copies expands in place. A row with more than ``chunk`` copies
-    (a hot group of identical rows) is first cut into chunk-sized pieces, and
-    the pieces are spread over tasks, so no single task emits the whole group."""
-    few = ranked.filter(F.col("_m") <= chunk)
-    few = few.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_m"))))
-    many = ranked.filter(F.col("_m") > chunk)
-    many = many.withColumn("_piece", F.explode(F.sequence(F.lit(0), ((F.col("_m") - 1) / chunk).cast("long"))))
-    many = many.repartition("_uid", "_piece", "similarity_rank").withColumn(
-        "_rep", F.explode(F.sequence(F.lit(1), F.least(F.lit(chunk), F.col("_m") - F.col("_piece") * chunk))))
-    return few.unionByName(many.drop("_piece"))
+    Rows are cut into pieces of at most ``chunk`` copies (most are one piece) and the pieces are spread over tasks,
+    so no task emits the whole of a large group of identical rows."""
+    pieces = ranked.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("_m") - 1) / chunk))))
+    return pieces.repartition("_uid", "_piece", "similarity_rank").withColumn(
+        "_rep", F.explode(F.sequence(F.lit(1), F.least(F.lit(chunk), F.col("_m") - F.col("_piece") * chunk)))).drop("_piece")
 
 
 def top_similarity(similarity: DataFrame) -> DataFrame:

@@ -1,36 +1,35 @@
-"""A chain of left joins on one key that stays balanced when a key is hot.
-
-``left ⟕ side_1 ⟕ side_2 ⟕ …``, every side keyed by the left's key (plus
-optional further equalities). Spark's adaptive skew handling can split the
-preserved (left) side of a left join but not the other side, so a key holding
-a large share of one side's rows would be joined by a single task.
-
-Here one aggregation finds the heavy keys: per-side key counts with map-side
-partial aggregation, keeping keys above ``hot_threshold`` rows, capped at
-``max_hot_keys`` (so the set is bounded and broadcast). Cold keys take the
-ordinary chain. For each hot key, its heaviest side is spread over ``salts``
-buckets, the left row is copied to every bucket, and the other sides' rows
-for that key are copied to every bucket. The output is row for row the same as
-the plain chain.
+"""A chain of left joins on one key that stays balanced when keys are hot.
+
+``left ⟕ side_1 ⟕ side_2 ⟕ …``, every side keyed by the left's key (plus optional further equalities). Spark's adaptive
+skew handling can split the preserved (left) side of a left join but not the other side, so a key holding a large share
+of one side's rows would be joined by a single task.
+
+Hot keys are found without a shuffle by key: rows are counted in a fixed number of hash buckets, keys are counted
+exactly only in buckets above ``hot_threshold``. A bucket never counts less than a key in it, so no hot key is missed.
+Keys above the threshold number at most rows / threshold. Cold keys take the ordinary chain. For a hot key, each join is
+done on a grid: the rows so far are dealt to as many salts as they fill thresholds, the side's rows likewise, and each
+row is copied along the other axis only. The output is row for row the same as the plain chain.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.config import materialize
+
 
 @dataclass
 class Side:
     df: DataFrame
     key: str
     extra: list = field(default_factory=list)  # [(left_col, right_col)] further equalities
-    # rows per key are counted here when it is cheaper than ``df`` and has the
-    # same number of rows per key (e.g. a table before a 1:1 lookup join)
+    # rows per key are counted here when it is cheaper than ``df`` and has at least as many rows per key (e.g. a
+    # table before a lookup join); sides may share one frame, which is then counted once
     count_on: DataFrame | None = None
+    count_key: str | None = None
 
 
 def _prep(i: int, side: Side) -> tuple[DataFrame, str, list[tuple[str, str]]]:
@@ -45,17 +44,17 @@ def _prep(i: int, side: Side) -> tuple[DataFrame, str, list[tuple[str, str]]]:
     return df, rk, extras
 
 
-def _cond(key: str, rk: str, extras, salt: bool = False) -> Column:
+def _cond(key: str, rk: str, extras) -> Column:
+    """Equal keys; further equalities as ranges, so the join stays partitioned by the key alone, whatever the session's
+    options, and joins that follow reuse that partitioning."""
     c = F.col(key) == F.col(rk)
     for lc, rc in extras:
-        c = c & (F.col(lc) == F.col(rc))
-    if salt:
-        c = c & (F.col("_salt") == F.col("_rsalt"))
+        c = c & F.col(lc).between(F.col(rc), F.col(rc))
     return c
 
 
 def _private(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c.startswith(("_rk", "_rx", "_rsalt", "_salt"))]
+    return [c for c in df.columns if c.startswith(("_rk", "_rx"))]
 
 
 def plain_chain(left: DataFrame, key: str, sides: list[Side]) -> DataFrame:
@@ -67,65 +66,75 @@ def plain_chain(left: DataFrame, key: str, sides: list[Side]) -> DataFrame:
     return out
 
 
-def hot_keys(sides: list[Side], hot_threshold: int, max_hot_keys: int) -> DataFrame:
-    """(key, side index, rows) of the heaviest side for every key above the threshold."""
-    counts = None
-    for i, side in enumerate(sides):
-        src = side.count_on if side.count_on is not None else side.df
-        c = (src.groupBy(F.col(side.key).alias("_hk")).agg(F.count(F.lit(1)).alias("_n"))
-             .filter((F.col("_n") > hot_threshold) & F.col("_hk").isNotNull())
-             .withColumn("_side", F.lit(i)))
-        counts = c if counts is None else counts.unionByName(c)
-    per_key = counts.groupBy("_hk").agg(F.max_by("_side", "_n").alias("_side"), F.max("_n").alias("_n"))
-    return per_key.orderBy(F.col("_n").desc(), F.col("_hk")).limit(max_hot_keys)
-
-
-def _hot_branch(left: DataFrame, key: str, sides: list[Side], hot: DataFrame, heavy: int, salts: int,
-                columns: list[str]) -> DataFrame:
-    keys = F.broadcast(hot.filter(F.col("_side") == heavy).select(F.col("_hk")))
-    on_key = lambda df, k: df.join(keys, df[k] == keys["_hk"], "left_semi")
-    lrows = on_key(left, key)
-    df, rk, extras = _prep(heavy, sides[heavy])
-    # A random bucket (not a content hash) so identical copies of a row spread
-    # too. Any bucket is correct, since the left row and the other sides are in
-    # every bucket. Spark treats the nondeterministic key as indeterminate and
-    # re-runs the downstream stage if a map output is lost.
-    heavy_rows = on_key(df, rk).withColumn("_rsalt", F.floor(F.rand(17) * salts).cast("int"))
-    copies = lrows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    matched = copies.join(heavy_rows, _cond(key, rk, extras, salt=True), "inner")
-    present = heavy_rows.select(rk, *[rc for _, rc in extras]).distinct()
-    unmatched = lrows.join(present, _cond(key, rk, extras), "left_anti").withColumn("_salt", F.lit(0))
-    out = matched.unionByName(unmatched, allowMissingColumns=True).drop("_rsalt", rk, *[rc for _, rc in extras])
-    for i, side in enumerate(sides):
-        if i == heavy:
-            continue
-        df, rk, extras = _prep(i, side)
-        rows = on_key(df, rk).withColumn("_rsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        out = out.join(rows, _cond(key, rk, extras, salt=True), "left")
-        out = out.drop("_rsalt", rk, *[rc for _, rc in extras])
-    return out.select(*columns)
-
-
-def left_join_chain(left: DataFrame, key: str, sides: list[Side], hot_threshold: int | None = 1_000_000,
-                    max_hot_keys: int = 10_000, salts: int | None = None) -> DataFrame:
-    """The left-join chain; hot keys are spread out (``hot_threshold=None`` turns
-    the detection off). ``salts`` defaults to the heaviest key's rows divided
-    by the threshold, between 2 and 512."""
+def hot_keys(df: DataFrame, key: str, hot_threshold: int) -> DataFrame | None:
+    """(_hk, _n) of the keys with more than ``hot_threshold`` rows; None if there is none."""
+    keys = df.select(F.col(key).alias("_hk")).where(F.col("_hk").isNotNull())
+    total = df.count()
+    buckets = 1 << max(4, (16 * total // hot_threshold).bit_length())
+    bucket = F.pmod(F.xxhash64("_hk"), F.lit(buckets))
+    per_bucket = keys.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    if (per_bucket.agg(F.max("_n")).first()[0] or 0) <= hot_threshold:
+        return None
+    full = materialize(per_bucket.where(F.col("_n") > hot_threshold).select("_b"))
+    suspects = keys.withColumn("_b", bucket).join(full, "_b", "left_semi")
+    found = materialize(suspects.groupBy("_hk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold))
+    return found if found.head(1) else None
+
+
+def hot_grid(sides: list[Side], hot_threshold: int) -> DataFrame | None:
+    """(_hk, _n0, _n1, …): the rows of every hot key on every side (0 where it isn't hot)."""
+    counted: dict[tuple[int, str], DataFrame | None] = {}
+    found = []
+    for side in sides:
+        src, key = (side.df, side.key) if side.count_on is None else (side.count_on, side.count_key or side.key)
+        if (id(src), key) not in counted:
+            counted[id(src), key] = hot_keys(src, key, hot_threshold)
+        found.append(counted[id(src), key])
+    if all(h is None for h in found):
+        return None
+    rows = None
+    for i, h in enumerate(found):
+        if h is not None:
+            part = h.select("_hk", F.lit(i).alias("_side"), "_n")
+            rows = part if rows is None else rows.unionByName(part)
+    return materialize(rows.groupBy("_hk").agg(*[
+        F.coalesce(F.max(F.when(F.col("_side") == i, F.col("_n"))), F.lit(0)).alias(f"_n{i}") for i in range(len(sides))]))
+
+
+def _grid_step(out: DataFrame, key: str, i: int, side: Side, salts: DataFrame) -> DataFrame:
+    """One left join for hot keys; ``salts``: (_hk, _a, _b), the salts of the rows so far and of the side."""
+    df, rk, extras = _prep(i, side)
+    # Random salts (not a content hash), so identical copies of a row spread too. Any salt is correct, since the
+    # other side is in every one. Spark treats a nondeterministic key as indeterminate and re-runs the downstream
+    # stage if a map output is lost.
+    left = out.join(salts, F.col(key) == F.col("_hk")).withColumn("_la", F.floor(F.rand(17 + i) * F.col("_a")).cast("int")).withColumn(
+        "_lb", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).drop("_hk", "_a", "_b")
+    right = df.join(salts, F.col(rk) == F.col("_hk")).withColumn("_rb", F.floor(F.rand(71 + i) * F.col("_b")).cast("int")).withColumn(
+        "_ra", F.explode(F.sequence(F.lit(0), F.col("_a") - 1))).drop("_hk", "_a", "_b")
+    matched = left.join(right, _cond(key, rk, extras) & (F.col("_la") == F.col("_ra")) & (F.col("_lb") == F.col("_rb")))
+    present = df.join(salts, F.col(rk) == F.col("_hk"), "left_semi").select(rk, *[rc for _, rc in extras]).distinct()
+    alone = out.join(present, _cond(key, rk, extras), "left_anti")
+    joined = matched.drop("_la", "_lb", "_ra", "_rb", rk, *[rc for _, rc in extras])
+    return joined.unionByName(alone, allowMissingColumns=True)
+
+
+def left_join_chain(left: DataFrame, key: str, sides: list[Side], hot_threshold: int | None = 1_000_000) -> DataFrame:
+    """The left-join chain with hot keys on a grid. ``hot_threshold``: rows of one key that one task may take;
+    ``None`` turns the detection off."""
     plain = plain_chain(left, key, sides)
     if not hot_threshold:
         return plain
-    from caseloom.config import materialize
-
-    hot = materialize(hot_keys(sides, hot_threshold, max_hot_keys))
-    top = hot.agg(F.max("_n").alias("n")).collect()[0].n
-    if top is None:
+    grid = hot_grid(sides, hot_threshold)
+    if grid is None:
         return plain
-    if salts is None:
-        salts = max(2, min(512, math.ceil(top / hot_threshold)))
-    hk = F.broadcast(hot.select("_hk"))
-    cold_left = left.join(hk, left[key] == hk["_hk"], "left_anti")
-    cold_sides = [Side(s.df.join(hk, s.df[s.key] == hk["_hk"], "left_anti"), s.key, s.extra) for s in sides]
-    out = plain_chain(cold_left, key, cold_sides)
-    for heavy in sorted(r._side for r in hot.select("_side").distinct().collect()):
-        out = out.unionByName(_hot_branch(left, key, sides, hot, heavy, salts, plain.columns))
-    return out
+    # no broadcast hints: the table of hot keys is stored, so Spark knows its size and chooses
+    cold_left = left.join(grid, left[key] == grid["_hk"], "left_anti")
+    cold_sides = [Side(s.df.join(grid, s.df[s.key] == grid["_hk"], "left_anti"), s.key, s.extra) for s in sides]
+    out = left.join(grid, left[key] == grid["_hk"], "left_semi")
+    so_far = F.lit(1.0)  # rows a left row has become, at most
+    for i, side in enumerate(sides):
+        n = F.greatest(F.col(f"_n{i}"), F.lit(1)).cast("double")
+        salts = grid.select("_hk", F.ceil(so_far / hot_threshold).cast("int").alias("_a"), F.ceil(n / hot_threshold).cast("int").alias("_b"))
+        out = _grid_step(out, key, i, side, salts)
+        so_far = so_far * n
+    return plain_chain(cold_left, key, cold_sides).unionByName(out.select(*plain.columns))

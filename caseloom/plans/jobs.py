@@ -17,7 +17,7 @@ from caseloom.operators import brief, kpis, mart, reports, similarity, standardi
 from caseloom.operators.embed import embed
 from caseloom.operators.enrich import DEFAULT_RULES, RuleSet, enrich
 from caseloom.sinks.writers import export_csv, write_bucketed_table, write_table, write_text
-from caseloom.sources.catalog import register_tables
+from caseloom.sources.catalog import create_database, register_tables
 from caseloom.sources.raw import read_raw_csv, read_raw_json, read_table
 
 CSV_TABLES = ["orders", "shipments", "returns", "products"]
@@ -42,7 +42,7 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
         fn = standardize.STANDARDIZERS[t]
         df = fn(raw, cfg.delay_hours_threshold) if t == "shipments" else fn(raw)
         if cfg.order_buckets and t in ORDER_KEYED:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{cfg.database}`")
+            create_database(spark, cfg)
             counts[t] = write_bucketed_table(df, _silver_name(cfg, t), cfg.path("silver", t), "order_id",
                                              cfg.order_buckets)
         else:
@@ -53,10 +53,10 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
 
 
 def run_tickets(spark: SparkSession, cfg: PipelineConfig, reply_fn: Callable | None = None,
-                rules: RuleSet = DEFAULT_RULES, vector_fn=None) -> dict[str, int]:
-    """OUT-6..8: enrichment, embeddings, top-N similar tickets."""
+                rules: RuleSet = DEFAULT_RULES, vector_fn=None, strict: bool = False) -> dict[str, int]:
+    """OUT-6..8: enrichment, embeddings, top-N similar tickets. ``strict``: a bad reply fails the job."""
     tickets = read_table(spark, cfg.path("silver", "support_tickets"))
-    counts = {"ticket_enrichment": write_table(enrich(tickets, reply_fn=reply_fn, rules=rules),
+    counts = {"ticket_enrichment": write_table(enrich(tickets, reply_fn=reply_fn, rules=rules, strict=strict),
                                                cfg.path("model", "ticket_enrichment"))}
     enrichment = read_table(spark, cfg.path("model", "ticket_enrichment"))
     counts["ticket_embeddings"] = write_table(embed(enrichment, cfg.embedding_dim, vector_fn),
@@ -77,13 +77,16 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
         _read_silver(spark, cfg, "returns"),
         read_table(spark, cfg.path("model", "ticket_enrichment")),
         read_table(spark, cfg.path("model", "ticket_similarity")),
-        threshold=cfg.delay_hours_threshold,
+        threshold=cfg.delay_hours_threshold, hot_key_rows=cfg.hot_key_rows,
     )
     counts = {"order_support_360": write_table(m, cfg.path("gold", "order_support_360"))}
     stored = read_table(spark, cfg.path("gold", "order_support_360"))
     counts["issue_kpis"] = write_table(kpis.issue_kpis(stored), cfg.path("gold", "issue_kpis"))
     counts["city_issue_hotspots"] = write_table(kpis.city_issue_hotspots(stored),
                                                 cfg.path("gold", "city_issue_hotspots"))
+    lost = mart.lost_tickets(_read_silver(spark, cfg, "orders"),
+                             read_table(spark, cfg.path("model", "ticket_enrichment"))).first()
+    counts["tickets_without_order"] = lost["lost"]
     return counts
 
 
@@ -92,10 +95,8 @@ def run_brief(spark: SparkSession, cfg: PipelineConfig, brief_fn: Callable | Non
     """OUT-12 (and SNK-5..8): register the tables, query, write the brief."""
     register_tables(spark, cfg)
     db = cfg.database
-    kpi_top = reports.run_report_sql(spark, "brief_kpi_top10", db) if cfg.brief_limit == 10 else \
-        reports.brief_kpi_top(spark.table(f"`{db}`.issue_kpis"), cfg.brief_limit)
-    hot_top = reports.run_report_sql(spark, "brief_hotspot_top10", db) if cfg.brief_limit == 10 else \
-        reports.brief_hotspot_top(spark.table(f"`{db}`.city_issue_hotspots"), cfg.brief_limit)
+    kpi_top = reports.run_report_sql(spark, "brief_kpi_top10", db, cfg.brief_limit)
+    hot_top = reports.run_report_sql(spark, "brief_hotspot_top10", db, cfg.brief_limit)
     counts = {"daily_ops_brief": write_text(brief.daily_brief(kpi_top, hot_top, brief_fn),
                                             cfg.path("gold", "daily_ops_brief"), "brief")}
     if export_csv_copies:
@@ -110,7 +111,8 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, **kwargs) -> dict[str, int
     counts = {}
     counts.update(run_silver(spark, cfg))
     counts.update(run_tickets(spark, cfg, reply_fn=kwargs.get("reply_fn"),
-                              rules=kwargs.get("rules", DEFAULT_RULES), vector_fn=kwargs.get("vector_fn")))
+                              rules=kwargs.get("rules", DEFAULT_RULES), vector_fn=kwargs.get("vector_fn"),
+                              strict=kwargs.get("strict", False)))
     counts.update(run_gold(spark, cfg))
     counts.update(run_brief(spark, cfg, brief_fn=kwargs.get("brief_fn")))
     return counts

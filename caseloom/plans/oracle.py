@@ -17,7 +17,7 @@ from __future__ import annotations
 from caseloom.functions.pii import EMAIL_TOKEN, PHONE_TOKEN
 from caseloom.functions.text import (BRIEF_PROMPT_HEAD, EMBEDDING_TEXT_PARTS, HOTSPOT_HEADER, KPI_HEADER,
                                      TICKET_PROMPT_FIELDS, TICKET_PROMPT_HEAD)
-from caseloom.operators.enrich import RuleSet
+from caseloom.operators.enrich import DEFAULT_RULES, RuleSet
 from caseloom.schemas import ISSUE_CATEGORIES
 from caseloom.sources.analog import CORPUS_RULES
 
@@ -172,18 +172,18 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS cu
        CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, upper(lower(p_type)) AS product_category,
        o_orderdate AS order_date, n_name AS city, CAST(trunc(l_quantity) AS INTEGER) AS quantity,
        p_retailprice AS unit_price, o_totalprice AS order_amount, upper(lower(o_orderstatus)) AS payment_status
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 LEFT JOIN p ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey"""),
-    "s_shipments": (["p"], """
-SELECT 'S' || CAST(o_orderkey AS VARCHAR) AS shipment_id, CAST(o_orderkey AS VARCHAR) AS order_id, s_name AS carrier,
+    "s_shipments": ([], """
+SELECT 'S' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS shipment_id, CAST(o_orderkey AS VARCHAR) AS order_id, s_name AS carrier,
        o_orderdate AS dispatch_time, o_orderdate + INTERVAL 5 DAY AS expected_delivery_time,
        l_shipdate AS delivery_time, delay AS delay_hours, st AS shipment_status,
        delay > 24 AS delivery_delayed_flag, st IN ('DELAYED', 'DELIVERED_DAMAGED') AS delivery_exception_flag
 FROM (SELECT *, CASE WHEN delay > 24 THEN 'DELAYED' WHEN l_linestatus = 'F' THEN 'DELIVERED_DAMAGED'
                      ELSE 'DELIVERED' END AS st
-      FROM (SELECT o_orderkey, o_orderdate, l_shipdate, l_linestatus, s_name,
+      FROM (SELECT o_orderkey, l_linenumber, o_orderdate, l_shipdate, l_linestatus, s_name,
                    greatest(0.0, (epoch(l_shipdate) - epoch(o_orderdate)) / 3600.0 - 120.0) AS delay
-            FROM orders JOIN p ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey) a) b"""),
+            FROM orders JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN supplier ON s_suppkey = l_suppkey) a) b"""),
     "s_returns": ([], """
 SELECT 'R' || CAST(l_orderkey AS VARCHAR) AS return_id, CAST(l_orderkey AS VARCHAR) AS order_id,
        CASE l_orderkey % 3 WHEN 0 THEN 'WRONG_ITEM' WHEN 1 THEN 'DEFECTIVE_ITEM' ELSE 'REFUND_DELAY' END AS reason_code,
@@ -211,23 +211,24 @@ SELECT *, 'T' || CAST(event_id AS VARCHAR) AS ticket_id, CAST(event_id AS VARCHA
        ts AS created_at, upper(lower(event_type)) AS channel, {_MSG} AS customer_message,
        'k=' || CAST(k AS VARCHAR) AS agent_notes
 FROM (SELECT e.*, o_custkey, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
-      FROM events e JOIN orders ON o_orderkey = event_id) x"""),
+      FROM events e LEFT JOIN orders ON o_orderkey = event_id) x"""),
     "s_tickets": (["tk"], """
 SELECT ticket_id, order_id, customer_id, created_at, channel, customer_message, agent_notes FROM tk"""),
+    # k 42: no JSON; 43: prose after the object; 44: two objects; 45: single quotes; 46: a null value; 47: a missing key
     "reply": (["tk"], f"""
 SELECT ticket_id, order_id, customer_id, created_at, channel, agent_notes, k,
-       CASE WHEN k = 42 THEN NULL ELSE {_category_case('k')} END AS issue_category,
-       CASE WHEN k = 42 THEN NULL WHEN k < 20 THEN 'POSITIVE' WHEN k < 50 THEN 'NEUTRAL' ELSE 'NEGATIVE' END AS sentiment,
-       CASE WHEN k = 42 THEN NULL WHEN value >= 100 THEN 'HIGH' WHEN value >= 35 THEN 'MEDIUM' ELSE 'LOW' END AS urgency,
-       CASE WHEN k = 42 THEN NULL ELSE value >= 100 END AS requires_human_followup,
-       CASE WHEN k = 42 THEN NULL ELSE 'cause ' || CAST(k AS VARCHAR) END AS root_cause_hint,
-       CASE WHEN k = 42 THEN NULL ELSE customer_message END AS pii_redacted_message,
-       CASE WHEN k = 42 THEN NULL ELSE 'Ticket T' || CAST(event_id AS VARCHAR) || ' by ' || upper(event_type) END
+       CASE WHEN bad THEN NULL ELSE {_category_case('k')} END AS issue_category,
+       CASE WHEN bad THEN NULL WHEN k < 20 THEN 'POSITIVE' WHEN k < 50 THEN 'NEUTRAL' ELSE 'NEGATIVE' END AS sentiment,
+       CASE WHEN bad THEN NULL WHEN value >= 100 THEN 'HIGH' WHEN value >= 35 THEN 'MEDIUM' ELSE 'LOW' END AS urgency,
+       CASE WHEN bad THEN NULL ELSE value >= 100 END AS requires_human_followup,
+       CASE WHEN bad OR k = 46 THEN NULL ELSE 'cause ' || CAST(k AS VARCHAR) END AS root_cause_hint,
+       CASE WHEN bad THEN NULL ELSE customer_message END AS pii_redacted_message,
+       CASE WHEN bad THEN NULL ELSE 'Ticket T' || CAST(event_id AS VARCHAR) || ' by ' || upper(event_type) END
          AS customer_summary,
-       CASE WHEN k = 42 THEN NULL ELSE 'action ' || CAST(k % 5 AS VARCHAR) END AS next_best_action,
-       CASE WHEN k = 42 THEN 'unparseable reply' END AS reply_error,
-       k <> 42 AS enum_ok
-FROM tk"""),
+       CASE WHEN bad OR k = 47 THEN NULL ELSE 'action ' || CAST(k % 5 AS VARCHAR) END AS next_best_action,
+       CASE WHEN bad THEN 'unparseable reply' WHEN k = 47 THEN 'missing keys: next_best_action' END AS reply_error,
+       NOT bad AS enum_ok
+FROM (SELECT *, k BETWEEN 42 AND 45 AS bad FROM tk) t"""),
     "s_enrichment": (["reply"], f"""
 SELECT ticket_id, order_id, customer_id, created_at, channel, issue_category, sentiment, urgency,
        requires_human_followup, root_cause_hint, {redact('pii_redacted_message')} AS pii_redacted_message,
@@ -269,12 +270,11 @@ SELECT {q(KPI_HEADER)} || coalesce(chr(10) || (SELECT string_agg({_KPI_LINE}, ch
     "ct": ([], """
 SELECT 'C' || CAST(conv_id AS VARCHAR) AS ticket_id, CAST(conv_id AS VARCHAR) AS order_id,
        CAST(conv_id AS VARCHAR) AS customer_id, CAST(NULL AS TIMESTAMP) AS created_at, 'CHAT' AS channel,
-       u.text AS customer_message, a.text AS agent_notes
-FROM (SELECT conv_id,
-             min({'turn': turn, 'text': text}) FILTER (WHERE role = 'user') AS u,
-             min({'turn': turn, 'text': text}) FILTER (WHERE role = 'assistant') AS a
-      FROM conversations GROUP BY conv_id) g"""),
+       string_agg(text, chr(10) ORDER BY turn, text) FILTER (WHERE role = 'user') AS customer_message,
+       string_agg(text, chr(10) ORDER BY turn, text) FILTER (WHERE role IS DISTINCT FROM 'user') AS agent_notes
+FROM conversations GROUP BY conv_id"""),
     "ce": (["ct"], rule_enrichment_select("ct", CORPUS_RULES)),
+    "re": (["s_tickets"], rule_enrichment_select("s_tickets", DEFAULT_RULES)),
     "cvec": (["ce"], f"""
 SELECT e.ticket_id, e.order_id, e.issue_category, e.customer_summary, e.next_best_action,
        CAST(v.embedding AS DOUBLE[]) AS embedding
@@ -386,6 +386,7 @@ ORACLE_SQL: dict[str, str] = {
     "embedding_text": with_ctes(f"SELECT ticket_id, {_EMB_TEXT} AS embedding_text FROM ce", "ce"),
     "ticket_enrichment": with_ctes(f"SELECT {_ENRICH_COLS} FROM s_enrichment", "s_enrichment"),
     "conversation_enrichment": with_ctes(f"SELECT {_ENRICH_COLS} FROM ce", "ce"),
+    "ticket_rule_enrichment": with_ctes(f"SELECT {_ENRICH_COLS} FROM re", "re"),
     "hashed_embedding": with_ctes("SELECT ticket_id, order_id, issue_category, embedding FROM cvec", "cvec"),
     "ticket_similarity_top3": with_ctes(f"SELECT {_SIM_COLS} FROM sim", "sim"),
     "conversation_similarity_top3": with_ctes(f"SELECT {_SIM_COLS} FROM csim", "csim"),

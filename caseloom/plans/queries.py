@@ -33,56 +33,34 @@ TICKET_COLUMNS = ["ticket_id", "order_id", "customer_id", "created_at", "channel
                   "agent_notes"]
 
 
-def _plan_once(fn):
-    """Build a lazy plan once per session and arguments. Only the plan object is
-    reused (it holds no data): every action still reads the Parquet tables and
-    does all the work. Never wraps checkpointed results."""
-    def wrapper(spark, d, *args, **kwargs):
-        cache = spark.__dict__.setdefault("_caseloom_plans", {})
-        key = (fn.__name__, d, args, tuple(sorted(kwargs.items())))
-        if key not in cache:
-            cache[key] = fn(spark, d, *args, **kwargs)
-        return cache[key]
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
 # ---------------------------------------------------------------- silver layer
-@_plan_once
 def silver_orders(spark, d):
     return standardize.standardize_orders(analog.raw_orders(spark, d)).select(*ORDER_COLUMNS)
 
 
-@_plan_once
 def silver_shipments(spark, d):
     return standardize.standardize_shipments(analog.raw_shipments(spark, d)).select(*SHIPMENT_COLUMNS)
 
 
-@_plan_once
 def silver_returns(spark, d, fanout: bool = False):
     raw = analog.raw_returns_fanout(spark, d) if fanout else analog.raw_returns(spark, d)
     return standardize.standardize_returns(raw).select(*RETURN_COLUMNS)
 
 
-@_plan_once
 def silver_products(spark, d):
     return standardize.standardize_products(analog.raw_products(spark, d)).select(*PRODUCT_COLUMNS)
 
 
-@_plan_once
 def silver_tickets(spark, d, with_reply: bool = False):
     cols = TICKET_COLUMNS + (["reply"] if with_reply else [])
     return standardize.standardize_tickets(analog.event_tickets(spark, d)).select(*cols)
 
 
-@_plan_once
 def silver_conversation_tickets(spark, d):
     return standardize.standardize_tickets(analog.conversation_tickets(spark, d)).select(*TICKET_COLUMNS)
 
 
 # ---------------------------------------------------------------- model layer
-@_plan_once
 def ticket_enrichment(spark, d):
     return enrich(silver_tickets(spark, d, with_reply=True), reply="reply")
 
@@ -106,13 +84,17 @@ def _vector_count(spark, d):
     return analog.table(spark, d, "embeddings").count()
 
 
+def ticket_rule_enrichment(spark, d):
+    """The default rules over the event tickets."""
+    return enrich(silver_tickets(spark, d))
+
+
 def ticket_similarity(spark, d, enrichment=None):
     enrichment = enrichment if enrichment is not None else shared_enrichment(spark, d)
     return similarity.top_matches(ticket_embeddings(spark, d, enrichment), enrichment, top_n=3,
                                   n_rows=_vector_count(spark, d))
 
 
-@_plan_once
 def conversation_enrichment(spark, d):
     return enrich(silver_conversation_tickets(spark, d), rules=analog.CORPUS_RULES)
 
@@ -123,25 +105,25 @@ def conversation_embeddings(spark, d, enrichment=None):
 
 
 def conversation_similarity(spark, d):
-    enrichment = conversation_enrichment(spark, d)
-    n = analog.table(spark, d, "conversations").count()  # turns bound the tickets
+    enrichment = materialize(conversation_enrichment(spark, d))  # the vectors and the summaries read it
+    n = enrichment.count()
     return similarity.top_matches(conversation_embeddings(spark, d, enrichment), enrichment, top_n=3, n_rows=n)
 
 
 # ---------------------------------------------------------------- gold layer
-@_plan_once
 def key_sources(spark, d):
     """Source rows per order for the hot-key count: every shipment, return and
     ticket of the analog tables comes from a line item or an event with that key."""
     lines = analog.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("order_id"))
     events = analog.table(spark, d, "events").select(F.col("event_id").cast("string").alias("order_id"))
-    return [lines, lines, events]
+    return [lines, lines, events]  # one frame for two sides is counted once
 
 
 def order_support_360(spark, d, fanout: bool = False, with_similarity: bool = True):
     """The 360 table. Aggregates and reports that never read the similarity
     columns pass ``with_similarity=False``: the same rows, without building
-    (or checkpointing) the similarity stage that Catalyst would prune anyway."""
+    (or checkpointing) the similarity stage. The best match is unique per ticket,
+    so leaving it out changes no row."""
     enrichment = shared_enrichment(spark, d) if with_similarity else ticket_enrichment(spark, d)
     sim = ticket_similarity(spark, d, enrichment) if with_similarity else None
     return mart.order_support_360(
@@ -154,6 +136,16 @@ def _gold(spark, d):
     return order_support_360(spark, d, with_similarity=False)
 
 
+# what both aggregates read of the 360
+AGGREGATE_COLUMNS = ["order_id", "city", "order_amount", "delay_hours", "refund_amount", "ticket_id", "issue_category",
+                     "has_ticket"]
+
+
+def _gold_once(spark, d):
+    """The ticket rows' few columns of the 360, built once and stored for the aggregates that both need them."""
+    return materialize(_gold(spark, d).filter("has_ticket").select(*AGGREGATE_COLUMNS))
+
+
 def issue_kpis(spark, d):
     return kpis.issue_kpis(_gold(spark, d))
 
@@ -181,14 +173,17 @@ def _sql_report(name):
 
 
 def stage_row_counts(spark, d):
-    """AGG-8: rows per stage output, one row per stage (a union of counts)."""
+    """AGG-8: rows per stage output, one row per stage (a union of counts).
+
+    The 360 is counted with no column kept, and the aggregates read its stored narrow ticket rows; nothing wide is
+    written. The best match is unique per ticket, so it adds no row to the 360."""
     enrichment = shared_enrichment(spark, d)
-    sim = materialize(ticket_similarity(spark, d, enrichment))
-    m = materialize(mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d),
-                                           silver_returns(spark, d), enrichment, sim,
-                                           key_sources=key_sources(spark, d)))
-    k = kpis.issue_kpis(m)
-    h = kpis.city_issue_hotspots(m)
+    sim = ticket_similarity(spark, d, enrichment)
+    m = mart.order_support_360(silver_orders(spark, d), silver_shipments(spark, d), silver_returns(spark, d),
+                               enrichment, None, key_sources=key_sources(spark, d))
+    narrow = materialize(m.filter("has_ticket").select(*AGGREGATE_COLUMNS))
+    k = kpis.issue_kpis(narrow)
+    h = kpis.city_issue_hotspots(narrow)
     stages = [
         ("support_tickets", silver_tickets(spark, d)),
         ("ticket_enrichment", enrichment),
@@ -213,7 +208,7 @@ def _parse_model_reply(spark, d):
 
 
 def _redact_documents(spark, d):
-    docs = analog.table(spark, d, "documents", spread_by="doc_id")
+    docs = analog.table(spark, d, "documents")
     return docs.select("doc_id", redact(F.col("text")).alias("redacted_text"))
 
 
@@ -238,13 +233,13 @@ def _hot_top(spark, d):
 
 
 def _metrics_block(spark, d):
-    m = _gold(spark, d)
+    m = _gold_once(spark, d)
     return brief.metrics_block(reports.brief_kpi_top(kpis.issue_kpis(m)),
                                reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
 
 
 def _brief_prompt(spark, d):
-    m = _gold(spark, d)
+    m = _gold_once(spark, d)
     return brief.brief_prompt_text(reports.brief_kpi_top(kpis.issue_kpis(m)),
                                    reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
 
@@ -254,7 +249,7 @@ def _kpi_top_text(spark, d):
 
 
 def _daily_brief(spark, d):
-    m = _gold(spark, d)
+    m = _gold_once(spark, d)
     return brief.daily_brief(reports.brief_kpi_top(kpis.issue_kpis(m)),
                              reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
 
@@ -276,6 +271,7 @@ QUERIES: dict[str, Query] = {
     # model tables (OUT-6..8)
     "ticket_enrichment": ticket_enrichment,
     "conversation_enrichment": conversation_enrichment,
+    "ticket_rule_enrichment": ticket_rule_enrichment,
     "hashed_embedding": lambda s, d: conversation_embeddings(s, d),
     "ticket_similarity_top3": lambda s, d: ticket_similarity(s, d),
     "conversation_similarity_top3": conversation_similarity,

@@ -61,13 +61,6 @@ RAW_SCHEMAS = {
     "support_tickets": RAW_TICKETS,
 }
 
-# Model reply as parsed: every key read as text first (a JSON "true" string and
-# a JSON true both survive), then typed. _corrupt_record captures unparseable text.
-REPLY_SCHEMA = T.StructType(
-    [T.StructField(k, T.StringType()) for k in REPLY_KEYS]
-    + [T.StructField("_corrupt_record", T.StringType())]
-)
-
 ENRICHMENT_COLUMNS = [
     "ticket_id", "order_id", "customer_id", "created_at", "channel",
     "issue_category", "sentiment", "urgency", "requires_human_followup",
@@ -75,25 +68,6 @@ ENRICHMENT_COLUMNS = [
     "agent_notes",
 ]
 
-EMBEDDING_SCHEMA = T.StructType([
-    T.StructField("ticket_id", T.StringType()),
-    T.StructField("order_id", T.StringType()),
-    T.StructField("issue_category", T.StringType()),
-    T.StructField("embedding", T.ArrayType(T.DoubleType())),
-])
-
-SIMILARITY_SCHEMA = T.StructType([
-    T.StructField("ticket_id", T.StringType()),
-    T.StructField("matched_ticket_id", T.StringType()),
-    T.StructField("ticket_issue_category", T.StringType()),
-    T.StructField("matched_issue_category", T.StringType()),
-    T.StructField("similarity_rank", T.IntegerType()),
-    T.StructField("similarity_score", T.DoubleType()),
-    T.StructField("ticket_summary", T.StringType()),
-    T.StructField("matched_ticket_summary", T.StringType()),
-    T.StructField("recommended_action_pattern", T.StringType()),
-])
-
 # Column order of the 360 table: 33 selected columns, then the three flags.
 MART_COLUMNS = [
     "order_id", "customer_id", "customer_name", "product_id", "product_name", "product_category",

@@ -10,15 +10,15 @@ is sampled or filtered by id. DuckDB definitions of the same tables live in
 
 * orders: one per TPC-H order; product = the order's primary line (highest
   extended price, ties broken by the remaining line columns).
-* shipments: one per order that has a line; delay = hours from order date to
-  ship date beyond a 5-day promise.
+* shipments: one per line of an order; delay = hours from order date to that
+  line's ship date beyond a 5-day promise.
 * returns: one per order with returned ('R') lines, refund summed in integer
   cents; ``returns_fanout`` keeps one row per returned line (SEM-9).
 * support tickets: one per event (event ids lie in the order-key range); the
   event's JSON props carry ``k``, which drives the simulated model reply; a
   ticket with k >= 95 names another customer than its order (SEM-10).
-* conversation tickets: one per conversation; first user turn = message, first
-  assistant turn = agent notes.
+* conversation tickets: one per conversation; all user turns in order =
+  message, all other turns in order = agent notes.
 * embeddings: the benchmark's vectors, vector i standing for ticket ``T<i>``.
 """
 
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseloom.operators.enrich import RuleSet
+from caseloom.operators.enrich import RuleSet, word
 from caseloom.schemas import ISSUE_CATEGORIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -37,28 +37,9 @@ PROMISED_DELIVERY_DAYS = 5
 _TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A benchmark table; the file listing is resolved once per session and path."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cache = spark.__dict__.setdefault("_caseloom_tables", {})
-    key = (path, spread_by)
-    if key not in cache:
-        df = spark.read.parquet(path)
-        cache[key] = spread(df, spread_by) if spread_by else df
-    return cache[key]
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan by ``key`` when it comes in fewer files than cores.
-
-    Used before per-row work that is CPU-heavy (JSON, regex over long text). A
-    single small file is a single split, so that work would otherwise run in one
-    task. Real inputs arrive as many files and are left alone (no extra shuffle).
-    Hash partitioning needs no sort and is deterministic under retries."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
-        return df.repartition(cores, key)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A benchmark table; its files are listed anew at every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ts_text(col: Column | str) -> Column:
@@ -87,25 +68,19 @@ def _hours_between(start: str, end: str) -> Column:
     return F.timestamp_diff("SECOND", F.col(start), F.col(end)) / F.lit(3600.0)
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders ⟕ primary line, keyed by order (shared by orders and shipments)."""
-    orders = table(spark, sf_dir, "orders")
-    return orders.join(primary_lines(table(spark, sf_dir, "lineitem")),
-                       F.col("o_orderkey") == F.col("l_orderkey"), "left")
-
-
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    """Dimensions are attached to the narrow sides first; the last join is by the text order id, so the result is
+    already partitioned the way the mart joins it. Left joins: no order vanishes here for a missing dimension row."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey").join(
+        table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    df = (
-        order_lines(spark, sf_dir)
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    )
+    lines = primary_lines(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_partkey", "l_quantity").join(
+        part, F.col("l_partkey") == F.col("p_partkey"), "left").withColumn("_line_order", text("l_orderkey"))
+    orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").withColumn(
+        "_order", text("o_orderkey"))
+    df = orders.join(lines, F.col("_order") == F.col("_line_order"), "left")
     return df.select(
-        text("o_orderkey").alias("order_id"),
+        F.col("_order").alias("order_id"),
         text("o_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         text("p_partkey").alias("product_id"),
@@ -121,11 +96,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every order ships on its own."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_linestatus")
     df = (
-        order_lines(spark, sf_dir)
-        .filter(F.col("l_orderkey").isNotNull())
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("_delay", F.greatest(F.lit(0.0), _hours_between("o_orderdate", "l_shipdate")
                                          - F.lit(24.0 * PROMISED_DELIVERY_DAYS)))
     )
@@ -135,7 +111,7 @@ def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("delivered")
     )
     return df.select(
-        F.concat(F.lit("S"), text("o_orderkey")).alias("shipment_id"),
+        F.concat(F.lit("S"), text("o_orderkey"), F.lit("-"), text("l_linenumber")).alias("shipment_id"),
         text("o_orderkey").alias("order_id"),
         F.col("s_name").alias("carrier"),
         ts_text("o_orderdate").alias("dispatch_time"),
@@ -221,10 +197,10 @@ def _message(k: Column, event_id: Column, user_id: Column, event_type: Column) -
 
 def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw support tickets (text columns) plus the simulated model ``reply``."""
-    events = table(spark, sf_dir, "events", spread_by="event_id")
+    events = table(spark, sf_dir, "events")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    df = events.join(orders, F.col("event_id") == F.col("o_orderkey")).withColumn("_k", k)
+    df = events.join(orders, F.col("event_id") == F.col("o_orderkey"), "left").withColumn("_k", k)
     df = df.withColumn("customer_message", _message(F.col("_k"), F.col("event_id"), F.col("user_id"),
                                                     F.col("event_type")))
     reply = F.to_json(F.struct(
@@ -234,12 +210,21 @@ def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("value") >= 100, "HIGH").when(F.col("value") >= 35, "MEDIUM").otherwise("LOW")
         .alias("urgency"),
         (F.col("value") >= 100).alias("requires_human_followup"),
-        F.concat(F.lit("cause "), text("_k")).alias("root_cause_hint"),
+        F.when(F.col("_k") != 46, F.concat(F.lit("cause "), text("_k"))).alias("root_cause_hint"),
         F.col("customer_message").alias("pii_redacted_message"),
         F.concat(F.lit("Ticket T"), text("event_id"), F.lit(" by "), F.upper("event_type")).alias(
             "customer_summary"),
         F.concat(F.lit("action "), text(F.pmod(F.col("_k"), F.lit(5)))).alias("next_best_action"),
-    ))
+    ), {"ignoreNullFields": "false"})
+    # what models also send: prose after the object, a second object, single quotes, a null value (k = 46, above),
+    # a key left out
+    reply = (
+        F.when(F.col("_k") == 43, F.concat(reply, F.lit(" I hope this helps.")))
+        .when(F.col("_k") == 44, F.concat(reply, F.lit(" "), reply))
+        .when(F.col("_k") == 45, F.translate(reply, '"', "'"))
+        .when(F.col("_k") == 47, F.regexp_replace(reply, r',"next_best_action":"[^"]*"', ""))
+        .otherwise(reply)
+    )
     fence = F.pmod(F.col("event_id"), F.lit(3))
     reply_text = (
         F.when(F.col("_k") == 42, F.lit("Sorry, I can not classify this ticket."))
@@ -261,20 +246,25 @@ def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw text tickets: first user turn and first assistant turn per conversation.
+    """Raw text tickets: every turn of a conversation, the user's as message, all others as agent notes.
 
-    min over (turn, text) structs: partial aggregation, no per-conversation sort."""
+    A conversation's turns meet in one row, which the ticket's text holds anyway."""
     conv = table(spark, sf_dir, "conversations")
-    first = lambda role: F.min(F.when(F.col("role") == role, F.struct("turn", "text")))
-    agg = conv.groupBy("conv_id").agg(first("user").alias("_u"), first("assistant").alias("_a"))
+
+    def turns(mine: Column) -> Column:
+        found = F.sort_array(F.collect_list(F.when(mine & F.col("text").isNotNull(), F.struct("turn", "text"))))
+        return F.when(F.size(found) > 0, F.array_join(F.transform(found, lambda t: t["text"]), "\n"))
+
+    user = F.coalesce(F.col("role") == "user", F.lit(False))
+    agg = conv.groupBy("conv_id").agg(turns(user).alias("_message"), turns(~user).alias("_notes"))
     return agg.select(
         F.concat(F.lit("C"), text("conv_id")).alias("ticket_id"),
         text("conv_id").alias("order_id"),
         text("conv_id").alias("customer_id"),
         F.lit(None).cast("string").alias("created_at"),
         F.lit("chat").alias("channel"),
-        F.col("_u.text").alias("customer_message"),
-        F.col("_a.text").alias("agent_notes"),
+        F.col("_message").alias("customer_message"),
+        F.col("_notes").alias("agent_notes"),
     )
 
 
@@ -290,11 +280,6 @@ def ticket_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Rules for the synthetic multilingual conversation corpus: its prose is
 # invented, so the default English retail rules would classify everything as a
 # general query. These match frequent syllables of that corpus instead.
-def word(w: str) -> str:
-    """A whole word, with explicit Unicode word classes (portable across regex engines)."""
-    return rf"(^|[^\p{{L}}\p{{N}}_]){w}([^\p{{L}}\p{{N}}_]|$)"
-
-
 CORPUS_RULES = RuleSet(
     categories=[
         ("DELIVERY_DELAY", word("the")),

@@ -1,9 +1,8 @@
 """SQL names for the stored tables (SNK-5..8, SRC-5).
 
-``register_tables`` is idempotent: database and tables are created only if
-missing, over the Parquet folders the pipeline wrote, and cached file listings
-are refreshed (a re-run overwrites the folders). Reports then run as
-plain ``spark.sql`` against those names.
+``register_tables`` is idempotent and follows the config: the tables always
+lie over the folders of its root, whatever root was registered before, and
+cached file listings are refreshed. Reports then run as plain ``spark.sql`` against those names.
 """
 
 from __future__ import annotations
@@ -21,28 +20,42 @@ SQL_TABLES = {
 }
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _external_table(spark: SparkSession, name: str, columns: str, using: str, location: str) -> None:
+    """Create the table over ``location``; one that lies elsewhere is registered anew (its files stay)."""
+    if spark.catalog.tableExists(name):
+        about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if about.get("Type") != "EXTERNAL":
+            raise ValueError(f"{name} exists and is not an external table")
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} {columns} USING {using} LOCATION {_quoted(location)}")
+    spark.catalog.refreshTable(name)
+
+
+def create_database(spark: SparkSession, cfg: PipelineConfig) -> None:
+    """The database, with its own folder under the pipeline's root."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{cfg.database}` LOCATION {_quoted(cfg.root.rstrip('/') + '/_database')}")
+
+
 def register_csv_table(spark: SparkSession, database: str, name: str, path: str, schema) -> str:
     """SNK-7 import form: a table over headered CSV (quotes escaped by doubling,
     quoted line breaks allowed), typed by ``schema``."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    location = path.replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({cols}) USING csv "
-              f"OPTIONS (header 'true', escape '\"', multiLine 'true') LOCATION '{location}'")
-    spark.catalog.refreshTable(f"`{database}`.`{name}`")
+    _external_table(spark, f"`{database}`.`{name}`", f"({cols})",
+                    "csv OPTIONS (header 'true', escape '\"', multiLine 'true')", path)
     return f"{database}.{name}"
 
 
 def register_tables(spark: SparkSession, cfg: PipelineConfig, use: bool = True) -> list[str]:
-    db = cfg.database
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    create_database(spark, cfg)
     created = []
     for name, (layer, folder) in SQL_TABLES.items():
-        location = cfg.path(layer, folder).replace("'", "\\'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING parquet LOCATION '{location}'")
-        # the folder may have been rewritten since the table was first registered
-        spark.catalog.refreshTable(f"`{db}`.`{name}`")
-        created.append(f"{db}.{name}")
+        _external_table(spark, f"`{cfg.database}`.`{name}`", "", "parquet", cfg.path(layer, folder))
+        created.append(f"{cfg.database}.{name}")
     if use:
-        spark.catalog.setCurrentDatabase(db)
+        spark.catalog.setCurrentDatabase(cfg.database)
     return created

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from caseloom.schemas import RAW_SCHEMAS
 
 
+# header names must match the schema; quotes inside quoted cells are doubled
+CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "escape": '"'}
+
+
 def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
     """SRC-1: a folder of headered CSV files, every column text.
 
@@ -19,9 +23,7 @@ def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool =
     (SEM-21); it makes each file one split, so keep it off for plain tables."""
     return (
         spark.read.schema(RAW_SCHEMAS[table])
-        .option("header", True)
-        .option("enforceSchema", False)  # header names must match the schema
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
         .option("multiLine", multi_line)
         .csv(path)
     )

@@ -4,7 +4,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from caseloom.operators.embed import hashed_embedding
+from caseloom.operators.embed import hashed_embedding, tokens
 
 
 def python_vector(text, dim):
@@ -18,7 +18,7 @@ def python_vector(text, dim):
 def test_hashed_embedding_deterministic(spark):
     texts = ["Parcel late, parcel LATE!", "Émile's mug—broken_glass 42", "", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    rows = df.select("t", hashed_embedding(16)(F.col("t")).alias("v")).collect()
+    rows = df.select("t", hashed_embedding(16)(tokens(F.col("t"))).alias("v")).collect()
     for r in rows:
         if r.t is None:
             assert r.v is None
