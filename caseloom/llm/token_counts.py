@@ -230,17 +230,26 @@ class PrefixCounter:
         return counts[k] + self.inside(text[ends[k]:cut], cut - ends[k])
 
     def longest_within(self, text: str, budget: int) -> int:
-        """The end of the longest run of whole segments, and then characters, that holds at most ``budget`` tokens."""
-        ends, counts = [0], [0]
+        """Where to cut the text so that it holds at most ``budget`` tokens: the last whole segment that fits, and of the
+        next one as many characters as the tables of its pre-tokens allow."""
+        end = count = 0
         for s, n in self.segments(text):
-            if counts[-1] + n > budget:
-                room = budget - counts[-1]
-                if n == 1 or len(s) > 4096:  # a special token, or one run: whole segments only
-                    return ends[-1]
-                return ends[-1] + max(j for j in range(len(s)) if self.inside(s, j) <= room)
-            ends.append(ends[-1] + len(s))
-            counts.append(counts[-1] + n)
-        return ends[-1]
+            if count + n <= budget:
+                end, count = end + len(s), count + n
+                continue
+            if self.special and self.special.fullmatch(s):
+                return end
+            room, fits, at = budget - count, [], 0
+            for p in self.pretoken.findall(s):
+                counts, size = self.run_counts(p.encode()), 0
+                for j, c in enumerate(p, 1):
+                    size += len(c.encode())
+                    if counts[size] <= room:
+                        fits.append(at + j)
+                room, at = room - counts[-1], at + len(p)
+            # a cut inside white space or before an ending may be split otherwise: the count there decides
+            return end + next((j for j in reversed(fits) if self.inside(s, j) <= budget - count), 0)
+        return end
 
 
 _counters: dict[str, PrefixCounter] = {}
