@@ -94,6 +94,13 @@ def robust_prune(vectors: np.ndarray, points: np.ndarray, ids: np.ndarray, dist:
     return out
 
 
+def _once(rows: np.ndarray) -> np.ndarray:
+    """Each row's ids without repeats, -1 in their place."""
+    rows = np.sort(rows, 1)
+    rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = -1
+    return rows
+
+
 def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, seed: int = 5):
     """(edges, entry) of the pruned graph over the vectors."""
     n = len(vectors)
@@ -101,7 +108,7 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alp
     entry = int(((vectors - vectors.mean(0)) ** 2).sum(1).argmin())
     edges = np.full((n, degree), -1)
     if n > 1:  # a random start
-        edges[:, :min(8, n - 1)] = (np.arange(n)[:, None] + rng.integers(1, n, (n, min(8, n - 1)))) % n
+        edges[:, :min(8, n - 1)] = _once((np.arange(n)[:, None] + rng.integers(1, n, (n, min(8, n - 1)))) % n)
     for a in (1.0, alpha):
         order = rng.permutation(n)
         for lo in range(0, n, BATCH):
@@ -120,7 +127,7 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alp
             back = np.full((len(targets), width), -1)
             col = np.arange(len(dst)) - np.repeat(start, count)
             back[np.repeat(np.arange(len(targets)), count), col] = src[by]
-            both = np.concatenate([edges[targets], back], 1)
+            both = _once(np.concatenate([edges[targets], back], 1))
             room = (both >= 0).sum(1) <= degree
             packed = np.take_along_axis(both, np.argsort(both < 0, 1, kind="stable"), 1)
             edges[targets[room]] = packed[room][:, :degree]
