@@ -5,8 +5,8 @@ others by weight until none is above. A document is emitted floor(rate) times, a
 falls below the rest of the rate, so reruns agree and no document exceeds ``most`` copies.
 
 Results for odd input: a null text has no tokens; a null source is a source of its own, last in order; a source
-without tokens has target 0; repeated rows draw alike; an empty table gives no rows; extra columns are kept unless they
-bear the name of a result.
+without tokens has target 0; repeated rows draw alike; an empty table gives no rows; extra columns are ignored by
+``mix`` and kept by ``repeat``.
 """
 
 from __future__ import annotations
@@ -46,25 +46,33 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
                          F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(0.0).alias("rate"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: str = SEED, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
-    """size, source_size, target and copies (0 to ``most``) of every row, beside its id, source and ``keep``."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       word_count(F.col(text_col)).alias("size"), *[F.col(c) for c in keep if c not in (id_col, source_col)])
-    sizes = rows.select("doc_id", "source", "size")
-    if not keep:
-        rows = sizes = cut(sizes)
-    per_source = cut(source_targets(sizes, weights, most))
+def with_copies(rows: DataFrame, sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: str = SEED,
+                id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """``rows`` with __source_size, __target and __copies (0 to ``most``); ``sizes`` has (source, size) of every row."""
+    per_source = cut(source_targets(sizes, weights, most).select(
+        F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
+        F.col("rate").alias("__rate")))
     # a hot source only makes one side of the join uneven: the other has a row per source
-    joined = rows.join(per_source.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")))
-    whole = F.floor("rate")
-    copies = (whole + (uniform(F.col("doc_id"), seed=seed) < F.col("rate") - whole).cast("int")).cast("int")
-    return joined.withColumn("copies", F.least(copies, F.lit(most))).drop("__source", "rate")
+    joined = rows.join(per_source, F.col(source_col).eqNullSafe(F.col("__source")))
+    whole = F.floor("__rate")
+    copies = (whole + (uniform(F.col(id_col), seed=seed) < F.col("__rate") - whole).cast("int")).cast("int")
+    return joined.withColumn("__copies", F.least(copies, F.lit(most))).drop("__source", "__rate")
 
 
-def repeat(mixed: DataFrame) -> DataFrame:
-    """The mixed rows themselves, each as often as ``copies`` says."""
-    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: str = SEED, id_col: str = "doc_id",
+        text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, source, size, source_size, target and copies (0 to ``most``) of every row."""
+    rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
+    return with_copies(rows, rows, weights, most, seed).select(
+        "doc_id", "source", "size", *[F.col(f"__{c}").alias(c) for c in ("source_size", "target", "copies")])
+
+
+def repeat(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: str = SEED, id_col: str = "doc_id",
+           text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows themselves with all their columns, each as often as the mix takes it."""
+    sizes = docs.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    taken = with_copies(docs, sizes, weights, most, seed, id_col, source_col).where("__copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
