@@ -1,0 +1,421 @@
+"""Each operator against a brute-force version, an exact round trip or held-out accuracy."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+import public_tokenizers
+from caseloom.llm import ann, fingerprints, frames, graph, language, mixing, ngram_join, packing, privacy, substrings, token_counts, toxicity
+from caseloom.llm.frames import table
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BYTE_FILE, WORD_FILE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, SF, "documents")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+
+
+def noisy(seed, alphabet, n, longest):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(longest))) for _ in range(n)]
+
+
+# op1
+def test_language_is_right_on_held_out_documents(spark):
+    big = table(spark, "/root/testdata/sf0.01", "documents")
+    out = language.predict(big, language.train(language.sample_features(big, 150), epochs=8)).join(big.select("doc_id", "lang"), "doc_id")
+    got = out.where(frames.held_out(F.col("doc_id"))).select((F.col("lang") == F.col("lang_pred")).alias("ok"), "score", "accepted").collect()
+    assert len(got) > 150 and sum(r.ok for r in got) / len(got) > 0.97
+    assert all(0 <= r.score <= 1 for r in got) and sum(r.accepted for r in got) > 0.8 * len(got)
+    assert all(r.ok for r in got if r.accepted) or sum(not r.ok for r in got if r.accepted) < 0.03 * len(got)
+
+
+def test_held_out_is_crc32(spark):
+    got = {r.id: r.h for r in spark.range(50).select("id", frames.held_out(F.col("id")).alias("h")).collect()}
+    assert got == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)}
+
+
+# op2
+def test_targets_are_reshared_until_none_is_above(spark):
+    sizes = {"a": 10, "b": 500, "c": 40, "d": 3, "e": 0, None: 77}
+    rows = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, size bigint")
+    got = {r.source: r.target for r in mixing.source_targets(rows).collect()}
+    order = sorted((k for k in sizes if k), key=lambda s: s.encode()) + [None]
+    weight = {k: (5, 2, 1)[i % 3] for i, k in enumerate(order)}
+    capped, total = {}, sum(sizes.values())
+    while True:
+        free = [k for k in order if k not in capped]
+        level = (total - sum(capped.values())) / sum(weight[k] for k in free)
+        over = [k for k in free if weight[k] * level > 3 * sizes[k]]
+        if not over:
+            break
+        capped |= {k: 3 * sizes[k] for k in over}
+    assert got == pytest.approx({k: capped.get(k, weight[k] * level) for k in order})
+    assert sum(got.values()) == pytest.approx(total)
+
+
+def test_mix_comes_near_its_targets_and_repeats(docs):
+    out = mixing.mix(docs)
+    rows = out.collect()
+    assert sorted(rows) == sorted(mixing.mix(docs).collect())
+    assert all(0 <= r.copies <= 3 for r in rows)
+    taken, target = sum(r.copies * r.size for r in rows), sum({r.source: r.target for r in rows}.values())
+    assert abs(taken / target - 1) < 0.15
+    assert mixing.repeat(docs).count() == sum(r.copies for r in rows)
+
+
+# op3
+def test_graph_search_finds_the_nearest(spark):
+    rng = np.random.default_rng(3)
+    own = rng.normal(size=(1500, 16)).astype(np.float32)
+    own[700:900] = own[0]  # many copies of one vector
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(own)], "vec_id bigint, embedding array<float>")
+    got = {}
+    for r in ann.nearest(df, 20, F.col("vec_id") % 20 == 0, shard_rows=400).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    hits = 0
+    for q in range(0, 1500, 20):
+        s = own.astype(float) @ own[q].astype(float)
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(1500), -s))[:20]
+        assert sorted(got[q]) == list(range(1, 21))
+        assert all(got[q][i][1] == pytest.approx(s[got[q][i][0]], abs=1e-9) for i in got[q])
+        hits += len({v for v, _ in got[q].values()} & set(best.tolist()))
+    assert hits / (75 * 20) > 0.95
+
+
+def test_pruning_keeps_diverse_edges():
+    v = np.array([[0, 0], [1, 0], [1.1, 0], [0, 1]], np.float32)
+    d = (v ** 2).sum(1)[None, 1:].astype(np.float32)
+    kept = ann.robust_prune(v, np.array([0]), np.array([[1, 2, 3]]), d, 3, 1.2)
+    assert kept.tolist() == [[1, 3, -1]]
+
+
+# op4
+KINDS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
+
+
+def luhn(digits):
+    odd = [int(c) for c in digits[::-1]]
+    return (sum(odd[::2]) + sum(sum(divmod(2 * d, 10)) for d in odd[1::2])) % 10 == 0
+
+
+def base_spans(text):
+    ok = {"email": lambda m: True, "ip": lambda m: all(int(p) <= 255 for p in m.split(".")),
+          "card": lambda m: 12 <= len(re.sub("[^0-9]", "", m)) <= 19 and luhn(re.sub("[^0-9]", "", m)),
+          "phone": lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15}
+    found = [(m.start(), i, m.end(), k) for i, (k, p) in enumerate(KINDS) for m in re.finditer(p, text) if ok[k](m[0])]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
+
+
+def test_pattern_spans_equal_brute_force(spark, texts):
+    rows = [*texts.values(), *noisy(4, "ab1.@-+% _9é", 1500, 40), *noisy(5, "0123456789 -.+()", 1500, 60),
+            "4111 1111-1111 1111, 4111111111111111 a@b.c_d@e.f+g@h.i 1.2.3.4.5.6.7.8 +1 (974) 555-3436 256.1.1.1 0255.1.1.1",
+            "1-" * 30000 + "1", "9" * 50000, "a." * 30000 + "@b" + ".c" * 30000, "+" + "1 " * 30000]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    for r in privacy.detect(df).collect():
+        want = base_spans(rows[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest(), rows[r.doc_id][:100]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s.startswith(k + ":") for s in want.split(",")) for k, _ in KINDS)
+        assert [s for s in r.spans.split(",") if s and not s.startswith("term:")] == [s for s in want.split(",") if s]
+
+
+def test_terms_that_give_an_entity_away_go_and_common_ones_stay(spark):
+    rows = [f"the common words here write Zanzibari to bob@mail.com whenever common words fail number{i}" for i in range(3)]
+    rows += ["the common words here and nothing else, whenever they come"] * 40 + ["plain text about nothing"] * 20
+    df = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in enumerate(rows)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = [r.text for r in privacy.sanitise(df).orderBy("doc_id").collect()]
+    assert all("bob" not in t and "[EMAIL]" in t and "Zanzibari" not in t and "common" in t and "whenever" in t for t in out[:3])
+    assert out[3:] == rows[3:]
+
+
+def test_sanitised_texts_hold_no_base_span(spark, docs):
+    before = {r.doc_id: r.text for r in docs.collect()}
+    for r in privacy.sanitise(docs).collect():
+        assert base_spans(r.text) == "" or "[" in r.text
+        if not base_spans(before[r.doc_id]):
+            assert r.text == before[r.doc_id]
+
+
+# op5
+def brute_segments(scores):
+    """All maximal scoring segments by their definition: take the best segment, then go on left and right of it."""
+    best = (0.0, 0, 0)
+    for i in range(len(scores)):
+        for j in range(i + 1, len(scores) + 1):
+            s = sum(scores[i:j])
+            if s > best[0] + 1e-9:
+                best = (s, i, j)
+    s, i, j = best
+    return [] if s <= 0 else brute_segments(scores[:i]) + [best] + [(a, x + j, y + j) for a, x, y in brute_segments(scores[j:])]
+
+
+def test_segments_are_all_maximal_ones():
+    rng = random.Random(8)
+    model = toxicity.ToxicityModel({"a": 1.0, "b": 2.3, "c": 0.7}, cost=0.6)
+    for _ in range(150):
+        words = [rng.choice("abcxyzxyz") for _ in range(rng.randrange(25))]
+        want = brute_segments([model.odds.get(w, -0.6) for w in words])
+        got = model.segments(words)
+        assert [(a, b) for _, a, b in got] == [(a, b) for _, a, b in want]
+        assert [s for s, _, _ in got] == pytest.approx([s for s, _, _ in want])
+
+
+def test_toxic_documents_are_found_and_clean_ones_left(spark):
+    sf = "/root/testdata/sf0.1"
+    d, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    out = toxicity.score(d.join(labels.select("doc_id"), "doc_id"), toxicity.fit(d, labels)).join(labels, "doc_id")
+    held = out.where(frames.held_out(F.col("doc_id"))).select("score", "toxic").collect()
+    hit = [r.toxic for r in held if r.score >= 0.5]
+    assert sum(hit) / len(hit) > 0.95 and sum(hit) / sum(r.toxic for r in held) > 0.8
+
+
+# op6
+def test_repeated_windows_go(spark, texts):
+    rng = random.Random(6)
+    some = [" ".join(rng.choice("abc") for _ in range(rng.randrange(200))) for _ in range(60)]  # many chance repeats
+    rows = [*texts.values(), *some, "x " * 400, "x " * 300, some[3], "one  two\tthree " + some[4]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    seen = set()
+    got = {r.doc_id: r for r in substrings.dedup_substrings(df, with_text=True).collect()}
+    for i, text in enumerate(rows):
+        words = WORD.findall(text)
+        gone = [False] * len(words)
+        for k in range(len(words) - 19):
+            window = tuple(words[k:k + 20])
+            if window in seen:
+                gone[k:k + 20] = [True] * 20
+            seen.add(window)
+        kept = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
+        assert (got[i].n_words, got[i].n_removed, got[i].kept_text) == (len(words), sum(gone), kept)
+        assert got[i].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+# op7
+def shingles(text, k=3):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    return {tuple(words[i:i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} if words else set()
+
+
+def brute_components(sets, num, den):
+    up = {i: i for i in sets}
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+            x, y = find(a), find(b)
+            up[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def families(seed):
+    """Texts with near copies at many distances, chains among them."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(12):
+        words = [rng.choice("abcdefghij") + str(rng.randrange(40)) for _ in range(rng.randrange(4, 150))]
+        for _ in range(rng.randrange(1, 9)):
+            out.append(" ".join(words))
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(len(words))] = "new" + str(rng.randrange(10 ** 6))
+    return out + ["A b", "a B", "a", "", "x y z", "X y z"]
+
+
+@pytest.mark.parametrize("gram,num", [(3, 90), (5, 80)])
+def test_components_equal_brute_force(spark, texts, gram, num):
+    rows = [*texts.values(), *families(num)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    sets = {i: shingles(t, gram) for i, t in enumerate(rows)}
+    want = brute_components(sets, num, 100)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df, gram, ngram_join.Alike(num, 100)).collect()}
+    assert got == {i: (len(sets[i]), want[i]) for i in sets}
+
+
+def test_large_groups_are_split_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    rows = families(1)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    sets = {i: shingles(t) for i, t in enumerate(rows)}
+    assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df).collect()} == brute_components(sets, 90, 100)
+
+
+def test_trie_joins_random_sets():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        base = rng.choice(10 ** 6, 60, replace=False)
+        sets = []
+        for _ in range(rng.integers(2, 14)):
+            s = base.copy()
+            s[rng.choice(60, rng.integers(0, 8), replace=False)] = rng.integers(10 ** 6, 10 ** 9, 1)
+            sets.append(np.unique(s)[:rng.integers(50, 61)].astype(np.uint64))
+        links = ngram_join.Links(len(sets))
+        for a, b in ngram_join.trie_links(sets):
+            links.join(a, b)
+        want = brute_components({i: set(s.tolist()) for i, s in enumerate(sets)}, 90, 100)
+        assert [links.find(i) for i in range(len(sets))] == [want[i] for i in range(len(sets))]
+
+
+def test_graph_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 7), (60, 61), (62, 61), (70, 70)]
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 0, 60: 60, 61: 60, 62: 60}
+
+
+# op8
+def brute_winnow(text, k, w):
+    """Window by window, by the definition, on the same hashes."""
+    n = len(text)
+    if not n:
+        return []
+    k = min(k, n)
+    grams = [int(fingerprints.winnow(text[i:i + k], k, 1)[0][0]) for i in range(n - k + 1)]
+    w = min(w, len(grams))
+    picked = set()
+    for i in range(len(grams) - w + 1):
+        least = min(grams[i:i + w])
+        picked.add(max(j for j in range(i, i + w) if grams[j] == least))
+    return [(grams[j], j) for j in sorted(picked)]
+
+
+def test_winnowing_by_its_definition(texts):
+    for text in [*noisy(9, "ab", 40, 90), *[t[:150] for t in list(texts.values())[:10]], "aaaaaaaaaaaaaaaaaaaa", "é漢😀" * 9]:
+        h, p = fingerprints.winnow(text, 5, 8)
+        assert list(zip(h.tolist(), p.tolist(), strict=True)) == brute_winnow(text, 5, 8)
+
+
+def test_edited_texts_and_next_documents(spark):
+    rows = [(i, "".join(random.Random(i).choices("abc déf😀", k=i * 37 % 211))) for i in range(0, 90, 2)] + [(91, None), (93, "")]
+    got = {r.doc_id: r for r in fingerprints.edited_fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()}
+    assert len(got) == len(rows)
+    for i, (doc, text) in enumerate(rows):
+        text, after = text or "", rows[(i + 1) % len(rows)][1] or ""
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        r = got[doc]
+        f = [fingerprints.winnow(t)[0] for t in (text, edited, after)]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (fingerprints.as_text(f[0]), fingerprints.as_text(f[1]))
+        assert (r.near_edited, r.near_next) == (fingerprints.likeness(f[0], f[1]), fingerprints.likeness(f[0], f[2]))
+
+
+# op9
+def test_counts_and_every_prefix_equal_the_library(texts):
+    c, t = token_counts.PrefixCounter(BYTE_FILE), Tokenizer.from_file(BYTE_FILE)
+    rows = [*texts.values(), *noisy(1, "ab 'slt\n\t   é漢́<|>endoftext1289\x1c.  ", 1500, 60),
+            "a<|endoftext|> b  <|endoftext|>", "   ", "", "x" * 500, "we'll"]
+    for text in rows:
+        assert c.total(text) == len(t.encode(text, add_special_tokens=False).ids)
+    for text in [x for x in rows[len(texts):] if "<|endoftext|>" not in x][:250]:
+        stored = c.prefix_table(text)
+        for k in range(len(text) + 1):
+            assert c.count_at(text, k, stored) == len(t.encode(text[:k], add_special_tokens=False).ids)
+
+
+def test_cut_for_a_budget_fits(spark, texts):
+    c = token_counts.counter(BYTE_FILE)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    for r in token_counts.token_counts(df, BYTE_FILE, 100).collect():
+        text = texts[r.doc_id]
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), c.total(text), c.total(text) > 100)
+        assert c.count_at(text, r.limit_chars) <= 100 and (r.limit_chars == len(text)) == (not r.over_limit)
+
+
+# op10
+def test_ids_equal_the_library(texts):
+    t, enc = Tokenizer.from_file(WORD_FILE), packing.WordEncoder(WORD_FILE)
+    rows = [*texts.values(), *noisy(2, "ab 'sltRE\n\t  é漢́̀<|>endoftext1289.  İΣß", 1500, 60), "A <|startoftext|>b", "y" * 400]
+    for text, ids in zip(rows, enc.encode(rows), strict=True):
+        assert ids == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def best_fit_by_one(lengths, capacity):
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        fit = [g for g in gaps if g >= n]
+        if fit:
+            gaps.remove(min(fit))
+            gaps.append(min(fit) - n)
+        else:
+            gaps.append(capacity - n)
+    return len(gaps)
+
+
+def test_rounds_open_as_few_sequences_as_best_fit():
+    rng = random.Random(10)
+    for _ in range(200):
+        capacity = rng.randrange(1, 60)
+        lengths = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(80))]
+        runs = packing.best_fit_runs({n: lengths.count(n) for n in set(lengths)}, capacity)
+        used = {}
+        for n, lo, hi, seq, offset in runs:
+            for k in range(hi - lo):
+                used.setdefault(seq + k, []).append((offset, n))
+        assert sorted(n for s in used.values() for _, n in s) == sorted(lengths)
+        for places in used.values():
+            at = 0
+            for offset, n in sorted(places):
+                assert offset == at
+                at += n
+            assert at <= capacity
+        assert len(used) == best_fit_by_one(lengths, capacity)
+
+
+def test_packed_sequences_hold_whole_documents(docs, texts):
+    t = Tokenizer.from_file(WORD_FILE)
+    rows = packing.pack_documents(docs, WORD_FILE).collect()
+    by_doc, by_seq = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_seq.setdefault(r.sequence_id, []).append(r)
+    for doc, text in texts.items():
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        parts = sorted(by_doc[doc], key=lambda r: r.piece)
+        assert [p.piece for p in parts] == list(range(-(-len(ids) // 4096)))
+        for p in parts:
+            own = ids[p.piece * 4096:(p.piece + 1) * 4096]
+            assert (p.start, p.length, p.ids_crc32) == (p.piece * 4096, len(own), zlib.crc32(own.tobytes()))
+    for places in by_seq.values():
+        ends = list(itertools.accumulate(p.length for p in sorted(places, key=lambda p: p.offset)))
+        assert [p.offset for p in sorted(places, key=lambda p: p.offset)] == [0, *ends[:-1]] and ends[-1] <= 4096
+    assert len(by_seq) <= 1.02 * sum(r.length for r in rows) / 4096 + 1
+
+
+# the pipeline, stage by stage
+def test_pipeline_stages(spark, docs, texts):
+    clean = corpus_pipeline.drop_toxic(spark, docs, SF)
+    model = toxicity.fit(docs, table(spark, SF, "labels"))
+
+    def bad(text):
+        words = toxicity.tokens(text)
+        return bool(model and model.odds) and model.score(max((s for s, _, _ in model.segments(words)), default=0.0), len(words)) >= 0.5
+
+    kept = {r.doc_id for r in clean.collect()}
+    assert kept == {i for i, t in texts.items() if not bad(t)}
+    sets = {i: shingles(t, 5) for i, t in texts.items()}
+    roots = brute_components(sets, 80, 100)
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()} == set(roots.values())
+    one = corpus_pipeline.run(spark, SF).collect()
+    assert one and sorted(one) == sorted(corpus_pipeline.run(spark, SF).collect())
+    assert {r.doc_id for r in one} <= kept
