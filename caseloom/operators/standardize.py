@@ -30,6 +30,18 @@ def upper(name: str) -> Column:
     return F.upper(F.col(name))
 
 
+def bad_cells(raw: DataFrame, typed: DataFrame) -> Column:
+    """How many filled text cells of ``raw`` cannot be read as the type they have in ``typed`` and become null (SEM-1).
+
+    An aggregate over the raw rows, to be observed while they are written."""
+    total = F.lit(0).cast("long")
+    for f in typed.schema.fields:
+        if f.name in raw.columns and f.dataType.simpleString() != "string":
+            cell = F.col(f.name)
+            total = total + F.count_if((F.trim(cell) != "") & cell.try_cast(f.dataType).isNull())
+    return total
+
+
 def _replace(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     # one projection, original column order kept, new columns appended
     return df.withColumns(exprs)

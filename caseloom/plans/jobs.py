@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from caseloom.config import PipelineConfig
 from caseloom.operators import brief, kpis, mart, reports, similarity, standardize
@@ -35,11 +35,13 @@ def _read_silver(spark: SparkSession, cfg: PipelineConfig, table: str):
 
 
 def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
-    """OUT-1..5: typed silver tables as Parquet."""
+    """OUT-1..5: typed silver tables as Parquet, and how many filled cells of each could not be read as their type."""
     counts = {}
     for t in CSV_TABLES:
         raw = read_raw_csv(spark, cfg.path("raw", t), t)
         fn = standardize.STANDARDIZERS[t]
+        nulled = Observation(f"nulled:{t}")
+        raw = raw.observe(nulled, standardize.bad_cells(raw, fn(raw)).alias("cells"))
         df = fn(raw, cfg.delay_hours_threshold) if t == "shipments" else fn(raw)
         if cfg.order_buckets and t in ORDER_KEYED:
             create_database(spark, cfg)
@@ -47,6 +49,7 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
                                              cfg.order_buckets)
         else:
             counts[t] = write_table(df, cfg.path("silver", t))
+        counts[f"{t}_bad_cells"] = int(nulled.get["cells"])
     tickets = standardize.standardize_tickets(read_raw_json(spark, cfg.path("raw", "support_tickets")))
     counts["support_tickets"] = write_table(tickets, cfg.path("silver", "support_tickets"))
     return counts

@@ -186,3 +186,12 @@ def test_lost_tickets_and_unique_check(spark):
     assert tuple(mart.lost_tickets(orders, tickets).first()) == (4, 3)
     with pytest.raises(ValueError, match="O2"):
         mart.assert_unique(orders, "order_id")
+
+
+def test_bad_cells_are_counted(spark):
+    from caseloom.operators import standardize
+    from caseloom.schemas import RAW_RETURNS
+
+    raw = spark.createDataFrame([("R1", "O1", "X", "1.5", "OPEN", "2026-03-01T10:00:00"), ("R2", "O1", "X", "abc", "OPEN", "soon"),
+                                 ("R3", "O1", "X", "", "OPEN", None)], RAW_RETURNS)
+    assert raw.agg(standardize.bad_cells(raw, standardize.standardize_returns(raw)).alias("n")).first().n == 2
