@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm.frames import cut, table
+from caseloom.llm.token_counts import byte_alphabet
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
@@ -50,13 +51,36 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {"": b""}
+        self.marks = {mark: self.ids(mark) for mark in ",."}
+        self.alphabet = byte_alphabet()
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def plain(self, word: str) -> bytes | None:
+        """Ids of a lower-case word of letters, with or without a comma or full stop, straight from the merges: it is one
+        part (and the mark another) for the tokenizer, and the steps before change nothing. None for other words."""
+        stem, mark = (word[:-1], word[-1]) if word[-1] in self.marks and len(word) > 1 else (word, "")
+        if not stem.isalpha() or max(stem) >= "\u0130" or stem != stem.lower():
+            return None
+        ids = self.memo.get(stem) if mark else None
+        if ids is None:
+            text = stem if stem.isascii() else "".join(map(self.alphabet.__getitem__, stem.encode()))
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(text)], "<u4").tobytes()
+            if mark:
+                self.memo[stem] = ids
+        return ids + self.marks[mark] if mark else ids
+
     def learn(self, words: list[str]) -> None:
-        for lo in range(0, len(words), 4096):
-            part = words[lo:lo + 4096]
+        rest = []
+        for word in words:
+            ids = self.plain(word) if word else b""
+            if ids is None:
+                rest.append(word)
+            else:
+                self.memo[word] = ids
+        for lo in range(0, len(rest), 4096):
+            part = rest[lo:lo + 4096]
             got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(got.ids, "<u4").tobytes()
             ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
