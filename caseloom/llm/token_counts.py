@@ -114,33 +114,33 @@ class PrefixCounter:
         return known
 
     def state(self, s: str) -> tuple[int, int]:
-        """(last token, count) of the pre-token prefix ``s`` (in the byte alphabet).
+        """(last token, count) of the pre-token prefix ``s`` (in the byte alphabet), from the top down.
 
-        The states of all its prefixes are stored on the way; pre-tokens that begin alike share them.
+        Only the prefixes that a token could be added to are looked at; their states are stored, and pre-tokens that
+        begin alike share them.
         """
-        states, ids, fits = self.states, self.ids, self.fits
+        states, ids = self.states, self.ids
         known = states.get(s)
         if known is not None:
             return known
-        if len(states) >= MEMO_ENTRIES:
-            states.clear()
-        i = len(s) - 1
-        while i and s[:i] not in states:
-            i -= 1
-        for i in range(i + 1, len(s) + 1):
-            for j in range(max(0, i - self.longest), i):
-                token = ids.get(s[j:i])
-                if token is not None:
-                    if not j:
-                        if self.begins(s[:i]):
-                            states[s[:i]] = token, 1
-                            break
-                        continue
-                    left, n = states[s[:j]]
-                    if fits(left, token):
-                        states[s[:i]] = token, n + 1
-                        break
-        return states[s]
+        n = len(s)
+        for j in range(max(0, n - self.longest), n):
+            token = ids.get(s[j:])
+            if token is None:
+                continue
+            if j:
+                left, count = states.get(s[:j]) or self.state(s[:j])
+                if not self.fits(left, token):
+                    continue
+            elif self.begins(s):
+                count = 0
+            else:
+                continue
+            if len(states) >= MEMO_ENTRIES:
+                states.clear()
+            states[s] = known = token, count + 1
+            return known
+        raise ValueError(f"no encoding of {s!r}")
 
     def pretoken_counts(self, pretoken: str) -> list[int]:
         """counts[i]: tokens of the first i bytes of a pre-token, for every i."""
