@@ -184,8 +184,8 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = QUERY_BEAM)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     dealt = queries.withColumn("block", F.pmod(F.xxhash64("query", "vector"), F.lit(blocks)).cast("int"))
     keyed = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    shards = [r["shard"] for r in index.select("shard").collect()]  # one small number per shard
-    dealt = dealt.withColumn("shard", F.explode(F.array(*map(F.lit, shards)))) if shards else dealt.withColumn("shard", F.lit(0))
+    last = index.agg(F.max("shard")).first()[0] or 0
+    dealt = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(last))))
 
     def run(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if shard.empty or asked.empty:

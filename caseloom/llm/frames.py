@@ -1,4 +1,7 @@
-"""Small DataFrame helpers the operators of this subpackage share."""
+"""Small DataFrame helpers the operators of this subpackage share.
+
+Columns whose names begin with two underscores are the operators' own; all other names are free for the caller.
+"""
 
 from __future__ import annotations
 
@@ -65,16 +68,16 @@ def ranked(df: DataFrame, keys: list[Column], name: str, by: list[str] = ()) ->
 
 
 def coordinates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """Rows (doc_id, text, at), or with ``keep`` all columns and ``at``; ``at`` is unique and orders rows by id.
+    """Rows (doc_id, text, at), or with ``keep`` all columns and ``__at``; it is unique and orders rows by id.
 
     It is the id itself where ids are unique, as they are meant to be. Where some are null or repeated, it is the row's
     place in the order of id (null first) and text, so that every row still has a place of its own.
     """
     key, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.drop("at") if keep else docs.select(key.alias("doc_id"), text.alias("text"))
-    key, text = (key, text) if keep else (F.col("doc_id"), F.col("text"))
+    rows = docs if keep else docs.select(key.alias("doc_id"), text.alias("text"))
+    key, text, at = (key, text, "__at") if keep else (F.col("doc_id"), F.col("text"), "at")
     per_id = docs.groupBy(F.col(id_col).alias("id")).count()
     if docs.schema[id_col].dataType.simpleString() in ("bigint", "int") and not per_id.where(
             F.col("id").isNull() | (F.col("count") > 1)).head(1):
-        return rows.withColumn("at", key.cast("long"))
-    return ranked(rows, [key.asc_nulls_first(), text], "at")
+        return rows.withColumn(at, key.cast("long"))
+    return ranked(rows, [key.asc_nulls_first(), text], at)

@@ -4,8 +4,8 @@ Sets are ordered globally, rare grams first: by the size class of a counter that
 counters), then by hash. Any order that is the same for all sets gives exact results; a rare-first one gives few
 candidates. Two sets as alike as asked share a gram in their prefixes, so the sets hang in the subtrees of their prefix
 grams. Equal sets are one class; subtrees with equal members are one subtree; a subtree too large for one task is split
-into block pairs. In a subtree, lengths and a 64-counter profile of each set (whose distance bounds the number of grams
-that differ) leave the candidates, and their connected groups get their whole sets: each group is stored in a trie that
+into block pairs. In a subtree, lengths and a profile of each set (its grams counted by hash; the distance of two
+profiles is at most the number of grams that differ) leave the candidates, and their connected groups get their whole sets: each group is stored in a trie that
 shares common beginnings, and a set walks it, adding up its overlap along shared segments, leaving subtrees that the
 remaining lengths cannot lift to the threshold, and subtrees already in its component.
 
@@ -33,8 +33,8 @@ GRAM = 3
 NUMERATOR, DENOMINATOR = 90, 100  # alike: DENOMINATOR * intersection >= NUMERATOR * union
 COUNTER_BITS = 20  # 2^20 counters order the grams
 SLICES = 64
-PROFILE = 64
-BLOCK = 2048
+LEAST_PROFILE = 64  # counters of a profile, at least; a large set has one for about eight grams
+BLOCK = 512
 
 
 def gram_sets(column: pa.Array, gram: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -109,13 +109,24 @@ def gram_classes(rows: DataFrame, gram: int = GRAM) -> np.ndarray:
     return levels.reshape(-1)
 
 
+def profile_of(grams: np.ndarray) -> np.ndarray:
+    """Grams counted by the low bits of their hash, in a power of two of counters that grows with the set."""
+    width = max(LEAST_PROFILE, 1 << (len(grams) >> 3).bit_length())
+    return np.minimum(np.bincount((grams & U(width - 1)).astype(np.int64), minlength=width), 65535).astype("<u2")
+
+
+def fold(profile: np.ndarray, width: int) -> np.ndarray:
+    """The profile with fewer counters: those whose low bits are equal are added up."""
+    return profile.astype(np.int32).reshape(-1, width).sum(axis=0, dtype=np.int32)
+
+
 def _summaries(batches, gram: int, alike: Alike, levels: np.ndarray):
     for b in batches:
         n, digest, profile, prefix = [], [], [], []
         for _, s in gram_sets(b.column(1), gram):
             n.append(len(s))
             digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            profile.append(np.minimum(np.bincount((s & U(PROFILE - 1)).astype(np.int64), minlength=PROFILE), 65535).astype("<u2").tobytes())
+            profile.append(profile_of(s).tobytes())
             p = alike.prefix(len(s))
             if p:
                 rank = (levels[(s >> U(64 - COUNTER_BITS)).astype(np.int64)].astype(U) << U(56)) | (mix(s) >> U(8))
@@ -177,15 +188,23 @@ def _candidates(batches, alike: Alike):
             if t.num_rows < 2:
                 continue
             node, n = np.asarray(t.column("node").combine_chunks()), np.asarray(t.column("n").combine_chunks()).astype(np.int64)
-            prof = np.frombuffer(b"".join(t.column("profile").to_pylist()), "<u2").reshape(-1, PROFILE).astype(np.int32)
             order = np.argsort(n, kind="stable")
-            node, n, prof = node[order], n[order], prof[order]
+            node, n = node[order], n[order]
+            raw = t.column("profile").to_pylist()
+            raw = [np.frombuffer(raw[i], "<u2") for i in order]
+            width = np.array([len(p) for p in raw])  # ascending, as the lengths are
+            folded: dict[int, tuple[int, np.ndarray]] = {}  # the profiles, in that many counters, of sets from a place on
+            for w in np.unique(width).tolist():
+                first = int(np.searchsorted(width, w))
+                longest = n[width == w].max() * alike.den // alike.num  # no longer set is alike to one of this width
+                folded[w] = first, np.stack([fold(p, w) for p in raw[first:int(np.searchsorted(n, longest, "right"))]])
             links = Links(len(n))
             for i in range(1, len(n)):
                 lo = int(np.searchsorted(n, alike.shortest(n[i])))
                 if lo >= i:
                     continue
-                differ = np.abs(prof[lo:i] - prof[i]).sum(axis=1)
+                first, prof = folded[int(width[lo])]
+                differ = np.abs(prof[lo - first:i - first] - prof[i - first]).sum(axis=1)
                 both = n[lo:i] + n[i]
                 for j in np.flatnonzero(differ <= both - 2 * alike.least_overlap(both)) + lo:
                     if links.join(i, int(j)):
@@ -193,29 +212,43 @@ def _candidates(batches, alike: Alike):
     yield from _edge_batches(pairs())
 
 
-class Trie:
-    """A compacted prefix tree over sets given as ascending rank arrays, in lexicographic order."""
+class Node:
+    """A node of a compacted prefix tree: the grams since its parent, the sets that end here, and what lies below."""
+
+    __slots__ = ("any", "children", "depth", "least", "members", "most", "one", "segment")
+
 
-    def __init__(self, sets: list[np.ndarray], members: list[int], depth: int = 0):
-        first, last = sets[0], sets[-1]
+def build_trie(sets: list[np.ndarray], members: list[int]) -> list[Node]:
+    """The nodes, parents first, of the tree over sets given as ascending rank arrays in lexicographic order."""
+    lengths = np.array([len(s) for s in sets])
+    nodes: list[Node] = []
+    todo: list[tuple[int, int, int, Node | None]] = [(0, len(sets), 0, None)]
+    while todo:
+        lo, hi, depth, parent = todo.pop()
+        first, last = sets[lo], sets[hi - 1]
         common = min(len(first), len(last))
         differ = np.flatnonzero(first[depth:common] != last[depth:common])
         end = depth + int(differ[0]) if len(differ) else common
-        self.segment, self.depth = first[depth:end], end
-        self.members = [m for s, m in zip(sets, members, strict=True) if len(s) == end]
-        lengths = [len(s) for s in sets]
-        self.least, self.most = min(lengths), max(lengths)
-        self.any, self.one = members[0], len(members) == 1  # one: all members known to be in one component
-        self.children = []
-        rest = [(s, m) for s, m in zip(sets, members, strict=True) if len(s) > end]
-        lo = 0
-        for hi in range(1, len(rest) + 1):
-            if hi == len(rest) or rest[hi][0][end] != rest[lo][0][end]:
-                self.children.append(Trie([s for s, _ in rest[lo:hi]], [m for _, m in rest[lo:hi]], end))
-                lo = hi
-
-
-def _walk(root: Trie, x: int, mask: np.ndarray, n: int, links: Links, alike: Alike):
+        node = Node()
+        node.segment, node.depth, node.children = first[depth:end], end, []
+        node.least, node.most = int(lengths[lo:hi].min()), int(lengths[lo:hi].max())
+        node.any, node.one = members[lo], hi - lo == 1  # one: all sets below are known to be in one component
+        at = lo
+        while at < hi and lengths[at] == end:  # a set stands before those it begins
+            at += 1
+        node.members = members[lo:at]
+        nodes.append(node)
+        if parent is not None:
+            parent.children.append(node)
+        begin = at
+        for at in range(begin + 1, hi + 1):
+            if at == hi or sets[at][end] != sets[begin][end]:
+                todo.append((begin, at, end, node))
+                begin = at
+    return nodes
+
+
+def _walk(root: Node, x: int, mask: np.ndarray, n: int, links: Links, alike: Alike):
     """Link set x with every set of the trie that is alike; yields the links that join components."""
     stack = [(root, 0)]
     while stack:
@@ -232,12 +265,12 @@ def _walk(root: Trie, x: int, mask: np.ndarray, n: int, links: Links, alike: Ali
         stack += [(c, overlap) for c in t.children]
 
 
-def _settle(t: Trie, links: Links) -> bool:
-    """Mark subtrees whose members are all in one component."""
-    if not t.one:
-        inner = all([_settle(c, links) for c in t.children])
-        t.one = inner and len({links.find(x) for x in [t.any, *t.members, *(c.any for c in t.children)]}) == 1
-    return t.one
+def _settle(nodes: list[Node], links: Links) -> None:
+    """Mark subtrees whose sets are all in one component."""
+    for t in reversed(nodes):
+        if not t.one and all(c.one for c in t.children):
+            root = links.find(t.any)
+            t.one = all(links.find(x) == root for x in t.members) and all(links.find(c.any) == root for c in t.children)
 
 
 def trie_links(sets: list[np.ndarray], alike: Alike = Alike()) -> Iterator[tuple[int, int]]:
@@ -249,11 +282,12 @@ def trie_links(sets: list[np.ndarray], alike: Alike = Alike()) -> Iterator[tuple
             yield 0, 1
         return
     grams, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(grams), np.int64)
-    rank[np.argsort(-count, kind="stable")] = np.arange(len(grams))
+    rank = np.empty(len(grams), np.int32)
+    rank[np.argsort(-count, kind="stable")] = np.arange(len(grams), dtype=np.int32)
     ranked = [np.sort(r) for r in np.split(rank[place], np.cumsum([len(s) for s in sets])[:-1])]
-    order = sorted(range(len(sets)), key=lambda i: ranked[i].astype(">i8").tobytes())
-    root = Trie([ranked[i] for i in order], order)
+    order = sorted(range(len(sets)), key=lambda i: ranked[i].astype(">i4").tobytes())
+    nodes = build_trie([ranked[i] for i in order], order)
+    root = nodes[0]
     mask = np.zeros(len(grams), bool)
     for seen, x in enumerate(order):
         if root.one:
@@ -262,7 +296,7 @@ def trie_links(sets: list[np.ndarray], alike: Alike = Alike()) -> Iterator[tuple
         yield from _walk(root, x, mask, len(ranked[x]), links, alike)
         mask[ranked[x]] = False
         if seen & (seen - 1) == 0 or seen % 64 == 0:
-            _settle(root, links)
+            _settle(nodes, links)
 
 
 def _verified(batches, alike: Alike):
@@ -302,7 +336,7 @@ def link_components(rows: DataFrame, gram: int = GRAM, alike: Alike = Alike()) -
     hung = firsts.select("node", F.explode("prefix").alias("gram")).repartition(parts, "gram")
     h = F.xxhash64("node")
     subtrees = hung.groupBy("gram").agg(F.count("*").alias("size"), F.bit_xor(h).alias("x"),
-                                        F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s")).where("size > 1")
+                                        F.sum(h.bitwiseAND(F.lit(0xFFFFFF))).alias("s")).where("size > 1")
     same = hung.join(subtrees, "gram").select(F.xxhash64("size", "x", "s").alias("key"), "size", "node").distinct()
     members = _blocks(same.join(firsts.select("node", "n", "profile"), "node"), "key", "size")
     found = members.select("task", "node", "n", "profile").repartition(parts, "task").sortWithinPartitions("task").mapInArrow(
@@ -342,8 +376,9 @@ def near_duplicates(docs: DataFrame, gram: int = GRAM, alike: Alike = Alike(), i
 def keep_one(docs: DataFrame, gram: int, alike: Alike, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first row (by id, then text) of every component; rows with an empty set all stay. All columns are kept."""
     rows = coordinates(docs, id_col, text_col, keep=True)
-    out = link_components(rows.select("at", F.coalesce(F.col(text_col), F.lit("")).alias("text")), gram, alike)
-    return rows.join(out.where("at = component").select("at").hint("shuffle_hash"), "at", "left_semi").select(*docs.columns)
+    out = link_components(rows.select(F.col("__at").alias("at"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), gram, alike)
+    firsts = out.where("at = component").select(F.col("at").alias("__at"))
+    return rows.join(firsts.hint("shuffle_hash"), "__at", "left_semi").select(*docs.columns)
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
