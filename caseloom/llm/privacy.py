@@ -1,15 +1,16 @@
 """Personal data: patterns, and terms that disclose what the patterns protect, by corpus co-occurrence.
 
 E-mail addresses, IP addresses, card and phone numbers are found by pattern. Each value found is a protected entity. A
-term near it (a word of at least four letters within ``REACH`` code points) discloses it as far as the term's occurrence
-in the corpus points to the entity: the pointwise mutual information of the two, over the entity's own information
-content, from the numbers of documents that hold the term, the entity, and both side by side. At ``GENERALISE`` the term is
-replaced by a general one, at ``REMOVE`` it is removed. All of it is DataFrame functions: regular expressions, joins, counts.
+term (a run of letters, marks and digits outside the pattern spans, of any length) discloses it as far as the term's
+occurrence in the corpus points to the entity: the pointwise mutual information of the two, over the entity's own
+information content, from the numbers of different texts that hold the term, the entity, and both, wherever in the text
+they stand. In every text that holds the entity, each occurrence of the term is replaced by a general one at
+``GENERALISE`` and removed at ``REMOVE``. All of it is DataFrame functions: regular expressions, joins, counts.
 
 Results for odd input: null text counts as empty and has no span; offsets are code points, end exclusive; long runs are
-matched in linear time; null and repeated ids keep their own rows (see ``coordinates``), each counting as a document;
-an entity that every document holds is disclosed by nothing; an empty table gives no rows; extra columns are
-ignored by ``find_spans`` and kept by ``sanitise``.
+matched in linear time; null and repeated ids keep their own rows (see ``coordinates``); equal texts count once as
+evidence, and each of them has its spans; an entity that every text holds is disclosed by nothing; an empty table gives
+no rows; extra columns are ignored by ``find_spans`` and kept by ``sanitise``.
 """
 
 from __future__ import annotations
@@ -26,10 +27,9 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"\p{L}{4,}+"
+TERM = r"[\p{L}\p{M}\p{N}]++"
 
-REACH = 48
-LEAST_TOGETHER = 2  # documents in which term and entity stand side by side
+LEAST_TOGETHER = 2  # different texts that hold both term and entity
 GENERALISE, REMOVE = 0.8, 0.95
 _BLOCK = 64
 
@@ -93,44 +93,70 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _near(text: Column, span: Column, spans: Column) -> Column:
-    """Whole words within reach of a span on both sides, but for those inside any span."""
-    begin = F.greatest(span["start"] - REACH, F.lit(0)).cast("int")
-    left = F.substring(text, begin + 1, (span["start"] - begin).cast("int"))
-    left = F.when(begin > 0, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
-    right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(REACH))
-    right = F.when(F.length(text) > span["end"] + REACH, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
-    words = F.concat(let(left, lambda t: _matches(t, TERM, F.lit(True), span["start"] - F.length(t))),
-                     let(right, lambda t: _matches(t, TERM, F.lit(True), span["end"])))
-    free = F.filter(words, lambda w: ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-    return F.transform(free, lambda w: F.struct(
-        F.xxhash64(span["kind"], F.lower(span["found"])).alias("entity"), F.xxhash64(F.lower(w["found"])).alias("term"),
-        w["start"].alias("start"), w["end"].alias("end")))
+def _merged(spans: Column) -> Column:
+    """Sorted spans (start, end, put), those that overlap as one."""
+    def merge(kept: Column, s: Column) -> Column:
+        last = F.element_at(kept, -1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["put"].alias("put"))
+        return F.when(F.coalesce(F.get(kept, F.size(kept) - 1)["end"] > s["start"], F.lit(False)), F.concat(
+            F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(longer))).otherwise(F.concat(kept, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint,put:string>>"), merge)
+
+
+def _replaced(text: Column, kept: Column, put) -> Column:
+    """The text with ``put(span)`` in the place of each span of ``kept`` (sorted, apart, at least one)."""
+    parts = F.transform(kept, lambda s, i: let(F.coalesce(F.get(kept, i - 1)["end"], F.lit(0)), lambda at: F.concat(
+        F.substring(text, (at + 1).cast("int"), (s["start"] - at).cast("int")), put(s))))
+    return F.concat(F.array_join(parts, ""), F.substring(text, (F.element_at(kept, -1)["end"] + 1).cast("int"), F.length(text)))
+
+
+def _masked(text: Column, base: Column) -> Column:
+    """The text with blanks in the place of its pattern spans (at least one), as long as before."""
+    spans = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("").alias("put")))
+    return let(_merged(spans), lambda kept: _replaced(text, kept, lambda s: F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int"))))
+
+
+def _terms(text: Column) -> Column:
+    """The hashes of a text's different terms."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))
 
 
 def find_spans(rows: DataFrame) -> DataFrame:
     """(at, doc_id, base, terms) for rows (at, doc_id, text): the pattern spans, and the disclosing terms' spans with
     their disclosure (0 to 1)."""
-    spans = rows.select("at", "doc_id", "text", base_spans(F.col("text")).alias("base"))
-    near = F.flatten(F.transform("base", lambda s: _near(F.col("text"), s, F.col("base"))))
-    found = cut(spans.select("at", "doc_id", "base", F.when(F.size("base") > 0, near).otherwise(
-        F.array().cast("array<struct<entity:bigint,term:bigint,start:bigint,end:bigint>>")).alias("near")))
-
-    near = found.where(F.size("near") > 0).select("at", F.explode("near").alias("w")).select("at", "w.*")
-    together = near.select("at", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both")).where(
-        F.col("both") >= LEAST_TOGETHER)
-    per_entity = found.where(F.size("base") > 0).select(F.explode(F.array_distinct(F.transform(
-        "base", lambda s: F.xxhash64(s["kind"], F.lower(s["found"]))))).alias("entity")).groupBy("entity").agg(
-        F.count("*").alias("with_entity"))
-    words = F.array_distinct(F.transform(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))
-    per_term = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
-    total = found.count()
+    spans = rows.select("at", "doc_id", "text", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"),
+                        base_spans(F.col("text")).alias("base"))
+    masked = spans.withColumn("masked", F.when(F.size("base") > 0, _masked(F.col("text"), F.col("base"))))
+    found = cut(masked.select("at", "doc_id", "digest", "base", "masked", F.when(
+        F.size("base") > 0, F.array_except(_terms(F.col("text")), _terms(F.col("masked")))).alias("hidden")))  # terms in spans only
+    firsts = cut(found.groupBy("digest").agg(F.min("at").alias("at")).select("at"))  # a row of each text
+    total = firsts.count()
+
+    with_base = found.where(F.size("base") > 0)
+    entities = with_base.select("at", F.explode(F.array_distinct(F.transform(
+        "base", lambda s: F.xxhash64(s["kind"], F.lower(s["found"]))))).alias("entity"))
+    shared = entities.join(firsts, "at", "left_semi").groupBy("entity").agg(F.count("*").alias("with_entity")).where(
+        (F.col("with_entity") >= LEAST_TOGETHER) & (F.col("with_entity") < total))
+    held = cut(entities.join(shared, "entity").groupBy("at").agg(F.collect_list(F.struct("entity", "with_entity")).alias("held")))
+    holders = with_base.select("at", "masked").join(held, "at")
+    pairs = holders.select("at", F.explode("held").alias("h"), _terms(F.col("masked")).alias("terms")).select(
+        "at", "h.*", F.explode("terms").alias("term"))
+    together = pairs.join(firsts, "at", "left_semi").groupBy("entity", "with_entity", "term").agg(
+        F.count("*").alias("both")).where(F.col("both") >= LEAST_TOGETHER)
+    seen = rows.select("at", "text").join(firsts.hint("shuffle_hash"), "at", "left_semi").select(
+        F.explode(_terms(F.col("text"))).alias("term"), F.lit(1).alias("n"))
+    unseen = with_base.join(firsts, "at", "left_semi").select(F.explode("hidden").alias("term"), F.lit(-1).alias("n"))
+    per_term = seen.unionAll(unseen).groupBy("term").agg(F.sum("n").alias("with_term"))
     pmi = F.log2(F.lit(float(total)) * F.col("both") / (F.col("with_term") * F.col("with_entity")))
     content = F.log2(F.lit(float(total)) / F.col("with_entity"))
-    telling = together.join(per_entity, "entity").where(F.col("with_entity") < total).join(per_term, "term").select(
+    telling = together.join(per_term, "term").select(
         "entity", "term", F.least(pmi / content, F.lit(1.0)).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
-    terms = near.join(telling, ["entity", "term"]).groupBy("at", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    terms = terms.groupBy("at").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
+    hits = pairs.join(telling, ["entity", "term"]).groupBy("at", "term").agg(F.max("disclosure").alias("disclosure"))
+    places = holders.select("at", F.explode(_matches(F.col("masked"), TERM, F.lit(True))).alias("w")).select(
+        "at", F.xxhash64(F.lower("w.found")).alias("term"), "w.start", "w.end")
+    terms = places.join(hits, ["at", "term"]).groupBy("at").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
     empty = F.array().cast("array<struct<start:bigint,end:bigint,disclosure:double>>")
     return found.select("at", "doc_id", "base").join(terms, "at", "left").select(
         "at", "doc_id", "base", F.coalesce("terms", empty).alias("terms"))
@@ -168,26 +194,13 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         s["disclosure"] >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]")).alias("put")))
     spans = find_spans(rows).select("doc_id", F.array_sort(F.concat(base, terms)).alias("__spans"), "at").where(F.size("__spans") > 0)
 
-    def merge(kept: Column, s: Column) -> Column:
-        last = F.element_at(kept, -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["put"].alias("put"))
-        return F.when(F.coalesce(F.get(kept, F.size(kept) - 1)["end"] > s["start"], F.lit(False)), F.concat(
-            F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(longer))).otherwise(F.concat(kept, F.array(s)))
-
-    merged = F.aggregate("__spans", F.array().cast("array<struct<start:bigint,end:bigint,put:string>>"), merge)
-
-    def rewrite(kept: Column) -> Column:
-        parts = F.transform(kept, lambda s, i: let(F.coalesce(F.get(kept, i - 1)["end"], F.lit(0)), lambda at: F.concat(
-            F.substring(F.col("__text"), (at + 1).cast("int"), (s["start"] - at).cast("int")), s["put"])))
-        tail = F.substring(F.col("__text"), (F.element_at(kept, -1)["end"] + 1).cast("int"), F.length("__text"))
-        return F.concat(F.array_join(parts, ""), tail)
-
     # equal ids with different texts have different spans: the text is part of the key
     keyed = docs.withColumn("__id", F.col(id_col)).withColumn("__text", F.col(text_col)).withColumn("__hash", F.xxhash64(F.coalesce(text_col, F.lit(""))))
     of_row = rows.select("at", F.xxhash64("text").alias("__hash")).join(spans, "at").select(
         F.col("doc_id").alias("__id2"), F.col("__hash").alias("__hash2"), "__spans").dropDuplicates(["__id2", "__hash2"])
     joined = keyed.join(of_row.hint("shuffle_hash"), F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__hash") == F.col("__hash2")), "left")
-    clean = F.when(F.col("__spans").isNull() | F.col("__text").isNull(), F.col("__text")).otherwise(let(merged, rewrite))
+    clean = F.when(F.col("__spans").isNull() | F.col("__text").isNull(), F.col("__text")).otherwise(let(
+        _merged(F.col("__spans")), lambda kept: _replaced(F.col("__text"), kept, lambda s: s["put"])))
     return joined.withColumn(text_col, clean).select(*docs.columns)
 
 

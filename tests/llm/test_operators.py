@@ -146,6 +146,22 @@ def test_terms_that_give_an_entity_away_go_and_common_ones_stay(spark):
     assert out[3:] == rows[3:]
 
 
+def test_terms_give_an_entity_away_from_anywhere_in_the_text(spark):
+    common = "some plain common text that says nothing"
+    long = " ".join([common] * 20)
+    rows = [f"Kim K9x {common} note{i} {long} Kim again {long} write to kim.lee@mail.com" for i in range(3)]
+    rows += [f"Ann {common} ann@mail.com copied {long}"] * 3 + [f"{common} case{i} {long}" for i in range(40)]
+    rows += [f"{common} xkim kim@other.org to write"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    out = [r.text for r in privacy.sanitise(df).orderBy("doc_id").collect()]
+    for i in range(3):
+        assert out[i].split() == f"{common} note{i} {long} {long} [TERM] [TERM] [EMAIL]".split()
+    assert out[3:6] == [rows[3].replace("ann@mail.com", "[EMAIL]")] * 3  # one text, copied: no evidence
+    assert out[6:-1] == rows[6:-1] and out[-1] == rows[-1].replace("kim@other.org", "[EMAIL]")
+    spans = privacy.detect(df).where("doc_id = 0").first()
+    assert spans.n_term == 6 and spans.spans.startswith("term:0:3,term:4:7,")
+
+
 def test_sanitised_texts_hold_no_base_span(spark, docs):
     before = {r.doc_id: r.text for r in docs.collect()}
     for r in privacy.sanitise(docs).collect():
