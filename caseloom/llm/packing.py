@@ -14,6 +14,7 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -34,9 +35,14 @@ RANK_BLOCK = 1 << 16  # ranks are joined to runs in blocks, so no join key holds
 RUN_BYTES_IN_DRIVER = 64 << 20
 
 
-def folded(text: str) -> str:
-    """The text in lower case where that is what the tokenizer does first anyway, and every character alike; else unchanged."""
-    return text.lower() if text.isascii() or max(text) < "\u0130" else text
+def folded(text: str, special: re.Pattern | None = None) -> str:
+    """The text in lower case where that is what the tokenizer does first anyway, and every character alike; else unchanged.
+
+    The tokenizer parts its special strings off before that: a text in which folding would make another one, stays as it is."""
+    if not (text.isascii() or max(text) < "\u0130"):
+        return text
+    low = text.lower()
+    return text if special and low != text and special.findall(low) != special.findall(text) else low
 
 
 class WordEncoder:
@@ -53,6 +59,8 @@ class WordEncoder:
         self.memo: dict[str, bytes] = {"": b""}
         self.marks = {mark: self.ids(mark) for mark in ",."}
         self.alphabet = byte_alphabet()
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added)) if added else None
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -92,7 +100,7 @@ class WordEncoder:
                 at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [folded(t).replace("\n", " ").split(" ") for t in texts]
+        split = [folded(t, self.special).replace("\n", " ").split(" ") for t in texts]
         out = []
         for lo in range(0, len(split), TEXTS_AT_ONCE):
             some = split[lo:lo + TEXTS_AT_ONCE]

@@ -373,6 +373,16 @@ def test_ids_equal_the_library(texts):
         assert ids == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_folding_makes_no_special_token():
+    t, enc = Tokenizer.from_file(WORD_FILE), packing.WordEncoder(WORD_FILE)
+    marks = ["<|ENDOFTEXT|>", "<|StartOfText|>", "<|endoftext|>", "<|startoftext|>"]
+    rows = [f"End {a}of {b} the Text, É{a}" for a in marks for b in marks] + [f"end {a} of" for a in marks] + [a for a in marks]
+    rows += ["<|endof<|ENDOFTEXT|>text|>", "x" * 60 + "<|ENDOFTEXT|>" + "Y" * 60, "<|ENDOF TEXT|> <|ENDOF\nTEXT|>"]
+    for _ in range(2):  # the second time from the memo
+        for row, ids in zip(rows, enc.encode(rows), strict=True):
+            assert ids == np.array(t.encode(row, add_special_tokens=False).ids, "<u4").tobytes(), row
+
+
 def best_fit_by_one(lengths, capacity):
     gaps = []
     for n in sorted(lengths, reverse=True):
