@@ -15,6 +15,7 @@ gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from bisect import bisect_left, insort
 
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.config import checkpoint_dir
 from caseloom.llm.frames import cut, table
 from caseloom.llm.token_counts import byte_alphabet
 
@@ -32,7 +34,7 @@ MEMO_ENTRIES = 800_000  # words whose ids a worker keeps; beyond it the memo sta
 TEXTS_AT_ONCE = 256
 MEMO_CHARS = 48
 RANK_BLOCK = 1 << 16  # ranks are joined to runs in blocks, so no join key holds more pieces than this
-RUN_BYTES_IN_DRIVER = 64 << 20
+RUNS_AT_ONCE = 1 << 20  # runs sent from the driver at a time
 
 
 def folded(text: str, special: re.Pattern | None = None) -> str:
@@ -199,6 +201,16 @@ def best_fit_runs(lengths: dict[int, int], capacity: int) -> list[tuple[int, int
     return matches
 
 
+def _table(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    """The rows as a table of longs; more than ``RUNS_AT_ONCE`` go to the checkpoint folder in parts."""
+    if len(rows) <= RUNS_AT_ONCE:
+        return spark.createDataFrame(pa.table({k: pa.array([x[i] for x in rows], pa.int64()) for i, k in enumerate(names)}))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/packing-runs-{uuid.uuid4().hex}"
+    for lo in range(0, len(rows), RUNS_AT_ONCE):
+        _table(spark, rows[lo:lo + RUNS_AT_ONCE], names).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, keys: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
     """Add sequence_id and offset to rows that have ``length`` (1 to ``capacity``) and the ``keys`` that order ties."""
     spark = pieces.sparkSession
@@ -207,13 +219,8 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, keys: tuple[str, ..
     if lengths and not 1 <= min(lengths) <= max(lengths) <= capacity:
         raise ValueError(f"piece lengths must be 1 to {capacity}")
     matches = best_fit_runs(lengths, capacity)
-    blocks = [(n, b, max(lo, b * RANK_BLOCK), min(hi, (b + 1) * RANK_BLOCK), seq + max(lo, b * RANK_BLOCK) - lo, off)
-              for n, lo, hi, seq, off in matches for b in range(lo // RANK_BLOCK, (hi - 1) // RANK_BLOCK + 1)]
-    arrow = pa.table({k: pa.array([x[i] for x in blocks], pa.int64()) for i, k in enumerate(
-        ("length", "__block", "__lo", "__hi", "__sequence", "offset"))})
-    if arrow.nbytes > RUN_BYTES_IN_DRIVER:
-        raise ValueError(f"{len(blocks)} runs: pack at a smaller capacity or in several parts")
-    placed = spark.createDataFrame(arrow)
+    placed = _table(spark, matches, ("length", "__lo", "__hi", "__sequence", "offset")).withColumn("__block", F.explode(F.expr(
+        f"sequence(__lo div {RANK_BLOCK}, (__hi - 1) div {RANK_BLOCK})")))
 
     # rank within a length: the rows of a length are dealt to salts, ranked there, and moved up by the salts before
     salt = F.pmod(F.xxhash64(*keys, "ids_crc32"), F.lit(int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -435,6 +435,16 @@ def test_packed_sequences_hold_whole_documents(docs, texts):
     assert len(by_seq) <= 1.02 * sum(r.length for r in rows) / 4096 + 1
 
 
+def test_any_number_of_runs_is_packed(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, 0, rng.choice([3, 3, 3, 5, 8, 20, 33]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, piece int, length bigint, ids_crc32 bigint")
+    whole = sorted(packing.pack(df, 40).collect())
+    monkeypatch.setattr(packing, "RANK_BLOCK", 7)  # a run over many blocks, more runs than are sent at once
+    monkeypatch.setattr(packing, "RUNS_AT_ONCE", 3)
+    assert sorted(packing.pack(df, 40).collect()) == whole and len(whole) == 400
+
+
 # the pipeline, stage by stage
 def test_pipeline_stages(spark, docs, texts):
     clean = corpus_pipeline.drop_toxic(spark, docs, SF)
