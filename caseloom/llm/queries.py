@@ -16,6 +16,7 @@ from caseloom.llm.privacy import op4_personal_data
 from caseloom.llm.substrings import op6_substring_dedup
 from caseloom.llm.token_counts import op9_token_counts
 from caseloom.llm.toxicity import op5_toxicity
+from caseloom.llm.turn_repair import op11_turn_repair
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_turn_repair": op11_turn_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
