@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from caseloom.llm.ann import op3_nearest
+from caseloom.llm.filter_audit import OP13_SQL, op13_filter_audit
 from caseloom.llm.fingerprints import op8_fingerprints
 from caseloom.llm.language import op1_language_id
 from caseloom.llm.mixing import OP2_SQL, op2_mixing
 from caseloom.llm.ngram_join import op7_ngram_join
 from caseloom.llm.packing import op10_best_fit_packing
 from caseloom.llm.privacy import op4_personal_data
+from caseloom.llm.sharding import op12_sharding
 from caseloom.llm.substrings import op6_substring_dedup
 from caseloom.llm.token_counts import op9_token_counts
 from caseloom.llm.toxicity import op5_toxicity
@@ -30,8 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_turn_repair": op11_turn_repair,
+    "op12_sharding": op12_sharding,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": OP2_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
