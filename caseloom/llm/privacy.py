@@ -122,15 +122,24 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))
 
 
+def _most_texts(total: int, with_entity: Column) -> Column:
+    """The most texts a term may stand in to reach ``GENERALISE`` with an entity, a little generous in the last digit."""
+    return (float(total) ** (1 - GENERALISE)) * F.pow(with_entity.cast("double"), F.lit(GENERALISE)) * (1 + 1e-9)
+
+
+def _disclosure(total: int) -> Column:
+    """Pointwise mutual information of term and entity over the entity's information content, at most 1."""
+    pmi = F.log2(F.lit(float(total)) * F.col("both") / (F.col("with_term") * F.col("with_entity")))
+    return F.least(pmi / F.log2(F.lit(float(total)) / F.col("with_entity")), F.lit(1.0))
+
+
 def find_spans(rows: DataFrame) -> DataFrame:
     """(at, doc_id, base, terms) for rows (at, doc_id, text): the pattern spans, and the disclosing terms' spans with
     their disclosure (0 to 1)."""
     spans = rows.select("at", "doc_id", "text", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"),
                         base_spans(F.col("text")).alias("base"))
-    masked = spans.withColumn("masked", F.when(F.size("base") > 0, _masked(F.col("text"), F.col("base"))))
-    found = cut(masked.select("at", "doc_id", "digest", "base", "masked", F.when(
-        F.size("base") > 0, F.array_except(_terms(F.col("text")), _terms(F.col("masked")))).alias("hidden")))  # terms in spans only
-    firsts = cut(found.groupBy("digest").agg(F.min("at").alias("at")).select("at"))  # a row of each text
+    found = cut(spans.withColumn("masked", F.when(F.size("base") > 0, _masked(F.col("text"), F.col("base")))).drop("text"))
+    firsts = cut(found.groupBy("digest").agg(F.min(F.struct("at", F.col("masked").isNull().alias("plain"))).alias("f")).select("f.*"))  # a row of each text
     total = firsts.count()
 
     with_base = found.where(F.size("base") > 0)
@@ -140,18 +149,20 @@ def find_spans(rows: DataFrame) -> DataFrame:
         (F.col("with_entity") >= LEAST_TOGETHER) & (F.col("with_entity") < total))
     held = cut(entities.join(shared, "entity").groupBy("at").agg(F.collect_list(F.struct("entity", "with_entity")).alias("held")))
     holders = with_base.select("at", "masked").join(held, "at")
-    pairs = holders.select("at", F.explode("held").alias("h"), _terms(F.col("masked")).alias("terms")).select(
-        "at", "h.*", F.explode("terms").alias("term"))
-    together = pairs.join(firsts, "at", "left_semi").groupBy("entity", "with_entity", "term").agg(
+    # a term is counted where it stands outside the pattern spans, in the masked text of a row that has any
+    seen = rows.select("at", "text").join(firsts.where("plain").hint("shuffle_hash"), "at", "left_semi").select(F.explode(_terms(F.col("text"))).alias("term"))
+    beside = with_base.join(firsts, "at", "left_semi").select(F.explode(_terms(F.col("masked"))).alias("term"))
+    per_term = seen.unionAll(beside).groupBy("term").agg(F.count("*").alias("with_term"))
+    # both <= with_entity and both <= with_term bound a disclosure from above: terms that can't reach the level go before
+    # they are paired, so common terms and terms of one text meet no entity
+    widest = held.agg(F.max(F.expr("array_max(transform(held, h -> h.with_entity))"))).first()[0] or 0
+    rare = per_term.where((F.col("with_term") >= LEAST_TOGETHER) & (F.col("with_term") <= _most_texts(total, F.lit(widest))))
+    near = holders.select("at", F.explode(_terms(F.col("masked"))).alias("term")).join(rare, "term")
+    pairs = cut(near.join(held, "at").select("at", "term", "with_term", F.explode(F.filter(
+        "held", lambda h: F.col("with_term") <= _most_texts(total, h["with_entity"]))).alias("h")).select("at", "term", "with_term", "h.*"))
+    together = pairs.join(firsts, "at", "left_semi").groupBy("entity", "with_entity", "term", "with_term").agg(
         F.count("*").alias("both")).where(F.col("both") >= LEAST_TOGETHER)
-    seen = rows.select("at", "text").join(firsts.hint("shuffle_hash"), "at", "left_semi").select(
-        F.explode(_terms(F.col("text"))).alias("term"), F.lit(1).alias("n"))
-    unseen = with_base.join(firsts, "at", "left_semi").select(F.explode("hidden").alias("term"), F.lit(-1).alias("n"))
-    per_term = seen.unionAll(unseen).groupBy("term").agg(F.sum("n").alias("with_term"))
-    pmi = F.log2(F.lit(float(total)) * F.col("both") / (F.col("with_term") * F.col("with_entity")))
-    content = F.log2(F.lit(float(total)) / F.col("with_entity"))
-    telling = together.join(per_term, "term").select(
-        "entity", "term", F.least(pmi / content, F.lit(1.0)).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
+    telling = together.select("entity", "term", _disclosure(total).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
     hits = pairs.join(telling, ["entity", "term"]).groupBy("at", "term").agg(F.max("disclosure").alias("disclosure"))
     places = holders.select("at", F.explode(_matches(F.col("masked"), TERM, F.lit(True))).alias("w")).select(
         "at", F.xxhash64(F.lower("w.found")).alias("term"), "w.start", "w.end")
