@@ -71,3 +71,17 @@ def test_strip_fences_fuzz(spark):
     got = {r.i: r.c for r in df.select("i", strip_fences(F.col("t")).alias("c")).collect()}
     bad = [(t, got[i], python_clean(t)) for i, t in enumerate(texts) if got[i] != python_clean(t)]
     assert not bad, bad[:3]
+
+
+def test_a_reply_is_stripped_and_read_once(spark):
+    """Every step has one place in the plan, however many fields are selected; a condition brings one more copy of it."""
+    df = spark.createDataFrame([("1", "{}")], "id string, reply string")
+
+    def count(out, what):
+        return out._jdf.queryExecution().executedPlan().toString().count(what)
+
+    whole = parse_reply(df, "reply")
+    assert count(whole, "from_json(ArrayType(StructType") <= 1 and count(whole, "(from_json(") + count(whole, " from_json(") <= 4
+    assert len(whole._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    some = whole.where("enum_ok and reply_error is null").select("id", "sentiment", "urgency")
+    assert len(some._jdf.queryExecution().optimizedPlan().toString()) < 4 * len(whole._jdf.queryExecution().optimizedPlan().toString())
