@@ -32,9 +32,15 @@ class PipelineConfig:
     # buckets (catalog tables): the 360 joins then read co-partitioned inputs
     order_buckets: int | None = None
     hot_key_rows: int | None = 1_000_000  # rows of one order that one task may join
+    raw_root: str | None = None  # where the raw layer lies if not under ``root`` (runs have a root of their own)
+    # keep raw rows that cannot be read in root/quarantine instead of nulling (CSV) or failing (JSON lines)
+    quarantine: bool = False
+    # keep the 360 and the aggregates' parts in so many buckets of orders, so that an increment rewrites only some
+    gold_buckets: int | None = None
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{getattr(self, layer)}/{table}"
+        root = self.raw_root if layer == "raw" and self.raw_root else self.root
+        return f"{root.rstrip('/')}/{getattr(self, layer)}/{table}"
 
 
 # Session options the library relies on. Time zone is pinned so timestamp

@@ -1,13 +1,15 @@
 """Ticket enrichment (OUT-6): prompt → reply → parsed fields → masked message.
 
-Three ways to produce the reply, all distributed:
+Four ways to produce the reply, all distributed:
 
 * ``reply=<column>``: the reply text is already a column (a model's stored
   output, or a simulated one); it is parsed with Column expressions.
 * ``reply_fn=<callable>``: a caller-supplied model call, ``pandas.Series`` of
   prompts (the reply format first, then the ticket) → ``pandas.Series`` of reply texts, run as an Arrow-batched pandas UDF
   on the executors (one call per batch, not per row on the driver).
-* neither: a rule classifier made of ``rlike`` Column expressions (default,
+* ``model=<ReplyModel>``: a classifier trained on stored replies
+  (``operators.learn``), scored in Arrow batches.
+* none of them: a rule classifier made of ``rlike`` Column expressions (default,
   since no model service is reachable). The rules are an argument.
 """
 
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from caseloom.functions.pii import redact
 from caseloom.functions.replies import parse_reply
 from caseloom.functions.text import ticket_instruction, ticket_prompt
+from caseloom.operators.learn import ReplyModel, learned_reply
 from caseloom.schemas import ENRICHMENT_COLUMNS, ISSUE_CATEGORIES, SENTIMENTS, URGENCIES
 
 
@@ -157,7 +160,7 @@ def model_reply_udf(reply_fn: Callable):
 
 
 def enrich(tickets: DataFrame, reply: str | None = None, reply_fn: Callable | None = None,
-           rules: RuleSet = DEFAULT_RULES, strict: bool = False) -> DataFrame:
+           rules: RuleSet = DEFAULT_RULES, strict: bool = False, model: ReplyModel | None = None) -> DataFrame:
     """OUT-6 / PRJ-13: one enrichment row per ticket, never dropped.
 
     Output: the 14 enrichment columns, then ``reply_error`` (null when the reply
@@ -171,6 +174,8 @@ def enrich(tickets: DataFrame, reply: str | None = None, reply_fn: Callable | No
             staged = tickets.withColumn("_model_reply", model_reply_udf(reply_fn)(asked))
             reply = "_model_reply"
         parsed = parse_reply(staged.withColumnRenamed(reply, "_reply_text"), "_reply_text")
+    elif model is not None:
+        parsed = learned_reply(tickets, model)
     else:
         parsed = rule_reply(tickets, rules)
     masked = parsed.withColumn("pii_redacted_message", redact(F.col("pii_redacted_message")))

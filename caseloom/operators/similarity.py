@@ -110,7 +110,7 @@ def _best_partners(left: pd.DataFrame, right: pd.DataFrame, scores: np.ndarray,
 def _keep_best(cands: pd.DataFrame, top_n: int) -> pd.DataFrame:
     """Per left row, the ``top_n`` best of several candidate lists."""
     ranked = cands.assign(_neg=-cands["_key"]).sort_values(
-        ["_uid", "ticket_id", "_neg", "matched_ticket_id", "_ruid"], kind="mergesort")
+        ["_uid", "ticket_id", "_neg", "matched_ticket_id", "_ruid"], kind="mergesort", na_position="first")
     return ranked.groupby(["_uid", "ticket_id"], sort=False, dropna=False).head(top_n).drop(columns="_neg")
 
 
@@ -139,7 +139,7 @@ def _pair_kernel(top_n: int, chunk_rows: int):
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         bi, bj = int(pdf["_bi"].iloc[0]), int(pdf["_bj"].iloc[0])
-        pdf = pdf.sort_values(["ticket_id", "_uid"], kind="mergesort")
+        pdf = pdf.sort_values(["ticket_id", "_uid"], kind="mergesort", na_position="first")
         left = pdf[pdf["_blk"] == bi].reset_index(drop=True)
         right = left if bi == bj else pdf[pdf["_blk"] == bj].reset_index(drop=True)
         if left.empty or right.empty:
@@ -177,9 +177,28 @@ def summary_lookup(enrichment: DataFrame) -> DataFrame:
     )
 
 
+def _all_block_pairs(distinct: DataFrame, top_n: int, block_rows: int, num_blocks: int | None, n_rows: int | None,
+                     chunk_rows: int) -> DataFrame:
+    """Candidate pairs from every pair of hashed blocks."""
+    if num_blocks is None:
+        if n_rows is None:
+            n_rows = distinct.count()
+        num_blocks = choose_blocks(n_rows, block_rows, distinct.sparkSession.sparkContext.defaultParallelism)
+    b = int(num_blocks)
+    staged = (
+        distinct.withColumn("_blk", F.pmod(F.col("_uid"), F.lit(b)).cast("int"))
+        .withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
+        .withColumn("_bi", F.least("_blk", "_j"))
+        .withColumn("_bj", F.greatest("_blk", "_j"))
+        .drop("_j")
+    )
+    return staged.groupBy("_bi", "_bj").applyInPandas(_pair_kernel(top_n, chunk_rows), _CANDIDATE_SCHEMA)
+
+
 def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_n: int = 3,
                 block_rows: int = 100_000, num_blocks: int | None = None, n_rows: int | None = None,
-                chunk_rows: int = 1024, copy_chunk: int = 100_000, require_summaries: bool = False) -> DataFrame:
+                chunk_rows: int = 1024, copy_chunk: int = 100_000, require_summaries: bool = False,
+                pivots: int | None = None, stats: dict | None = None) -> DataFrame:
     """OUT-8: for every embedding row, its ``top_n`` most similar other tickets.
 
     ``embeddings``: ticket_id, issue_category, embedding (array of numbers).
@@ -192,27 +211,21 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
     independently of the block size.
     ``require_summaries``: a result row whose id the enrichment doesn't have fails the job, as at the source; else its
     summary columns are null.
+    ``pivots``: compare a row only with blocks that can hold one of its best (``operators.pivots``), the same rows with
+    less work where vectors lie in clusters; ``stats`` then receives the blocks visited and skipped.
     """
-    spark = embeddings.sparkSession
     emb = embeddings.select(
         "ticket_id", "issue_category", F.col("embedding").cast("array<double>").alias("embedding"))
     content = ["ticket_id", "issue_category", "embedding"]
     distinct = emb.groupBy(*content).agg(F.count(F.lit(1)).alias("_m"))
     distinct = distinct.withColumn("_uid", F.xxhash64(*content))
 
-    if num_blocks is None:
-        if n_rows is None:
-            n_rows = distinct.count()
-        num_blocks = choose_blocks(n_rows, block_rows, spark.sparkContext.defaultParallelism)
-    b = int(num_blocks)
-    staged = (
-        distinct.withColumn("_blk", F.pmod(F.col("_uid"), F.lit(b)).cast("int"))
-        .withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
-        .withColumn("_bi", F.least("_blk", "_j"))
-        .withColumn("_bj", F.greatest("_blk", "_j"))
-        .drop("_j")
-    )
-    candidates = staged.groupBy("_bi", "_bj").applyInPandas(_pair_kernel(top_n, chunk_rows), _CANDIDATE_SCHEMA)
+    if pivots:
+        from caseloom.operators.pivots import candidates as pruned
+
+        candidates = pruned(distinct, top_n, block_rows, pivots, chunk_rows, stats)
+    else:
+        candidates = _all_block_pairs(distinct, top_n, block_rows, num_blocks, n_rows, chunk_rows)
 
     # a partner with several identical copies fills up to top_n slots
     expanded = candidates.withColumn(

@@ -18,6 +18,8 @@ from caseloom.functions.pii import EMAIL_TOKEN, PHONE_TOKEN
 from caseloom.functions.text import (BRIEF_PROMPT_HEAD, EMBEDDING_TEXT_PARTS, HOTSPOT_HEADER, KPI_HEADER,
                                      TICKET_PROMPT_FIELDS, TICKET_PROMPT_HEAD)
 from caseloom.operators.enrich import DEFAULT_RULES, RuleSet
+from caseloom.operators.latent import SLOTS as LATENT_SLOTS
+from caseloom.operators.learn import HEADS, SCALE, SLOTS
 from caseloom.schemas import ISSUE_CATEGORIES
 from caseloom.sources.analog import CORPUS_RULES
 
@@ -30,6 +32,11 @@ def sround(x: str, d: int) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38, 12)), {d}) AS DOUBLE)"
 
 
+def _decimal_mean(x: str) -> str:
+    """Mean of the values as decimals, rounded to two places."""
+    return sround(f"CAST(sum(CAST({x} AS DECIMAL(28, 9))) AS DOUBLE) / count({x})", 2)
+
+
 _W = r"\p{L}\p{N}_"
 _PHONE = rf"(^|[^{_W}])\p{{Nd}}{{10}}($|[^{_W}])"
 _EMAIL = rf"[{_W}.-]+@[{_W}.-]+\.[{_W}]+"
@@ -353,6 +360,41 @@ SELECT ticket_issue_category, matched_issue_category, count(*) AS similar_pair_c
        {sround('avg(similarity_score)', 4)} AS average_similarity_score
 FROM sim WHERE similarity_rank = 1 GROUP BY ticket_issue_category, matched_issue_category"""
 
+def _token_slots(col: str, origin: str) -> str:
+    return f"""SELECT ticket_id, {_hex('h', 1, 8)} % {SLOTS} AS slot FROM (
+  SELECT ticket_id, md5({q(origin)} || tok) AS h FROM (
+    SELECT ticket_id, unnest(regexp_extract_all(lower(coalesce({col}, '')), '[\\p{{L}}\\p{{N}}]+')) AS tok FROM tk) t
+  WHERE NOT regexp_full_match(tok, '[0-9]{{5,}}')) x"""
+
+
+def _fixed(x: str) -> str:
+    return f"CAST(round(ln({x}) * {SCALE}) AS BIGINT)"
+
+
+def _counted_scores() -> str:
+    """Log frequencies of token places under each stored value, added up per ticket; the best value per head."""
+    outputs = ", ".join(f"({q(h)}, {q(v)}, {i})" for h, values in HEADS.items() for i, v in enumerate(values))
+    stored = " UNION ALL ".join(f"SELECT ticket_id, {q(h)} AS head, CAST({h} AS VARCHAR) AS value FROM whole" for h in HEADS)
+    best = ", ".join(f"max(value) FILTER (WHERE head = {q(h)}) AS {h}, max(score) FILTER (WHERE head = {q(h)}) AS {h}_score" for h in HEADS)
+    return f"""
+, ev AS (SELECT DISTINCT ticket_id, slot FROM ({_token_slots('customer_message', 'm:')} UNION ALL {_token_slots('agent_notes', 'n:')}) u),
+whole AS (SELECT * FROM reply WHERE enum_ok AND reply_error IS NULL AND {_hex('md5(ticket_id)', 1, 4)} % 5 <> 0),
+stored AS ({stored}),
+outs(head, value, pos) AS (VALUES {outputs}),
+n AS (SELECT o.head, o.value, o.pos, count(s.ticket_id) AS n FROM outs o LEFT JOIN stored s ON s.head = o.head AND s.value = o.value
+      GROUP BY o.head, o.value, o.pos),
+b AS (SELECT *, {_fixed('CAST(n + 1 AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY head) + count(*) OVER (PARTITION BY head) AS DOUBLE)')} AS bias,
+             {_fixed('CAST(1 AS DOUBLE) / CAST(n + 2 AS DOUBLE)')} AS never FROM n),
+c AS (SELECT slot, head, value, count(*) AS c FROM ev JOIN stored USING (ticket_id) GROUP BY slot, head, value),
+w AS (SELECT slot, head, value, {_fixed('CAST(c + 1 AS DOUBLE) / CAST(n + 2 AS DOUBLE)')} - never AS more FROM c JOIN b USING (head, value)),
+m AS (SELECT ticket_id, head, value, sum(more) AS more FROM ev JOIN w USING (slot) GROUP BY ticket_id, head, value),
+t AS (SELECT tk.ticket_id, count(ev.slot) AS places FROM tk LEFT JOIN ev ON ev.ticket_id = tk.ticket_id GROUP BY tk.ticket_id),
+s AS (SELECT t.ticket_id, b.head, b.value, b.pos, CAST(bias + places * never + coalesce(more, 0) AS BIGINT) AS score
+      FROM t CROSS JOIN b LEFT JOIN m ON m.ticket_id = t.ticket_id AND m.head = b.head AND m.value = b.value),
+r AS (SELECT *, row_number() OVER (PARTITION BY ticket_id, head ORDER BY score DESC, pos) AS rn FROM s)
+SELECT ticket_id, {best} FROM r WHERE rn = 1 GROUP BY ticket_id"""
+
+
 _REPLY_COLS = ("ticket_id, issue_category, sentiment, urgency, requires_human_followup, root_cause_hint, "
                "pii_redacted_message, customer_summary, next_best_action, reply_error, enum_ok")
 _ENRICH_COLS = ("ticket_id, order_id, customer_id, created_at, channel, issue_category, sentiment, urgency, "
@@ -387,9 +429,16 @@ ORACLE_SQL: dict[str, str] = {
     "ticket_enrichment": with_ctes(f"SELECT {_ENRICH_COLS} FROM s_enrichment", "s_enrichment"),
     "conversation_enrichment": with_ctes(f"SELECT {_ENRICH_COLS} FROM ce", "ce"),
     "ticket_rule_enrichment": with_ctes(f"SELECT {_ENRICH_COLS} FROM re", "re"),
+    "counted_reply_scores": with_ctes(_counted_scores(), "reply"),
+    "conversation_term_weights": with_ctes(f"""
+SELECT slot, texts, {sround('ln(CAST((SELECT count(*) FROM ce) + 1 AS DOUBLE) / CAST(texts + 1 AS DOUBLE)) + 1', 9)} AS idf
+FROM (SELECT CAST({_hex('h', 1, 8)} % {LATENT_SLOTS} AS INTEGER) AS slot, count(DISTINCT ticket_id) AS texts
+      FROM (SELECT ticket_id, md5(unnest(regexp_extract_all(lower({_EMB_TEXT}), '[\\p{{L}}\\p{{N}}]+'))) AS h FROM ce) t
+      GROUP BY 1) c""", "ce"),
     "hashed_embedding": with_ctes("SELECT ticket_id, order_id, issue_category, embedding FROM cvec", "cvec"),
     "ticket_similarity_top3": with_ctes(f"SELECT {_SIM_COLS} FROM sim", "sim"),
     "conversation_similarity_top3": with_ctes(f"SELECT {_SIM_COLS} FROM csim", "csim"),
+    "pivot_similarity_top3": with_ctes(f"SELECT {_SIM_COLS} FROM sim", "sim"),
     "top_similarity_per_ticket": with_ctes(
         "SELECT ticket_id, matched_ticket_id, similarity_score, similarity_rank FROM sim WHERE similarity_rank = 1",
         "sim"),
@@ -397,6 +446,11 @@ ORACLE_SQL: dict[str, str] = {
     "order_support_360_fanout": with_ctes("SELECT * FROM mart_fanout", "mart_fanout"),
     "issue_kpis": with_ctes("SELECT * FROM kpis", "kpis"),
     "city_issue_hotspots": with_ctes("SELECT * FROM hotspots", "hotspots"),
+    "weekly_issue_kpis": with_ctes(f"""
+SELECT CAST(date_trunc('week', order_date) AS DATE) AS week, issue_category, count(ticket_id) AS ticket_count,
+       count(DISTINCT order_id) AS impacted_orders, {_decimal_mean('delay_hours')} AS average_delay_hours,
+       {_decimal_mean('order_amount')} AS average_order_amount, {_decimal_mean('refund_amount')} AS average_refund_amount
+FROM mart WHERE has_ticket GROUP BY 1, 2""", "mart"),
     "issue_volume_by_category": with_ctes(_ISSUE_VOLUME, "mart"),
     "city_hotspots_top25": with_ctes(_CITY_TOP25, "mart"),
     "high_risk_orders": with_ctes(

@@ -15,7 +15,7 @@ from caseloom.config import materialize
 from caseloom.functions.pii import redact
 from caseloom.functions.replies import parse_reply
 from caseloom.functions.text import embedding_text, ticket_prompt
-from caseloom.operators import brief, kpis, mart, reports, similarity, standardize
+from caseloom.operators import brief, kpis, latent, learn, mart, mergeable, reports, similarity, standardize
 from caseloom.operators.embed import embed
 from caseloom.operators.enrich import enrich
 from caseloom.schemas import MART_COLUMNS, REPLY_KEYS
@@ -89,6 +89,30 @@ def ticket_rule_enrichment(spark, d):
     return enrich(silver_tickets(spark, d))
 
 
+def stored_replies(spark, d):
+    """The tickets with the fields of their stored replies: what a reply model learns from."""
+    return parse_reply(silver_tickets(spark, d, with_reply=True), "reply")
+
+
+def counted_reply_scores(spark, d):
+    """The scoring step with the weights that counting alone gives (no gradient round)."""
+    model = learn.fit(stored_replies(spark, d), rounds=0)
+    return learn.predict(silver_tickets(spark, d), model).select(
+        "ticket_id", *[c for h in learn.HEADS for c in (h, f"{h}_score")])
+
+
+def learned_enrichment(spark, d):
+    """Every ticket enriched by the model trained on the stored replies."""
+    return enrich(silver_tickets(spark, d), model=learn.fit(stored_replies(spark, d)))
+
+
+def learned_reply_accuracy(spark, d):
+    """On held-out tickets: how often the learned model and the default rules give the stored value."""
+    replies = materialize(stored_replies(spark, d))
+    tickets = silver_tickets(spark, d)
+    return learn.accuracy(replies, {"learned": learn.predict(tickets, learn.fit(replies)), "rules": enrich(tickets)})
+
+
 def ticket_similarity(spark, d, enrichment=None):
     enrichment = enrichment if enrichment is not None else shared_enrichment(spark, d)
     return similarity.top_matches(ticket_embeddings(spark, d, enrichment), enrichment, top_n=3,
@@ -110,6 +134,22 @@ def conversation_similarity(spark, d):
     return similarity.top_matches(conversation_embeddings(spark, d, enrichment), enrichment, top_n=3, n_rows=n)
 
 
+def conversation_term_weights(spark, d):
+    places = materialize(conversation_enrichment(spark, d).select(latent.token_slots(embedding_text()).alias("places")))
+    return latent.term_weights(places).select("slot", "texts", F.round("idf", 9).alias("idf"))
+
+
+def fitted_embeddings(spark, d, enrichment=None):
+    """Vectors of the conversations in the directions fitted to all of them."""
+    enrichment = enrichment if enrichment is not None else materialize(conversation_enrichment(spark, d))
+    return embed(enrichment, vector_fn=latent.fit(enrichment, embedding_text()).vector)
+
+
+def fitted_similarity(spark, d):
+    enrichment = materialize(conversation_enrichment(spark, d))
+    return similarity.top_matches(fitted_embeddings(spark, d, enrichment), enrichment, top_n=3, n_rows=enrichment.count())
+
+
 # ---------------------------------------------------------------- gold layer
 def key_sources(spark, d):
     """Source rows per order for the hot-key count: every shipment, return and
@@ -154,6 +194,21 @@ def city_issue_hotspots(spark, d):
     return kpis.city_issue_hotspots(_gold(spark, d))
 
 
+def weekly_issue_kpis(spark, d):
+    """KPIs per week of the order and category, merged from daily parts: orders are counted once a week by their bitmaps."""
+    m = materialize(_gold(spark, d).filter("has_ticket").select(*AGGREGATE_COLUMNS, "order_date"))
+    parts = materialize(mergeable.daily_parts(m, mergeable.order_numbers(m)))
+    week = F.to_date(F.date_trunc("week", F.col("day"))).alias("week")
+    out = mergeable.merged(parts, week, F.col("issue_category"))
+    return out.withColumnsRenamed({"_k0": "week", "_k1": "issue_category"})
+
+
+def pivot_similarity(spark, d):
+    """The top matches again, without the block pairs that the pivots rule out."""
+    enrichment = shared_enrichment(spark, d)
+    return similarity.top_matches(ticket_embeddings(spark, d, enrichment), enrichment, top_n=3, block_rows=2_000, pivots=32)
+
+
 def _gold_views(spark, d, name: str):
     """Register the tables a SQL report reads under their SQL names (SRC-5)."""
     if name == "similarity_patterns":
@@ -272,15 +327,23 @@ QUERIES: dict[str, Query] = {
     "ticket_enrichment": ticket_enrichment,
     "conversation_enrichment": conversation_enrichment,
     "ticket_rule_enrichment": ticket_rule_enrichment,
+    "counted_reply_scores": counted_reply_scores,
+    "learned_enrichment": learned_enrichment,
+    "learned_reply_accuracy": learned_reply_accuracy,
     "hashed_embedding": lambda s, d: conversation_embeddings(s, d),
+    "conversation_term_weights": conversation_term_weights,
+    "fitted_embedding": lambda s, d: fitted_embeddings(s, d),
+    "fitted_similarity_top3": fitted_similarity,
     "ticket_similarity_top3": lambda s, d: ticket_similarity(s, d),
     "conversation_similarity_top3": conversation_similarity,
+    "pivot_similarity_top3": pivot_similarity,
     "top_similarity_per_ticket": _top_similarity,
     # gold (OUT-9..11)
     "order_support_360": lambda s, d: order_support_360(s, d),
     "order_support_360_fanout": lambda s, d: order_support_360(s, d, fanout=True),
     "issue_kpis": issue_kpis,
     "city_issue_hotspots": city_issue_hotspots,
+    "weekly_issue_kpis": weekly_issue_kpis,
     # reports (RPT-1..6), DataFrame form
     "issue_volume_by_category": lambda s, d: reports.issue_volume_by_category(_gold(s, d)),
     "city_hotspots_top25": lambda s, d: reports.city_hotspots(_gold(s, d)),
@@ -303,3 +366,6 @@ QUERIES: dict[str, Query] = {
     "daily_brief": _daily_brief,
     "stage_row_counts": stage_row_counts,
 }
+
+# trained in gradient rounds or iterated, which SQL does not express; tests hold them against plain numpy
+WITHOUT_SQL = {"learned_enrichment", "learned_reply_accuracy", "fitted_embedding", "fitted_similarity_top3"}

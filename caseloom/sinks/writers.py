@@ -26,6 +26,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return int(obs.get["rows"])
 
 
+def replace_partitions(df: DataFrame, path: str, key: str, values: list) -> int:
+    """Write ``df`` in place of the folders ``key=value`` of a partitioned table; all other folders stay untouched.
+
+    ``values`` are the keys ``df`` stands for. A stored one without rows in ``df`` is an error, as its folder would stay."""
+    stored = df.sparkSession.read.parquet(path).where(F.col(key).isin(values)).select(key).distinct()
+    gone = stored.join(df.select(F.col(key).alias("_now")).distinct(), F.col(key) == F.col("_now"), "left_anti").collect()  # at most ``values``
+    if gone:
+        raise ValueError(f"no rows are left for {key} {sorted(r[0] for r in gone)}: rebuild {path}")
+    out, obs = _observed(df, f"replace:{path}")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    return int(obs.get["rows"])
+
+
 def write_bucketed_table(df: DataFrame, table: str, path: str, key: str, buckets: int) -> int:
     """A catalog table over ``path``, bucketed and sorted by ``key``: later
     joins and aggregations on ``key`` read it without a shuffle."""
