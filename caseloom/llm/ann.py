@@ -5,10 +5,12 @@ any answer can use. Classes are dealt to shards of bounded size. In a shard, inn
 by one more coordinate (the shard's largest norm makes all vectors equally long). The graph grows by batches: a greedy
 beam search from the medoid proposes neighbours, relaxed pruning keeps a candidate only if no kept one is nearer to it by
 the factor ``alpha``, edges are made mutual and pruned again, in two passes. Queries walk every shard's graph by
-beam search; the best classes of all shards are merged and expanded to rows, scored in double precision.
+beam search; the best classes of all shards are merged and expanded to rows, scored in double precision on the vectors
+as they are given. Where more classes tie at a shard's cut than it keeps, the walk goes on through all that tie, and the
+classes of the smallest ids stay.
 
-Results for odd input: vectors that are null, zero, empty, or hold a null or a non-finite number take no part; ties go to the
-smaller id; repeated ids are rows of their own; null ids take no part; vectors of other lengths than the most frequent one
+Results for odd input: vectors that are null, zero, empty, or hold a null or a non-finite number take no part; vectors of
+any length and magnitude are searched at a common scale; ties go to the smaller id; repeated ids are rows of their own; null ids take no part; vectors of other lengths than the most frequent one
 raise an error; with fewer candidates than k all are given; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -138,6 +140,21 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alp
     return edges, entry
 
 
+def with_ties(edges: np.ndarray, found: np.ndarray, floor: float, score) -> np.ndarray:
+    """``found`` and all nodes that a walk over nodes of at least the score ``floor`` reaches from it."""
+    seen = np.zeros(len(edges), bool)
+    seen[found] = True
+    walk, kept = found, [found]
+    while len(walk):
+        near = edges[walk].ravel()
+        near = np.unique(near[near >= 0])
+        near = near[~seen[near]]
+        seen[near] = True
+        walk = near[score(near) >= floor]
+        kept.append(walk)
+    return np.concatenate(kept)
+
+
 def usable(vector) -> F.Column:
     """Not null, not empty, not all zero, every component a finite number."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
@@ -164,20 +181,23 @@ def build_index(firsts: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("class")
-        own = np.array(part["vector"].tolist(), np.float32)
+        given = np.array(part["vector"].tolist(), np.float64)
+        own = (given / np.abs(given).max()).astype(np.float32)  # a scale for the shard, so that no distance overflows
         norms = (own.astype(float) ** 2).sum(1)
         lifted = np.concatenate([own, np.sqrt(np.maximum(norms.max() - norms, 0))[:, None].astype(np.float32)], 1)
         edges, entry = build_graph(lifted)
-        return pd.DataFrame({"shard": [int(part["shard"].iloc[0])], "classes": [part["class"].tolist()], "entry": [entry],
-                             "dims": [own.shape[1]], "vectors": [lifted.tobytes()], "edges": [edges.astype("<i4").tobytes()]})
+        single = bool((given == given.astype(np.float32)).all())  # then half the bytes hold the vectors as they are
+        return pd.DataFrame({"shard": [int(part["shard"].iloc[0])], "classes": [part["class"].tolist()], "firsts": [part["id"].tolist()],
+                             "entry": [entry], "dims": [own.shape[1]], "vectors": [lifted.tobytes()], "single": [single],
+                             "given": [given.astype(np.float32 if single else np.float64).tobytes()], "edges": [edges.astype("<i4").tobytes()]})
 
     dealt = firsts.withColumn("shard", F.pmod(F.xxhash64("class", F.lit("shard")), F.lit(shards)).cast("int"))
-    return dealt.select("shard", "class", "vector").groupBy("shard").applyInPandas(
-        build, "shard int, classes array<string>, entry int, dims int, vectors binary, edges binary")
+    return dealt.select("shard", "class", "id", "vector").groupBy("shard").applyInPandas(
+        build, "shard int, classes array<string>, firsts array<bigint>, entry int, dims int, vectors binary, single boolean, given binary, edges binary")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, beam: int = QUERY_BEAM) -> DataFrame:
-    """(query row, class, score) of the k + 1 best classes found in every shard, for rows (query, vector).
+    """(query row, class, its least id, score) of the k + 1 best classes found in every shard, for rows (query, vector).
 
     Queries go to the shards in blocks of bounded size, each with a copy of the shard's index.
     """
@@ -189,30 +209,44 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = QUERY_BEAM)
 
     def run(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if shard.empty or asked.empty:
-            return pd.DataFrame({"query": [], "class": [], "score": []})
+            return pd.DataFrame({"query": [], "class": [], "first": [], "score": []})
         row = shard.iloc[0]
         vectors = np.frombuffer(row["vectors"], np.float32).reshape(-1, row["dims"] + 1)
+        given = np.frombuffer(row["given"], np.float32 if row["single"] else np.float64).reshape(-1, row["dims"])
         edges = np.frombuffer(row["edges"], "<i4").reshape(len(vectors), -1).astype(np.int64)
-        names = np.array(list(row["classes"]), object)
+        names, firsts = np.array(list(row["classes"]), object), np.array(list(row["firsts"]), np.int64)
         out = []
         for lo in range(0, len(asked), BATCH):
             part = asked.iloc[lo:lo + BATCH]
-            own = np.array(part["vector"].tolist(), np.float32)
+            own = np.array(part["vector"].tolist(), np.float64)
             if own.shape[1] != row["dims"]:
                 raise ValueError("vectors of different lengths")
-            lifted = np.concatenate([own, np.zeros((len(own), 1), np.float32)], 1)
+            scaled = (own / np.abs(own).max(axis=1, keepdims=True)).astype(np.float32)
+            lifted = np.concatenate([scaled, np.zeros((len(own), 1), np.float32)], 1)
             ids, _ = beam_search(vectors, edges, int(row["entry"]), lifted, beam)
-            exact = np.einsum("ijk,ik->ij", vectors[ids][:, :, :-1].astype(float), own.astype(float))
+            exact = np.einsum("ijk,ik->ij", given[ids].astype(np.float64), own)
             exact[ids < 0] = -np.inf
-            best = np.argsort(-exact, 1, kind="stable")[:, :k + 1]
-            ids, exact = np.take_along_axis(ids, best, 1), np.take_along_axis(exact, best, 1)
-            ok = ids >= 0
-            out.append(pd.DataFrame({"query": np.repeat(part["query"].to_numpy(), ids.shape[1])[ok.ravel()],
-                                     "class": names[ids[ok]], "score": exact[ok]}))
+            order = np.lexsort((np.where(ids >= 0, firsts[ids], 0), -exact), axis=1)
+            ids, exact = np.take_along_axis(ids, order, 1), np.take_along_axis(exact, order, 1)
+            kept_ids, kept_scores = list(ids[:, :k + 1]), list(exact[:, :k + 1])
+            if ids.shape[1] > k + 1:
+                for i in np.flatnonzero(np.isfinite(exact[:, k + 1]) & (exact[:, k + 1] == exact[:, k])):
+                    def score(nodes, q=own[i]):
+                        return np.einsum("jk,k->j", given[nodes].astype(np.float64), q)
+
+                    tied = with_ties(edges, ids[i][exact[i] >= exact[i, k]], exact[i, k], score)
+                    scores = score(tied)
+                    best = np.lexsort((firsts[tied], -scores))[:k + 1]
+                    kept_ids[i], kept_scores[i] = tied[best], scores[best]
+            counts = [len(x) for x in kept_ids]
+            node, value = np.concatenate(kept_ids), np.concatenate(kept_scores)
+            ok = np.isfinite(value) & (node >= 0)
+            out.append(pd.DataFrame({"query": np.repeat(part["query"].to_numpy(), counts)[ok], "class": names[node[ok]],
+                                     "first": firsts[node[ok]], "score": value[ok]}))
         return pd.concat(out)
 
     return keyed.groupBy("shard", "block").cogroup(dealt.groupBy("shard", "block")).applyInPandas(
-        run, "query long, class string, score double")
+        run, "query long, class string, first long, score double")
 
 
 def nearest(vectors: DataFrame, k: int = 20, is_query: F.Column | None = None, id_col: str = "vec_id",
@@ -225,7 +259,7 @@ def nearest(vectors: DataFrame, k: int = 20, is_query: F.Column | None = None, i
     index = cut(build_index(firsts, shard_rows))
     queries = cut(rows.where("asks").select(F.col("id").alias("query"), "vector"))
     found = search(index, queries.distinct(), k)
-    per_query = Window.partitionBy("query").orderBy(F.desc("score"), "class")
+    per_query = Window.partitionBy("query").orderBy(F.desc("score"), "first")
     best = found.withColumn("r", F.row_number().over(per_query)).where(F.col("r") <= k + 1)
     # a class at the edge may tie with others: members are ranked by score, then id
     hits = best.select("query", "class", "score").join(members, "class").where("id <> query")
