@@ -4,16 +4,18 @@ Each token's log-odds of occurring in toxic against clean texts has an informati
 both classes together; a token scores if its log-odds are far enough above zero in standard errors. Every other token
 costs a constant, so a text is a sequence of scores with negative mean, and all its maximal scoring segments come from
 one left-to-right pass with a stack. By Karlin and Altschul's limit, the best segment of n random tokens follows an
-extreme-value law in lambda * S - ln(K n); lambda solves E exp(lambda s) = 1 over clean tokens and K is fitted on clean texts. A
-logistic curve over that scale, fitted on the labels, gives the score; segments whose own tail probability is below the
-level are the toxic passages.
+extreme-value law in lambda * S - ln(K n); lambda solves E exp(lambda s) = 1 over clean tokens and K is fitted on clean texts. The
+r best segments are aggregated by their sum statistic on that scale, for the r that speaks most, so several passages
+weigh more than one. A logistic curve over it, fitted on the labels, gives the score; segments whose own tail
+probability is below the level are the toxic passages.
 
 The classifier is fitted on at most ``per_label`` labelled texts of each label (documented parameter, drawn by hash of the
-id) and keeps at most ``vocabulary`` tokens. Every row's whole text is scored.
+id); all their tokens are counted. Every row's whole text is scored.
 
 Results for odd input: null and empty texts have no token and get the score of a text without segments; with no
 labelled row of one of the labels every score is 0; labels that are null or disagree for one id are left out or each
-counted; repeated rows give repeated rows; extra columns are ignored.
+counted; repeated rows give repeated rows; texts of any length are passed once, token by token; extra columns are
+ignored by ``score`` and kept by ``keep_clean``.
 """
 
 from __future__ import annotations
@@ -32,7 +34,6 @@ from caseloom.llm.frames import cut, held_out, table, uniform
 
 TOKEN = re.compile(r"\w+")
 PER_LABEL = 8000
-VOCABULARY = 20_000
 PRIOR = 0.1  # weight of the Dirichlet prior, as a share of all counts
 STANDARD_ERRORS = 2.5
 NO_SEGMENT = 12.0  # a text without segments stands as far below as the best of exp(12) tokens without gain
@@ -76,32 +77,49 @@ class ToxicityModel:
                 del stack[k:]
         return [(right - left, first, end) for left, right, first, end, _ in stack]
 
-    def normal(self, best: float, n: int) -> float:
-        """The best segment's score on the extreme-value scale."""
-        return self.rate * best - self.log_k - math.log(max(n, 1)) if best > 0 else -self.log_k - NO_SEGMENT
+    def evidence(self, scores: list[float], n: int) -> float:
+        """All segments of a text of n tokens on the extreme-value scale: -ln of the tail of the sum of the r best, e^-t
+        t^(r-1) / (r! (r-1)!), at the r that makes it greatest, less ln 2 for each further r tried. One segment: its own
+        scale."""
+        if not scores:
+            return -self.log_k - NO_SEGMENT
+        shift, total, best = self.log_k + math.log(max(n, 1)), 0.0, -math.inf
+        for r, s in enumerate(sorted(scores, reverse=True), 1):
+            x = self.rate * s - shift
+            if r > 1 and x <= 0:  # no further segment adds to the sum
+                break
+            total += x
+            spread = math.lgamma(r + 1) + math.lgamma(r) - (r - 1) * math.log(total) if r > 1 and total > 0 else 0.0
+            best = max(best, total + min(0.0, spread) - (r - 1) * math.log(2))
+        return best
+
+    def found(self, text: str) -> tuple[list[float], int]:
+        """The scores of a text's segments, and its number of tokens."""
+        words = tokens(text)
+        return [s for s, _, _ in self.segments(words)], len(words)
 
     def tail(self, score: float, n: int) -> float:
         """Probability that a clean text of n tokens has a segment of this score."""
         return -math.expm1(-math.exp(min(50.0, self.log_k + math.log(max(n, 1)) - self.rate * score)))
 
-    def score(self, best: float, n: int) -> float:
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.slope * (self.normal(best, n) - self.middle)))))
+    def score(self, scores: list[float], n: int) -> float:
+        return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.slope * (self.evidence(scores, n) - self.middle)))))
 
 
-def fit_odds(counts: list[tuple[str, int, int]], toxic_total: int, clean_total: int, vocabulary: int = VOCABULARY) -> dict[str, float]:
+def fit_odds(counts: list[tuple[str, int, int]], toxic_total: int, clean_total: int) -> dict[str, float]:
     """Log-odds of (token, toxic texts, clean texts) rows, for tokens clearly above zero. Totals add up over tokens.
 
     A token counts once a text: repeated lines would otherwise pass for evidence.
     """
-    found = []
+    found = {}
     for word, a, b in counts:
         x, y = a + PRIOR * (a + b), b + PRIOR * (a + b)
         odds = math.log(x / ((1 + PRIOR) * toxic_total + PRIOR * clean_total - x)) - math.log(
             y / ((1 + PRIOR) * clean_total + PRIOR * toxic_total - y))
         z = odds / math.sqrt(1 / x + 1 / y)
         if a >= LEAST_TEXTS and z > STANDARD_ERRORS:
-            found.append((z, word, odds))
-    return {w: o for _, w, o in sorted(found, reverse=True)[:vocabulary]}
+            found[word] = odds
+    return found
 
 
 def _log_k(maxima: list[tuple[float, int]], rate: float) -> float:
@@ -110,8 +128,8 @@ def _log_k(maxima: list[tuple[float, int]], rate: float) -> float:
     return -math.log(np.mean(np.exp(-np.minimum(shifted, 50.0)))) if shifted else 0.0
 
 
-def calibrate(model: ToxicityModel, rows: list[tuple[int, float, int]], hits: Counter, n_tokens: int) -> ToxicityModel:
-    """Fit lambda, K and the logistic curve on (label, best score, tokens); hits counts scoring tokens in clean texts."""
+def fit_law(model: ToxicityModel, rows: list[tuple[int, float, int]], hits: Counter, n_tokens: int) -> ToxicityModel:
+    """Fit lambda and K on (label, best score, tokens); hits counts scoring tokens in clean texts."""
     def excess(rate: float) -> float:
         scoring = sum(c * math.exp(min(50.0, rate * model.odds[w])) for w, c in hits.items())
         return (scoring + (n_tokens - sum(hits.values())) * math.exp(-rate * model.cost)) / max(n_tokens, 1) - 1
@@ -122,7 +140,12 @@ def calibrate(model: ToxicityModel, rows: list[tuple[int, float, int]], hits: Co
         lo, hi = (mid, hi) if excess(mid) < 0 else (lo, mid)
     model.rate = min(lo, 5.0)
     model.log_k = _log_k([(s, n) for y, s, n in rows if not y], model.rate)
-    x = np.array([model.normal(s, n) for _, s, n in rows])
+    return model
+
+
+def fit_curve(model: ToxicityModel, rows: list[tuple[int, float]]) -> ToxicityModel:
+    """Fit the logistic curve on (label, evidence)."""
+    x = np.array([v for _, v in rows])
     y = np.array([r[0] for r in rows], float)
     # a few Newton steps of logistic regression in (slope, offset), lightly held back
     a, b, scale = 0.0, 0.0, max(float(x.std()), 1e-9)
@@ -140,7 +163,7 @@ def calibrate(model: ToxicityModel, rows: list[tuple[int, float, int]], hits: Co
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, vocabulary: int = VOCABULARY) -> ToxicityModel | None:
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> ToxicityModel | None:
     """Learn from labelled rows outside the held-out fold."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic")).where(
         F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -148,6 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, vocabula
     if not counts.get(0) or not counts.get(1):
         return None
     rate = F.when(F.col("__toxic") == 1, min(1.0, per_label / counts[1])).otherwise(min(1.0, per_label / counts[0]))
+    # about ``per_label`` ids of each label, whatever the number of labels: broadcast, so that no text is shuffled
     drawn = known.where(uniform(F.col("__id"), seed="toxicity") < rate)
     texts = cut(docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).join(F.broadcast(drawn), "__id"))
 
@@ -165,10 +189,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, vocabula
     totals = per_word.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
     if not totals["a"] or not totals["b"]:
         return None
-    # only tokens relatively more frequent in toxic texts can score; of these the strongest are fetched
+    # only tokens relatively more frequent in toxic texts can score, and each stands in some of the sample's toxic texts:
+    # their number is bounded by the sample
     able = per_word.where((F.col("a") >= LEAST_TEXTS) & (F.col("a") * totals["b"] > F.col("b") * totals["a"]))
-    able = able.orderBy((F.col("a") / F.sqrt(F.col("a") + F.col("b") * totals["a"] / totals["b"])).desc(), "word").limit(2 * vocabulary)
-    model = ToxicityModel(fit_odds([tuple(r) for r in able.collect()], totals["a"], totals["b"], vocabulary))
+    model = ToxicityModel(fit_odds(sorted(tuple(r) for r in able.collect()), totals["a"], totals["b"]))
     if not model.odds:
         return model
     model.cost = max(0.05, min(model.odds.values()) / 4)
@@ -194,7 +218,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, vocabula
         if r["kind"] == -1:
             hits[r["word"]] += r["n"]
     n_tokens = sum(r["n"] for r in seen if r["kind"] == -2)
-    return calibrate(model, sorted((r["kind"], r["best"], r["n"]) for r in seen if r["kind"] >= 0), hits, n_tokens)
+    fit_law(model, sorted((r["kind"], r["best"], r["n"]) for r in seen if r["kind"] >= 0), hits, n_tokens)
+
+    def weigh(batches):
+        for b in batches:
+            values = [model.evidence(*model.found(text or "")) for text in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(values, pa.float64())], names=["toxic", "evidence"])
+
+    weighed = texts.select("__text", "__toxic").mapInArrow(weigh, "toxic int, evidence double").collect()  # the sample's rows
+    return fit_curve(model, sorted(map(tuple, weighed)))
 
 
 def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id", text_col: str = "text",
@@ -202,7 +234,7 @@ def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id",
     """doc_id, score, n_passages (and the toxic passages: first and end token, score) of every row."""
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most ``vocabulary`` tokens
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # tokens of the sample
 
     def run(batches):
         m = shared.value
@@ -212,7 +244,7 @@ def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id",
                 words = tokens(text)
                 segs = m.segments(words) if m else []
                 n = len(words)
-                scores.append(m.score(max((s for s, _, _ in segs), default=0.0), n) if m and m.odds else 0.0)
+                scores.append(m.score([s for s, _, _ in segs], n) if m and m.odds else 0.0)
                 found.append([{"first": a, "end": e, "score": s} for s, a, e in segs if m.tail(s, n) < m.level])
             kind_ = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(map(len, found), pa.int64()),
@@ -233,9 +265,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel | None, text_col: str = "te
         for b in batches:
             keep = []
             for text in b.column(place).to_pylist():
-                words = tokens(text or "")
-                best = max((s for s, _, _ in m.segments(words)), default=0.0) if m else 0.0
-                keep.append(not (m and m.odds and m.score(best, len(words)) >= 0.5))
+                keep.append(not (m and m.odds and m.score(*m.found(text or "")) >= 0.5))
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
