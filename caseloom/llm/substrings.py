@@ -7,6 +7,11 @@ bucket. There each edge keeps its first source coordinate, and the later copies
 are glued along their source coordinates when they are joined back to the documents, so a repeated passage of any length
 comes back as one span.
 
+A bucket may hold any share of all windows (a line that very many texts quote with different surroundings). Windows are
+first counted per bucket, each task adding up its own; the pieces of a bucket with too many are cut into their windows,
+which are dealt to as many parts as it needs by the window's hash. Equal windows still meet, but of those that meet in
+one batch already only the first is sent there; the others are known to be copies and are spread over all tasks.
+
 An edge is known by its minimiser's 64-bit hash, its place relative to it, and a whole independent 64-bit hash of all its
 words (10 million distinct windows in one bucket make about 3 false matches in a million runs); coordinates keep a window
 from counting as its own copy.
@@ -25,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.frames import coordinates, table
-from caseloom.llm.hashing import U, gram_starts, mix, range_hash, slide_min, text_chunks, word_hashes, words_of
+from caseloom.llm.frames import coordinates, cut, table
+from caseloom.llm.hashing import BASE, U, gram_starts, mix, range_hash, slide_min, text_chunks, word_hashes, words_of
 
 WINDOW = 20
 GRAM = 6
 EDGE_BYTES = 8
+BUCKET_WINDOWS = 1 << 18  # windows of one bucket that one task may take
+MOST_CUT = 10_000  # a bucket is cut only if it also holds more than this part of all windows, so that few are
 
 
 def path_pieces(h0: np.ndarray, h1: np.ndarray, first: np.ndarray, window: int = WINDOW, gram: int = GRAM):
@@ -59,7 +66,33 @@ def path_pieces(h0: np.ndarray, h1: np.ndarray, first: np.ndarray, window: int =
     return row, grams[picked[head]], wins[head] - first[row], count, edges, place
 
 
-def _pieces(batches, window: int, gram: int):
+def _bucket_sizes(batches, window: int, gram: int):
+    """(bucket, windows) of each batch's texts."""
+    for b in batches:
+        sizes: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, data, offsets in text_chunks(b.column(0)):
+            s, e, first = words_of(data, offsets)
+            h0 = word_hashes(data, s, e, 0)
+            got = path_pieces(h0, h0, first, window, gram)
+            if got is not None:
+                sizes.append((got[1].view(np.int64), got[3]))
+        if sizes:
+            bucket, at = np.unique(np.concatenate([x for x, _ in sizes]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([n for _, n in sizes])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], names=["bucket", "windows"])
+
+
+def large_buckets(texts: DataFrame, window: int, gram: int, bucket_windows: int) -> dict[int, int]:
+    """bucket: parts, for the buckets with too many windows; fewer than ``MOST_CUT`` of them."""
+    sizes = texts.mapInArrow(lambda b: _bucket_sizes(b, window, gram), "bucket long, windows long").groupBy("bucket").agg(F.sum("windows").alias("n"))
+    sizes = cut(sizes.where(F.col("n") > bucket_windows).unionAll(sizes.agg(F.lit(None).cast("long").alias("bucket"), F.sum("n").alias("n"))))
+    least = max(bucket_windows, (sizes.where("bucket is null").first()["n"] or 0) // MOST_CUT)
+    return {r["bucket"]: -(-r["n"] // least) for r in sizes.where(F.col("bucket").isNotNull() & (F.col("n") > least)).collect()}
+
+
+def _pieces(batches, window: int, gram: int, large: dict[int, int]):
+    names = np.array(sorted(large), np.int64)
+    parts = np.array([large[k] for k in sorted(large)], U)
     for b in batches:
         ats = np.asarray(b.column(0))
         for lo, data, offsets in text_chunks(b.column(1)):
@@ -69,6 +102,27 @@ def _pieces(batches, window: int, gram: int):
                 continue
             row, minimiser, start, count, edges, place = got
             edges = mix(edges + place.astype(U)).astype("<u8")
+            if len(names):
+                own = minimiser.view(np.int64)
+                found = np.minimum(np.searchsorted(names, own), len(names) - 1)
+                many = names[found] == own
+                if many.any():  # one row a window in the large buckets
+                    each = np.where(many, count, 1)
+                    piece = np.repeat(np.arange(len(count)), each)
+                    step = np.arange(len(piece)) - (np.cumsum(each) - each)[piece]
+                    begin = (np.cumsum(count) - count)[piece] + step
+                    part = edges[begin].astype(U) % parts[found[piece]] + U(1)
+                    minimiser = np.where(many[piece], mix(minimiser[piece] + part * U(BASE)), minimiser[piece])
+                    row, start, count = row[piece], start[piece] + step, np.where(many[piece], 1, count[piece])
+                    one = np.flatnonzero(many[piece])  # of equal windows the first, by coordinate
+                    key = mix(edges[begin[one]].astype(U) ^ mix(minimiser[one]))
+                    order = np.lexsort((start[one], ats[lo + row[one]], key))
+                    copy = one[order[1:]][key[order[1:]] == key[order[:-1]]]
+                    keep = np.ones(len(edges), bool)
+                    keep[begin[copy]] = False
+                    edges = edges[keep]
+                    count[copy] = 0  # no edge: a copy of a window sent from here
+                    minimiser[copy] = mix(ats[lo + row[copy]].astype(np.int64).view(U) + start[copy].astype(U))
             ends = np.append(0, np.cumsum(count) * EDGE_BYTES).astype(np.int32)
             raw = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(ends), pa.py_buffer(edges)])
             yield pa.RecordBatch.from_arrays([pa.array(minimiser.view(np.int64)), pa.array(ats[lo + row]),
@@ -88,6 +142,12 @@ def _later_copies(batches):
         ends = np.frombuffer(col.buffers()[1], np.int32, b.num_rows + 1, col.offset * 4).astype(np.int64)
         edges = np.frombuffer(col.buffers()[2], np.uint8)[ends[0]:ends[-1]].view("<u8").astype(U)
         count = np.diff(ends) // EDGE_BYTES
+        known_copy = np.flatnonzero(count == 0)
+        if len(known_copy):
+            yield pa.RecordBatch.from_arrays([pa.array(at[known_copy]), pa.array(start[known_copy]), pa.array(np.ones(len(known_copy), np.int32))],
+                                             names=["at", "start", "windows"])
+        if len(known_copy) == b.num_rows:
+            continue
         piece = np.repeat(np.arange(b.num_rows), count)
         key = mix(edges ^ mix(bucket.view(U))[piece])  # one to one inside a bucket
         w_at = at[piece]
@@ -116,9 +176,10 @@ def _later_copies(batches):
                  pa.array(np.diff(np.append(head, len(hit))).astype(np.int32))], names=["at", "start", "windows"])
 
 
-def repeated_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeated_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """Runs (at, start, windows) of word windows that also begin earlier, for rows (at, text)."""
-    pieces = rows.select("at", "text").mapInArrow(lambda b: _pieces(b, window, gram),
+    large = large_buckets(rows.select("text"), window, gram, bucket_windows)
+    pieces = rows.select("at", "text").mapInArrow(lambda b: _pieces(b, window, gram, large),
                                                   "bucket long, at long, start int, edges binary")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return pieces.repartition(n, "bucket").sortWithinPartitions("bucket", "at", "start").mapInArrow(
@@ -134,11 +195,11 @@ def covered_words(n: int, runs: np.ndarray, window: int) -> np.ndarray:
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                     with_text: bool = False) -> DataFrame:
+                     with_text: bool = False, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, n_spans (and kept_text) of every row."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = coordinates(docs, id_col, text_col)
-    runs = repeated_runs(rows, window).groupBy("at").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    runs = repeated_runs(rows, window, bucket_windows=bucket_windows).groupBy("at").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
     joined = rows.join(runs.hint("shuffle_hash"), "at", "left").select("doc_id", "text", "runs.start", "runs.windows")
 
     def keep(batches):
