@@ -2,12 +2,13 @@
 
 A text is the mean of the embeddings of its subwords: byte n-grams of one to four bytes of the lower-cased text, hashed
 into a fixed number of buckets. Embeddings and softmax weights are trained together by stochastic gradient descent in
-numpy, on at most ``per_language`` texts of each language. A temperature fitted on a part of them that the descent
+numpy, on about ``per_language`` texts of each language, fewer if that would make more than ``SAMPLE_TEXTS`` in all. A temperature fitted on a part of them that the descent
 doesn't see turns scores into probabilities; a prediction is accepted if its probability reaches the level at which the
 calibration part has the asked precision.
 
-The training sample is bounded (documented parameter ``per_language``, drawn by hash of the id); its features are counted
-on the executors, so the driver holds sparse counts only. Everything else covers every row and whole texts.
+The training sample is bounded whatever the number of languages (documented parameters, drawn by hash of the id); its
+features are counted on the executors, so the driver holds at most ``SAMPLE_TEXTS`` sparse rows of ``BUCKETS`` places. Everything else
+covers every row and whole texts, of any length.
 
 Results for odd input: null text, empty text and text without a letter give ``und``, score 0, not accepted; with no
 labelled row every row gives that; repeated rows give repeated rows; extra columns are ignored.
@@ -30,6 +31,7 @@ BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
 DIMENSIONS = 16
 PER_LANGUAGE = 1500
+SAMPLE_TEXTS = 12_000  # of all languages together
 STEP_BYTES = 1 << 20
 
 
@@ -69,12 +71,13 @@ def _rows(batch_column):
             yield lo + i, data[offsets[i]:offsets[i + 1]]
 
 
-def sample_features(docs: DataFrame, per_language: int = PER_LANGUAGE, buckets: int = BUCKETS) -> list:
-    """(lang, bucket ids, relative frequencies) of about ``per_language`` labelled texts of each language."""
+def sample_features(docs: DataFrame, per_language: int = PER_LANGUAGE, buckets: int = BUCKETS, texts: int = SAMPLE_TEXTS) -> list:
+    """(lang, bucket ids, relative frequencies) of about ``per_language`` labelled texts of each language, ``texts`` in all."""
     labelled = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row per language
     if not counts:
         return []
+    per_language = max(1, min(per_language, texts // len(counts)))
     rate = F.element_at(F.create_map(*[F.lit(x) for k, v in counts.items() for x in (k, min(1.0, per_language / v))]),
                         F.col("lang"))
     drawn = labelled.where(F.col("text").rlike(r"\p{L}") & (uniform(F.col("doc_id"), seed="language") < rate))
