@@ -124,15 +124,32 @@ def _brief_text(entries: Column) -> Column:
                        F.concat(F.lit("## Metrics\n\n"), block_text(entries)))
 
 
-def daily_brief(kpi_top: DataFrame, hotspot_top: DataFrame, brief_fn: Callable | None = None) -> DataFrame:
+PATTERN_HEADER = "## Patterns"
+
+
+def _with_patterns(entries: DataFrame, lines: DataFrame | None) -> DataFrame:
+    """The entries with ``found``, the pattern lines as a list; both are one row."""
+    if lines is None:
+        return entries.withColumn("found", F.array().cast("array<string>"))
+    found = lines.agg(F.sort_array(F.collect_list(F.struct("rank", "line"))).alias("f")).select(F.transform("f", lambda x: x["line"]).alias("found"))
+    rows = entries.withColumn("found", F.lit(None).cast("array<string>")).unionByName(
+        found.withColumn("entries", F.lit(None).cast(entries.schema["entries"].dataType)))
+    return rows.agg(F.max_by("entries", F.col("entries").isNotNull()).alias("entries"), F.max_by("found", F.col("found").isNotNull()).alias("found"))
+
+
+def daily_brief(kpi_top: DataFrame, hotspot_top: DataFrame, brief_fn: Callable | None = None,
+                pattern_lines: DataFrame | None = None) -> DataFrame:
     """OUT-12: one row, column ``brief`` (Markdown).
 
+    ``pattern_lines`` (``patterns.pattern_lines``): what stands out, as a list after the paragraphs, or for the model.
     ``brief_fn``: optional model call ``pd.Series[prompt] -> pd.Series[text]``
     applied to the FN-7 prompt instead of the template."""
-    entries = metric_entries(kpi_top, hotspot_top)
+    both = _with_patterns(metric_entries(kpi_top, hotspot_top), pattern_lines)
+    listed = F.when(F.size("found") > 0, F.concat(F.lit(PATTERN_HEADER + "\n\n"), F.array_join(F.transform("found", lambda x: F.concat(F.lit("- "), x)), "\n")))
     if brief_fn is None:
-        return entries.select(_brief_text(F.col("entries")).alias("brief"))
+        return both.select(F.concat_ws("\n\n", _brief_text(F.col("entries")), listed).alias("brief"))
     from caseloom.operators.enrich import model_reply_udf
 
-    prompt = F.concat(F.lit(brief_instruction() + "\n\n"), brief_prompt(block_text(F.col("entries"))))
-    return entries.select(model_reply_udf(brief_fn)(prompt).alias("brief"))
+    metrics = F.concat_ws("\n\n", block_text(F.col("entries")), listed)
+    prompt = F.concat(F.lit(brief_instruction() + "\n\n"), brief_prompt(metrics))
+    return both.select(model_reply_udf(brief_fn)(prompt).alias("brief"))

@@ -296,6 +296,30 @@ FROM ce e JOIN (
                        FROM ce) t) th) sl
              GROUP BY ticket_id, b) s ON s.ticket_id = g.ticket_id AND s.b = g.i
   GROUP BY g.ticket_id) v ON v.ticket_id = e.ticket_id"""),
+    "pc": (["mart"], """
+SELECT city, issue_category, CAST(date_trunc('week', order_date) AS DATE) AS week, count(*) AS n,
+       sum(CAST(delay_hours AS DECIMAL(18, 6))) AS delay,
+       sum(CAST(CAST(delay_hours AS DECIMAL(19, 6)) * CAST(delay_hours AS DECIMAL(19, 6)) AS DECIMAL(38, 6))) AS square
+FROM mart WHERE has_ticket GROUP BY 1, 2, 3"""),
+    "found": (["pc"], f"""
+SELECT pattern, city, issue_category, CAST(n AS BIGINT) AS tickets, {sround('observed', 4)} AS observed,
+       {sround('expected', 4)} AS expected, {sround('score', 4)} AS score
+FROM (SELECT *, CASE WHEN deviation > 0 THEN (observed - expected) / deviation END AS score FROM (
+  SELECT 'hotspot' AS pattern, city, issue_category, n, CAST(n AS DOUBLE) AS observed, e AS expected, sqrt(e) AS deviation
+  FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY city) AS DOUBLE) * CAST(sum(n) OVER (PARTITION BY issue_category) AS DOUBLE)
+                  / CAST(sum(n) OVER () AS DOUBLE) AS e
+        FROM (SELECT city, issue_category, sum(n) AS n FROM pc GROUP BY 1, 2) a) b
+  UNION ALL
+  SELECT 'delay', NULL, issue_category, n, CAST(delay AS DOUBLE) / n, mean, sqrt(greatest(square / total - mean * mean, 0.0) / n)
+  FROM (SELECT issue_category, sum(n) AS n, sum(delay) AS delay FROM pc GROUP BY 1) a,
+       (SELECT CAST(sum(n) AS DOUBLE) AS total, CAST(sum(delay) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS mean,
+               CAST(sum(square) AS DOUBLE) AS square FROM pc) w
+  UNION ALL
+  SELECT 'trend', NULL, issue_category, n, CAST(n AS DOUBLE), e, sqrt(e)
+  FROM (SELECT issue_category, sum(CASE WHEN week = last THEN n ELSE 0 END) AS n,
+               CAST(sum(CASE WHEN week < last AND week >= last - 56 THEN n ELSE 0 END) AS DOUBLE) / 8 AS e
+        FROM pc, (SELECT max(week) AS last FROM pc) w GROUP BY 1) a) f) g
+WHERE n >= 5 AND {sround('score', 4)} >= 2.0"""),
     "csim": (["cvec"], _similarity_select("cvec")),
 }
 
@@ -345,6 +369,16 @@ FROM (SELECT (SELECT count(*) FROM kt) AS nk, (SELECT count(*) FROM ht) AS nh,
              (SELECT {txt('ticket_count')} FROM ht WHERE pos = 1) AS ht,
              (SELECT {txt('average_delay_hours')} FROM ht WHERE pos = 1) AS hd) v"""
 
+_SENTENCE = """CASE pattern
+  WHEN 'hotspot' THEN coalesce(city, '') || ' has ' || tickets || ' ' || coalesce(issue_category, '') || ' tickets where ' || printf('%.1f', expected) || ' are expected.'
+  WHEN 'delay' THEN coalesce(issue_category, '') || ' waits ' || printf('%.1f', observed) || ' hours on average against ' || printf('%.1f', expected) || ' in all.'
+  ELSE coalesce(issue_category, '') || ' has ' || tickets || ' tickets in the last week against ' || printf('%.1f', expected) || ' a week before.' END"""
+_PATTERN_BRIEF = f"""
+SELECT concat_ws(chr(10) || chr(10), ({_BRIEF}),
+  (SELECT '## Patterns' || chr(10) || chr(10) || string_agg('- ' || line, chr(10) ORDER BY rn)
+   FROM (SELECT {_SENTENCE} AS line, row_number() OVER (ORDER BY score DESC, pattern, issue_category NULLS LAST, city NULLS LAST) AS rn FROM found) l
+   WHERE rn <= 5)) AS brief"""
+
 _ISSUE_VOLUME = f"""
 SELECT issue_category, count(*) AS ticket_count, {sround('avg(delay_hours)', 2)} AS average_delay_hours,
        {sround('avg(order_amount)', 2)} AS average_order_amount
@@ -480,6 +514,8 @@ FROM mart WHERE has_ticket GROUP BY 1, 2""", "mart"),
     "metrics_block": with_ctes("SELECT metrics_block FROM blk", "blk"),
     "brief_prompt": with_ctes(f"SELECT {strip(q(BRIEF_PROMPT_HEAD) + ' || metrics_block')} AS prompt FROM blk", "blk"),
     "daily_brief": with_ctes(_BRIEF, "blk", "kt", "ht"),
+    "issue_patterns": with_ctes("SELECT * FROM found", "found"),
+    "pattern_brief": with_ctes(_PATTERN_BRIEF, "blk", "kt", "ht", "found"),
     "stage_row_counts": with_ctes(_stage_counts(), "s_tickets", "s_enrichment", "emb", "sim", "mart", "kpis",
                                   "hotspots", "kt", "ht"),
 }

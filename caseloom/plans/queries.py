@@ -15,7 +15,7 @@ from caseloom.config import materialize
 from caseloom.functions.pii import redact
 from caseloom.functions.replies import parse_reply
 from caseloom.functions.text import embedding_text, ticket_prompt
-from caseloom.operators import brief, kpis, latent, learn, mart, mergeable, reports, similarity, standardize
+from caseloom.operators import brief, kpis, latent, learn, mart, mergeable, patterns, reports, similarity, standardize
 from caseloom.operators.embed import embed
 from caseloom.operators.enrich import enrich
 from caseloom.schemas import MART_COLUMNS, REPLY_KEYS
@@ -309,6 +309,17 @@ def _daily_brief(spark, d):
                              reports.brief_hotspot_top(kpis.city_issue_hotspots(m)))
 
 
+def _issue_patterns(spark, d):
+    return patterns.issue_patterns(_gold(spark, d))
+
+
+def _pattern_brief(spark, d):
+    """The daily brief with what stands out, all from one stored narrow 360."""
+    m = materialize(_gold(spark, d).filter("has_ticket").select(*AGGREGATE_COLUMNS, "order_date"))
+    return brief.daily_brief(reports.brief_kpi_top(kpis.issue_kpis(m)), reports.brief_hotspot_top(kpis.city_issue_hotspots(m)),
+                             pattern_lines=patterns.pattern_lines(patterns.issue_patterns(m)))
+
+
 QUERIES: dict[str, Query] = {
     # silver (OUT-1..5, PRJ-1..6)
     "standardize_orders": silver_orders,
@@ -364,6 +375,8 @@ QUERIES: dict[str, Query] = {
     "metrics_block": _metrics_block,
     "brief_prompt": _brief_prompt,
     "daily_brief": _daily_brief,
+    "issue_patterns": _issue_patterns,
+    "pattern_brief": _pattern_brief,
     "stage_row_counts": stage_row_counts,
 }
 
