@@ -99,3 +99,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files that nothing refers to any more, in whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

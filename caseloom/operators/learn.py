@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseloom.config import checkpoint_dir, materialize
+from caseloom.config import checkpoint_dir, discard, materialize
 from caseloom.functions.pii import redact
 from caseloom.operators.embed import tokens
 from caseloom.schemas import ISSUE_CATEGORIES, SENTIMENTS, URGENCIES
@@ -220,6 +220,7 @@ def fit(replies: DataFrame, rounds: int = 24, batches: int = 4, rate: float = 0.
         gradient[:-1] += shrink * weights[:-1]
         square += gradient * gradient
         weights -= rate * gradient / np.sqrt(square + 1e-12)
+    discard(spark, path)
     return ReplyModel(fixed_point(weights), usual_texts(replies))
 
 

@@ -90,6 +90,15 @@ def test_counts_and_rounds_equal_plain_numpy(spark):
         assert np.abs(model.weights / learn.SCALE - plain(stored(300), rounds, 0.3)).max() < 1e-5
 
 
+def test_training_files_do_not_stay(spark):
+    import glob
+
+    from caseloom.config import checkpoint_dir
+
+    learn.fit(replies(spark, 40), rounds=1, slots=SLOTS)
+    assert not glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/reply-training-*")
+
+
 def test_scores_are_exact_sums(spark):
     model = learn.fit(replies(spark), rounds=2, slots=SLOTS)
     rows = [(f"Q{i}", "o", "c", None, "WEB", m, n) for i, (m, n) in enumerate((m, n) for m in SAID for n in (None, "kind1 mood2", ""))]
