@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.config import checkpoint_dir
+from caseloom.config import checkpoint_dir, discard
 from caseloom.llm import mixing, ngram_join, packing, privacy, toxicity
 from caseloom.llm.frames import table
 
@@ -60,11 +60,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``; the stages' tables go to the shared checkpoint folder."""
+    """All stages over the whole of ``documents``; the stages' tables go to the shared checkpoint folder.
+
+    A stage's table is deleted once the next one's is written; the last stays, as the result is read from it.
+    """
     folder = f"{checkpoint_dir(spark).rstrip('/')}/corpus-pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES[:-1]):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
