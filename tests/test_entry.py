@@ -40,7 +40,8 @@ def _norm(v):
 
 
 @pytest.mark.parametrize("name", ["standardize_shipments", "ticket_enrichment", "redact_pii", "hashed_embedding",
-                                  "ticket_similarity_top3", "issue_kpis", "daily_brief"])
+                                  "ticket_similarity_top3", "issue_kpis", "daily_brief", "counted_reply_scores",
+                                  "conversation_term_weights", "issue_patterns"])
 def test_query_matches_oracle(spark, duck, name):
     df = se.queries()[name](spark, SF)
     cols = sorted(df.columns)
