@@ -8,7 +8,7 @@ are glued along their source coordinates when they are joined back to the docume
 comes back as one span.
 
 A bucket may hold any share of all windows (a line that very many texts quote with different surroundings). Windows are
-first counted per bucket, each task adding up its own; the pieces of a bucket with too many are cut into their windows,
+first counted in bins of buckets, each task adding up its own; the pieces of a bin with too many are cut into their windows,
 which are dealt to as many parts as it needs by the window's hash. Equal windows still meet, but of those that meet in
 one batch already only the first is sent there; the others are known to be copies and are spread over all tasks.
 
@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.frames import coordinates, cut, table
+from caseloom.llm.frames import coordinates, table
 from caseloom.llm.hashing import BASE, U, gram_starts, mix, range_hash, slide_min, text_chunks, word_hashes, words_of
 
 WINDOW = 20
 GRAM = 6
 EDGE_BYTES = 8
 BUCKET_WINDOWS = 1 << 18  # windows of one bucket that one task may take
-MOST_CUT = 10_000  # a bucket is cut only if it also holds more than this part of all windows, so that few are
+BIN_BITS = (14, 20)  # least and most bins that buckets are counted in: one for 16 texts
 
 
 def path_pieces(h0: np.ndarray, h1: np.ndarray, first: np.ndarray, window: int = WINDOW, gram: int = GRAM):
@@ -66,33 +66,35 @@ def path_pieces(h0: np.ndarray, h1: np.ndarray, first: np.ndarray, window: int =
     return row, grams[picked[head]], wins[head] - first[row], count, edges, place
 
 
-def _bucket_sizes(batches, window: int, gram: int):
-    """(bucket, windows) of each batch's texts."""
+def _bin_sizes(batches, window: int, gram: int, bins: int):
+    """(bin, windows) of a task's texts."""
+    sizes = np.zeros(bins, np.int64)
     for b in batches:
-        sizes: list[tuple[np.ndarray, np.ndarray]] = []
         for _, data, offsets in text_chunks(b.column(0)):
             s, e, first = words_of(data, offsets)
             h0 = word_hashes(data, s, e, 0)
             got = path_pieces(h0, h0, first, window, gram)
             if got is not None:
-                sizes.append((got[1].view(np.int64), got[3]))
-        if sizes:
-            bucket, at = np.unique(np.concatenate([x for x, _ in sizes]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([n for _, n in sizes])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], names=["bucket", "windows"])
-
-
-def large_buckets(texts: DataFrame, window: int, gram: int, bucket_windows: int) -> dict[int, int]:
-    """bucket: parts, for the buckets with too many windows; fewer than ``MOST_CUT`` of them."""
-    sizes = texts.mapInArrow(lambda b: _bucket_sizes(b, window, gram), "bucket long, windows long").groupBy("bucket").agg(F.sum("windows").alias("n"))
-    sizes = cut(sizes.where(F.col("n") > bucket_windows).unionAll(sizes.agg(F.lit(None).cast("long").alias("bucket"), F.sum("n").alias("n"))))
-    least = max(bucket_windows, (sizes.where("bucket is null").first()["n"] or 0) // MOST_CUT)
-    return {r["bucket"]: -(-r["n"] // least) for r in sizes.where(F.col("bucket").isNotNull() & (F.col("n") > least)).collect()}
-
-
-def _pieces(batches, window: int, gram: int, large: dict[int, int]):
-    names = np.array(sorted(large), np.int64)
-    parts = np.array([large[k] for k in sorted(large)], U)
+                sizes += np.bincount((got[1] & U(bins - 1)).astype(np.int64), got[3], bins).astype(np.int64)
+    some = np.flatnonzero(sizes)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sizes[some])], names=["bin", "windows"])
+
+
+def parts_of_bins(texts: DataFrame, window: int, gram: int, bucket_windows: int) -> np.ndarray:
+    """For every bin of buckets the parts it is cut into; 1 for most. Bins of up to four times the mean stay whole."""
+    bits = (max(texts.count(), 16) // 16).bit_length()
+    bins = 1 << min(max(bits, BIN_BITS[0]), BIN_BITS[1])
+    sizes = texts.mapInArrow(lambda b: _bin_sizes(b, window, gram, bins), "bin int, windows long").groupBy("bin").agg(
+        F.sum("windows").alias("n")).toArrow()  # at most a row per bin
+    n = np.zeros(bins, np.int64)
+    n[sizes.column("bin").to_numpy()] = sizes.column("n").to_numpy()
+    return np.where(n > max(bucket_windows, 4 * int(n.sum()) // bins), -(-n // bucket_windows), 1)
+
+
+def _pieces(batches, window: int, gram: int, parts: np.ndarray):
+    """Rows (bucket, at, piece): a piece is its first window's place in its text (4 bytes) and its windows' hashes. A copy of
+    a window sent from here has no hash, and any bucket."""
+    cut_some = bool((parts > 1).any())
     for b in batches:
         ats = np.asarray(b.column(0))
         for lo, data, offsets in text_chunks(b.column(1)):
@@ -102,16 +104,15 @@ def _pieces(batches, window: int, gram: int, large: dict[int, int]):
                 continue
             row, minimiser, start, count, edges, place = got
             edges = mix(edges + place.astype(U)).astype("<u8")
-            if len(names):
-                own = minimiser.view(np.int64)
-                found = np.minimum(np.searchsorted(names, own), len(names) - 1)
-                many = names[found] == own
-                if many.any():  # one row a window in the large buckets
+            if cut_some:
+                of_bin = parts[(minimiser & U(len(parts) - 1)).astype(np.int64)].astype(U)
+                many = of_bin > 1
+                if many.any():  # one row a window
                     each = np.where(many, count, 1)
                     piece = np.repeat(np.arange(len(count)), each)
                     step = np.arange(len(piece)) - (np.cumsum(each) - each)[piece]
                     begin = (np.cumsum(count) - count)[piece] + step
-                    part = edges[begin].astype(U) % parts[found[piece]] + U(1)
+                    part = edges[begin].astype(U) % of_bin[piece] + U(1)
                     minimiser = np.where(many[piece], mix(minimiser[piece] + part * U(BASE)), minimiser[piece])
                     row, start, count = row[piece], start[piece] + step, np.where(many[piece], 1, count[piece])
                     one = np.flatnonzero(many[piece])  # of equal windows the first, by coordinate
@@ -121,27 +122,36 @@ def _pieces(batches, window: int, gram: int, large: dict[int, int]):
                     keep = np.ones(len(edges), bool)
                     keep[begin[copy]] = False
                     edges = edges[keep]
-                    count[copy] = 0  # no edge: a copy of a window sent from here
+                    count[copy] = 0
                     minimiser[copy] = mix(ats[lo + row[copy]].astype(np.int64).view(U) + start[copy].astype(U))
-            ends = np.append(0, np.cumsum(count) * EDGE_BYTES).astype(np.int32)
-            raw = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(ends), pa.py_buffer(edges)])
-            yield pa.RecordBatch.from_arrays([pa.array(minimiser.view(np.int64)), pa.array(ats[lo + row]),
-                                              pa.array(start.astype(np.int32)), raw], names=["bucket", "at", "start", "edges"])
+            ends = np.append(0, np.cumsum(1 + 2 * count))  # in words of four bytes
+            words = np.empty(ends[-1], "<u4")
+            rest = np.ones(ends[-1], bool)
+            rest[ends[:-1]] = False
+            words[ends[:-1]] = start.astype("<u4").byteswap()  # so that pieces sort by it
+            words[rest] = edges.view("<u4")
+            raw = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(words)])
+            yield pa.RecordBatch.from_arrays([pa.array(minimiser.view(np.int64)), pa.array(ats[lo + row]), raw], names=["bucket", "at", "piece"])
 
 
 def _later_copies(batches):
-    """Runs (at, start, windows) of windows whose edge has an earlier coordinate. Rows come sorted by bucket, at, start.
+    """Runs (at, start, windows) of windows whose edge has an earlier coordinate. Rows come sorted by bucket, at, piece.
 
     Only the edges of the bucket that a batch ends in are carried to the next."""
     carried = None  # (bucket, sorted keys, at, start)
     for b in batches:
         if not b.num_rows:
             continue
-        bucket, at, start = (np.asarray(b.column(i)) for i in range(3))
-        col = b.column(3)
+        bucket, at = (np.asarray(b.column(i)) for i in range(2))
+        col = b.column(2)
         ends = np.frombuffer(col.buffers()[1], np.int32, b.num_rows + 1, col.offset * 4).astype(np.int64)
-        edges = np.frombuffer(col.buffers()[2], np.uint8)[ends[0]:ends[-1]].view("<u8").astype(U)
-        count = np.diff(ends) // EDGE_BYTES
+        words = np.frombuffer(col.buffers()[2], np.uint8)[ends[0]:ends[-1]].view("<u4")
+        heads = (ends[:-1] - ends[0]) // 4
+        start = words[heads].byteswap().astype(np.int32)
+        rest = np.ones(len(words), bool)
+        rest[heads] = False
+        edges = words[rest].view("<u8").astype(U)
+        count = np.diff(ends) // EDGE_BYTES  # the place's four bytes don't make one
         known_copy = np.flatnonzero(count == 0)
         if len(known_copy):
             yield pa.RecordBatch.from_arrays([pa.array(at[known_copy]), pa.array(start[known_copy]), pa.array(np.ones(len(known_copy), np.int32))],
@@ -178,11 +188,10 @@ def _later_copies(batches):
 
 def repeated_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """Runs (at, start, windows) of word windows that also begin earlier, for rows (at, text)."""
-    large = large_buckets(rows.select("text"), window, gram, bucket_windows)
-    pieces = rows.select("at", "text").mapInArrow(lambda b: _pieces(b, window, gram, large),
-                                                  "bucket long, at long, start int, edges binary")
+    parts = parts_of_bins(rows.select("text"), window, gram, bucket_windows)
+    pieces = rows.select("at", "text").mapInArrow(lambda b: _pieces(b, window, gram, parts), "bucket long, at long, piece binary")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pieces.repartition(n, "bucket").sortWithinPartitions("bucket", "at", "start").mapInArrow(
+    return pieces.repartition(n, "bucket").sortWithinPartitions("bucket", "at", "piece").mapInArrow(
         _later_copies, "at long, start int, windows int")
 
 
