@@ -4,8 +4,9 @@
 skew handling can split the preserved (left) side of a left join but not the other side, so a key holding a large share
 of one side's rows would be joined by a single task.
 
-Hot keys are found without a shuffle by key: rows are counted in a fixed number of hash buckets, keys are counted
-exactly only in buckets above ``hot_threshold``. A bucket never counts less than a key in it, so no hot key is missed.
+Hot keys are found without a shuffle by key: the rows of all sides are counted in hash buckets in one pass; a side with a
+bucket above ``hot_threshold`` is counted in more buckets (16 per threshold's worth of rows), and keys exactly only in
+those above it. A bucket never counts less than a key in it, so no hot key is missed.
 Keys above the threshold number at most rows / threshold. Cold keys take the ordinary chain. For a hot key, each join is
 done on a grid: the rows so far are dealt to as many salts as they fill thresholds, the side's rows likewise, and each
 row is copied along the other axis only. The output is row for row the same as the plain chain.
@@ -66,12 +67,29 @@ def plain_chain(left: DataFrame, key: str, sides: list[Side]) -> DataFrame:
     return out
 
 
-def hot_keys(df: DataFrame, key: str, hot_threshold: int) -> DataFrame | None:
+def _key_bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets))
+
+
+def bucket_sizes(sources: list[tuple[DataFrame, str]], buckets: int = 1 << 12) -> list[tuple[int, int]]:
+    """(rows, rows of the fullest bucket) of every source, in one pass over all of them."""
+    rows = None
+    for i, (df, key) in enumerate(sources):
+        part = df.select(F.col(key).cast("string").alias("_hk")).where(F.col("_hk").isNotNull()).select(
+            F.lit(i).alias("_src"), _key_bucket("_hk", buckets).alias("_b"))
+        rows = part if rows is None else rows.unionByName(part)
+    per_bucket = rows.groupBy("_src", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    found = {r["_src"]: (r["rows"], r["most"]) for r in per_bucket.groupBy("_src").agg(
+        F.sum("_n").alias("rows"), F.max("_n").alias("most")).collect()}  # a row per source
+    return [found.get(i, (0, 0)) for i in range(len(sources))]
+
+
+def hot_keys(df: DataFrame, key: str, hot_threshold: int, total: int | None = None) -> DataFrame | None:
     """(_hk, _n) of the keys with more than ``hot_threshold`` rows; None if there is none."""
     keys = df.select(F.col(key).alias("_hk")).where(F.col("_hk").isNotNull())
-    total = df.count()
+    total = df.count() if total is None else total
     buckets = 1 << max(4, (16 * total // hot_threshold).bit_length())
-    bucket = F.pmod(F.xxhash64("_hk"), F.lit(buckets))
+    bucket = _key_bucket("_hk", buckets)
     per_bucket = keys.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     if (per_bucket.agg(F.max("_n")).first()[0] or 0) <= hot_threshold:
         return None
@@ -83,13 +101,11 @@ def hot_keys(df: DataFrame, key: str, hot_threshold: int) -> DataFrame | None:
 
 def hot_grid(sides: list[Side], hot_threshold: int) -> DataFrame | None:
     """(_hk, _n0, _n1, …): the rows of every hot key on every side (0 where it isn't hot)."""
-    counted: dict[tuple[int, str], DataFrame | None] = {}
-    found = []
-    for side in sides:
-        src, key = (side.df, side.key) if side.count_on is None else (side.count_on, side.count_key or side.key)
-        if (id(src), key) not in counted:
-            counted[id(src), key] = hot_keys(src, key, hot_threshold)
-        found.append(counted[id(src), key])
+    sources = [(side.df, side.key) if side.count_on is None else (side.count_on, side.count_key or side.key) for side in sides]
+    each = {(id(df), key): (df, key) for df, key in sources}  # sides that share a frame are counted once
+    sizes = dict(zip(each, bucket_sizes(list(each.values())), strict=True))
+    counted = {at: hot_keys(*each[at], hot_threshold, total) if most > hot_threshold else None for at, (total, most) in sizes.items()}
+    found = [counted[id(df), key] for df, key in sources]
     if all(h is None for h in found):
         return None
     rows = None
