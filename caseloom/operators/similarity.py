@@ -16,9 +16,10 @@ Plan (all distributed, no pair table is ever materialised):
    enrichment), and each left row is emitted once per copy.
 
 Work is exact: N²·d multiply-adds in BLAS, N·B·top_n candidate rows shuffled.
-B grows with N (``block_rows`` rows per block); inside a task the left block is
-scored in chunks, so memory is bounded by the block data plus one
-chunk_rows × block_rows score matrix, whatever N is.
+B grows with N (``block_rows`` rows per block); inside a task the blocks are
+scored in tiles of at most SCORE_CELLS scores, and of each tile only what beats
+a row's top_n so far is kept, so memory is bounded by the block data plus a
+tile, whatever N is.
 """
 
 from __future__ import annotations
@@ -47,106 +48,148 @@ _CANDIDATE_SCHEMA = T.StructType([
 # Scores are ranked on this many decimals so that equal vectors compare equal
 # whatever the block shape did to the last bits of the product (SEM-13).
 RANK_DECIMALS = 12
-SCORE_CELLS = 8_000_000  # doubles of one score matrix: 64 MB
+KEY_STEP = 10.0 ** -RANK_DECIMALS  # scores of one key lie no further apart
+SCORE_CELLS = 2_000_000  # doubles of one score matrix: 16 MB
+ROWS_AT_ONCE = 8192  # vectors that are copied and normalised at a time
 
 
 def _matrix(vectors: pd.Series, dim: int) -> np.ndarray:
     """Vectors as rows, in one copy; a null or shorter vector is filled up with zeros."""
-    lengths = np.fromiter((len(v) if v is not None else 0 for v in vectors), np.int64, len(vectors))
     mat = np.zeros((len(vectors), dim), dtype=np.float64)
-    if lengths.any():
-        flat = np.concatenate([v for v in vectors if v is not None and len(v)])
-        row = np.repeat(np.arange(len(vectors)), lengths)
-        mat[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
+    for lo in range(0, len(vectors), ROWS_AT_ONCE):
+        part = vectors.iloc[lo:lo + ROWS_AT_ONCE]
+        lengths = np.fromiter((len(v) if v is not None else 0 for v in part), np.int64, len(part))
+        if lengths.any():
+            flat = np.concatenate([v for v in part if v is not None and len(v)])
+            row = np.repeat(np.arange(len(part)), lengths)
+            mat[lo + row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
     return mat
 
 
 def _unit_rows(mat: np.ndarray) -> np.ndarray:
-    norms = np.sqrt(np.einsum("ij,ij->i", mat, mat))
-    safe = np.where(norms == 0, 1.0, norms)
-    return np.where((norms == 0)[:, None], 0.0, mat / safe[:, None])
+    """The rows at length one, written over ``mat``; a row of length zero gets zeros."""
+    for lo in range(0, len(mat), ROWS_AT_ONCE):
+        part = mat[lo:lo + ROWS_AT_ONCE]
+        norms = np.sqrt(np.einsum("ij,ij->i", part, part))
+        part /= np.where(norms == 0, 1.0, norms)[:, None]
+        part[norms == 0] = 0.0
+    return mat
 
 
-def _best_partners(left: pd.DataFrame, right: pd.DataFrame, scores: np.ndarray, top_n: int) -> pd.DataFrame:
-    """For each left row, its ``top_n`` best right rows (distinct rows)."""
+class _Best:
+    """The ``top_n`` best partners of every row so far: key, score and place of each, best first; place -1 is a free one.
+
+    Partners stand in the order ties are settled in (id, then uid) and must be offered in that order, so one that only
+    equals the worst kept key comes too late. Memory is rows x top_n, however many partners are offered.
+    """
+
+    def __init__(self, rows: int, top_n: int):
+        self.top_n = top_n
+        self.key = np.full((rows, top_n), -np.inf)
+        self.score = np.full((rows, top_n), np.nan)
+        self.place = np.full((rows, top_n), -1, np.int64)
+
+    def offer(self, scores: np.ndarray, ids: np.ndarray, partner_ids: np.ndarray, row: int, place: int) -> None:
+        """A matrix of scores of the rows from ``row`` on with the partners from ``place`` on; equal ids don't match."""
+        n = len(scores)
+        full = self.place[row:row + n, -1] >= 0
+        # a score that rounds to a greater key exceeds the worst kept key by half a step at least
+        at, col = np.nonzero(scores > np.where(full, self.key[row:row + n, -1] + KEY_STEP / 4, np.inf)[:, None])
+        differ = ids[at] != partner_ids[col]
+        at, col = at[differ], col[differ]
+        short = np.flatnonzero(~full)
+        if short.size:  # rows with a free place: what reaches their k-th best of this matrix
+            valid = ids[short][:, None] != partner_ids[None, :]
+            masked = np.where(valid & ~np.isnan(scores[short]), scores[short], -np.inf)
+            k = min(self.top_n, masked.shape[1])
+            kth = np.partition(masked, masked.shape[1] - k, axis=1)[:, masked.shape[1] - k]
+            more_at, more_col = np.nonzero(valid & (masked >= (kth - 2 * KEY_STEP)[:, None]))
+            at, col = np.concatenate([at, short[more_at]]), np.concatenate([col, more_col])
+        if at.size:
+            self._merge(row + at, scores[at, col], place + col)
+
+    def _merge(self, at: np.ndarray, score: np.ndarray, place: np.ndarray) -> None:
+        key = np.round(score, RANK_DECIMALS)
+        key[np.isnan(key)] = -np.inf
+        rows = np.unique(at)
+        held = self.place[rows] >= 0
+        at = np.concatenate([np.repeat(rows, held.sum(axis=1)), at])
+        key = np.concatenate([self.key[rows][held], key])
+        score = np.concatenate([self.score[rows][held], score])
+        place = np.concatenate([self.place[rows][held], place])
+        order = np.lexsort((place, -key, at))
+        at = at[order]
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        rank = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        kept = rank < self.top_n
+        at, rank, order = at[kept], rank[kept], order[kept]
+        self.key[at, rank], self.score[at, rank], self.place[at, rank] = key[order], score[order], place[order]
+
+    def frame(self, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """The kept pairs of ``left``'s rows with their partners in ``right``."""
+        rows, at = np.nonzero(self.place >= 0)
+        cols = self.place[rows, at]
+        return pd.DataFrame({
+            "_uid": left["_uid"].to_numpy()[rows],
+            "_m": left["_m"].to_numpy()[rows],
+            "ticket_id": left["ticket_id"].to_numpy()[rows],
+            "ticket_issue_category": left["issue_category"].to_numpy()[rows],
+            "_ruid": right["_uid"].to_numpy()[cols],
+            "_mr": right["_m"].to_numpy()[cols],
+            "matched_ticket_id": right["ticket_id"].to_numpy()[cols],
+            "matched_issue_category": right["issue_category"].to_numpy()[cols],
+            "_score": self.score[rows, at],
+            "_key": self.key[rows, at],
+        })
+
+
+def _codes(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the ticket ids of both sides, equal for equal ids."""
     ids = pd.factorize(pd.concat([left["ticket_id"], right["ticket_id"]], ignore_index=True))[0]
-    lid, rid = ids[: len(left)], ids[len(left):]
-    valid = lid[:, None] != rid[None, :]
-    key = np.round(scores, RANK_DECIMALS)
-    key = np.where(np.isnan(key), -np.inf, key)
-    masked = np.where(valid, key, -np.inf)
-    k = min(top_n, masked.shape[1])
-    if k == 0:
-        return pd.DataFrame()
-    # The right rows stand in the order ties are settled in (id, then uid): of the keys equal to the k-th best, the
-    # first ones fill what the better ones leave. Only k places a row are ever listed, however many tie.
-    kth = -np.partition(-masked, k - 1, axis=1)[:, k - 1:k]
-    reach = valid & (masked >= kth)
-    crowded = np.flatnonzero(reach.sum(axis=1) > k)
-    for i in crowded:
-        better = np.flatnonzero(reach[i] & (masked[i] > kth[i]))
-        ties = np.flatnonzero(reach[i] & (masked[i] == kth[i]))[:k - len(better)]
-        reach[i] = False
-        reach[i, better] = True
-        reach[i, ties] = True
-    rows, cols = np.nonzero(reach)
-    if rows.size == 0:
-        return pd.DataFrame()
-    ruid = right["_uid"].to_numpy()
-    return pd.DataFrame({
-        "_uid": left["_uid"].to_numpy()[rows],
-        "_m": left["_m"].to_numpy()[rows],
-        "ticket_id": left["ticket_id"].to_numpy()[rows],
-        "ticket_issue_category": left["issue_category"].to_numpy()[rows],
-        "_ruid": ruid[cols],
-        "_mr": right["_m"].to_numpy()[cols],
-        "matched_ticket_id": right["ticket_id"].to_numpy()[cols],
-        "matched_issue_category": right["issue_category"].to_numpy()[cols],
-        "_score": scores[rows, cols],
-        "_key": key[rows, cols],
-    })
-
-
-def _keep_best(cands: pd.DataFrame, top_n: int) -> pd.DataFrame:
-    """Per left row, the ``top_n`` best of several candidate lists."""
-    ranked = cands.assign(_neg=-cands["_key"]).sort_values(
-        ["_uid", "ticket_id", "_neg", "matched_ticket_id", "_ruid"], kind="mergesort", na_position="first")
-    return ranked.groupby(["_uid", "ticket_id"], sort=False, dropna=False).head(top_n).drop(columns="_neg")
+    return ids[:len(left)], ids[len(left):]
+
+
+def _best_partners(left: pd.DataFrame, right: pd.DataFrame, scores: np.ndarray, top_n: int) -> pd.DataFrame:
+    """For each left row, its ``top_n`` best right rows (distinct rows) by a whole matrix of scores."""
+    best = _Best(len(left), top_n)
+    if scores.size:
+        best.offer(scores, *_codes(left, right), 0, 0)
+    return best.frame(left, right)
 
 
 def _block_pair(left: pd.DataFrame, right: pd.DataFrame, ul: np.ndarray, ur: np.ndarray, top_n: int,
                 chunk_rows: int, both: bool) -> list[pd.DataFrame]:
-    """Score some left rows at a time, at most ``chunk_rows`` and so that the score matrix stays within SCORE_CELLS;
-    each product serves both directions when ``both``."""
-    out, backward = [], []
-    chunk_rows = max(1, min(chunk_rows, SCORE_CELLS // max(1, len(right))))
-    for start in range(0, len(left), chunk_rows):
-        part = left.iloc[start:start + chunk_rows].reset_index(drop=True)
-        scores = ul[start:start + chunk_rows] @ ur.T
-        out.append(_best_partners(part, right, scores, top_n))
-        if both:
-            backward.append(_best_partners(right, part, scores.T, top_n))
-    backward = [b for b in backward if not b.empty]
-    if len(backward) > 1:
-        out.append(_keep_best(pd.concat(backward, ignore_index=True), top_n))
-    else:
-        out += backward
-    return [o for o in out if not o.empty]
+    """Score at most ``chunk_rows`` left rows with at most SCORE_CELLS / ``chunk_rows`` right rows at a time; each product
+    serves both directions when ``both``. Only the best so far stay from one product to the next."""
+    lid, rid = _codes(left, right)
+    forward, backward = _Best(len(left), top_n), _Best(len(right) if both else 0, top_n)
+    width = max(1, SCORE_CELLS // max(1, chunk_rows))
+    for a in range(0, len(left), chunk_rows):
+        for b in range(0, len(right), width):
+            scores = ul[a:a + chunk_rows] @ ur[b:b + width].T
+            forward.offer(scores, lid[a:a + chunk_rows], rid[b:b + width], a, b)
+            if both:
+                backward.offer(scores.T, rid[b:b + width], lid[a:a + chunk_rows], b, a)
+    found = [forward.frame(left, right)] + ([backward.frame(right, left)] if both else [])
+    return [f for f in found if not f.empty]
 
 
 def _pair_kernel(top_n: int, chunk_rows: int):
     columns = [f.name for f in _CANDIDATE_SCHEMA.fields]
+    plain = ["_uid", "_m", "ticket_id", "issue_category"]
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         bi, bj = int(pdf["_bi"].iloc[0]), int(pdf["_bj"].iloc[0])
         pdf = pdf.sort_values(["ticket_id", "_uid"], kind="mergesort", na_position="first")
-        left = pdf[pdf["_blk"] == bi].reset_index(drop=True)
-        right = left if bi == bj else pdf[pdf["_blk"] == bj].reset_index(drop=True)
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=columns)
         dim = int(max(len(v) if v is not None else 0 for v in pdf["embedding"]))
-        ul = _unit_rows(_matrix(left["embedding"], dim))
-        ur = ul if bi == bj else _unit_rows(_matrix(right["embedding"], dim))
+        sides = []
+        for b in (bi,) if bi == bj else (bi, bj):
+            mine = (pdf["_blk"] == b).to_numpy()
+            if not mine.any():
+                return pd.DataFrame(columns=columns)
+            sides.append((pdf.loc[mine, plain].reset_index(drop=True), _unit_rows(_matrix(pdf["embedding"][mine], dim))))
+        del pdf
+        (left, ul), (right, ur) = sides[0], sides[-1]
         parts = _block_pair(left, right, ul, ur, top_n, chunk_rows, both=bi != bj)
         if not parts:
             return pd.DataFrame(columns=columns)

@@ -127,3 +127,40 @@ def test_column_form_equals_blocked_form(spark):
     rows = joined.collect()
     assert len(rows) == pairs.count() > 0
     assert all(abs(r.similarity_score - r.c) <= 5e-7 for r in rows)
+
+
+def test_block_pair_keeps_only_the_best_of_every_tile(monkeypatch):
+    """Of a pair of blocks no more than top_n candidates a row are ever held, whatever the number of tiles."""
+    import tracemalloc
+
+    import pandas as pd
+
+    from caseloom.operators import similarity
+
+    rng = np.random.default_rng(3)
+    sides = []
+    for name, n in (("A", 2000), ("B", 2100)):
+        mat = np.round(rng.normal(size=(n, 4)), 1)  # few decimals: exact ties
+        mat[5], mat[6] = 0.0, np.nan
+        ids = [f"{name if i % 7 else 'S'}{i:05d}" for i in range(n)]  # some ids stand in both blocks
+        frame = pd.DataFrame({"ticket_id": ids, "issue_category": "X", "_uid": np.arange(n), "_m": 1}).sort_values("ticket_id")
+        sides.append((frame.reset_index(drop=True), similarity._unit_rows(mat[frame.index])))
+    (left, ul), (right, ur) = sides
+    monkeypatch.setattr(similarity, "SCORE_CELLS", 10_000)
+    tracemalloc.start()
+    got = pd.concat(similarity._block_pair(left, right, ul, ur, 3, 10, both=True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000  # 200 tiles' candidates of the right rows would be over 50 MB
+    whole = ul @ ur.T
+    for mine, other, scores in ((left, right, whole), (right, left, whole.T)):
+        key = np.where(np.isnan(scores), -np.inf, np.round(scores, similarity.RANK_DECIMALS))
+        key[mine["ticket_id"].to_numpy()[:, None] == other["ticket_id"].to_numpy()[None, :]] = -np.inf
+        best = np.argsort(-key, axis=1, kind="stable")[:, :3]
+        found = got[got["ticket_id"].isin(mine["ticket_id"]) & got["matched_ticket_id"].isin(other["ticket_id"])]
+        names = found.groupby("ticket_id")["matched_ticket_id"].agg(list)
+        for i in range(0, len(mine), 11):
+            name = mine["ticket_id"][i]
+            if not name.startswith("S") and np.isfinite(key[i, best[i]]).all():
+                assert names[name] == list(other["ticket_id"].to_numpy()[best[i]])
+    assert len(got) == 3 * (len(left) + len(right))
