@@ -203,7 +203,9 @@ def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = events.join(orders, F.col("event_id") == F.col("o_orderkey"), "left").withColumn("_k", k)
     df = df.withColumn("customer_message", _message(F.col("_k"), F.col("event_id"), F.col("user_id"),
                                                     F.col("event_type")))
-    reply = F.to_json(F.struct(
+    # every step is a column of its own: a step that names one before it several times would else hold as many copies of
+    # it, too much code for the JVM to compile
+    df = df.withColumn("_json", F.to_json(F.struct(
         _category_of(F.col("_k")).alias("issue_category"),
         F.when(F.col("_k") < 20, "POSITIVE").when(F.col("_k") < 50, "NEUTRAL").otherwise("NEGATIVE")
         .alias("sentiment"),
@@ -215,16 +217,18 @@ def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Ticket T"), text("event_id"), F.lit(" by "), F.upper("event_type")).alias(
             "customer_summary"),
         F.concat(F.lit("action "), text(F.pmod(F.col("_k"), F.lit(5)))).alias("next_best_action"),
-    ), {"ignoreNullFields": "false"})
+    ), {"ignoreNullFields": "false"}))
+    reply = F.col("_json")
     # what models also send: prose after the object, a second object, single quotes, a null value (k = 46, above),
     # a key left out
-    reply = (
+    df = df.withColumn("_sent", (
         F.when(F.col("_k") == 43, F.concat(reply, F.lit(" I hope this helps.")))
         .when(F.col("_k") == 44, F.concat(reply, F.lit(" "), reply))
         .when(F.col("_k") == 45, F.translate(reply, '"', "'"))
         .when(F.col("_k") == 47, F.regexp_replace(reply, r',"next_best_action":"[^"]*"', ""))
         .otherwise(reply)
-    )
+    ))
+    reply = F.col("_sent")
     fence = F.pmod(F.col("event_id"), F.lit(3))
     reply_text = (
         F.when(F.col("_k") == 42, F.lit("Sorry, I can not classify this ticket."))

@@ -67,3 +67,12 @@ def test_prompt_and_embedding_text(spark):
     e = enrich(_tickets(spark)).filter("ticket_id = 'T4'").select(embedding_text().alias("t")).collect()[0]
     assert e.t.startswith("Issue category: GENERAL_QUERY. Summary: Customer reports general query on order O4.")
     assert e.t.endswith(". Customer message: What are your opening hours? Thanks")
+
+
+def test_simulated_reply_is_built_once(spark):
+    """Steps that name the reply several times refer to a column, not to copies of the whole expression."""
+    from caseloom.sources import analog
+
+    tickets = analog.event_tickets(spark, "/root/testdata/sf0.001").select("ticket_id", "reply")
+    plan = tickets._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
