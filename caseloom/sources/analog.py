@@ -34,6 +34,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 PROMISED_DELIVERY_DAYS = 5
+TASKS_PER_CORE = 4
 _TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -200,7 +201,9 @@ def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    df = events.join(orders, F.col("event_id") == F.col("o_orderkey"), "left").withColumn("_k", k)
+    df = events.join(orders, F.col("event_id") == F.col("o_orderkey"), "left")
+    # an event is a few bytes on disk and much work as a ticket: dealt out anew, or a file of millions is one task's
+    df = df.repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism).withColumn("_k", k)
     df = df.withColumn("customer_message", _message(F.col("_k"), F.col("event_id"), F.col("user_id"),
                                                     F.col("event_type")))
     # every step is a column of its own: a step that names one before it several times would else hold as many copies of

@@ -76,3 +76,10 @@ def test_simulated_reply_is_built_once(spark):
     tickets = analog.event_tickets(spark, "/root/testdata/sf0.001").select("ticket_id", "reply")
     plan = tickets._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace(") == 1
+
+
+def test_tickets_of_one_file_are_dealt_to_many_tasks(spark):
+    from caseloom.sources import analog
+
+    tickets = analog.event_tickets(spark, "/root/testdata/sf0.001").select("ticket_id", "reply")
+    assert tickets.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
