@@ -7,9 +7,10 @@ Plan (all distributed, no pair table is ever materialised):
    (partial aggregation: a hot group of copies costs one row, not a hot task).
 3. Hash every distinct row into one of B blocks; send each row to the
    B block pairs {b, j}. A pair task holds two blocks (about 2·N/B vectors).
-4. ``applyInPandas`` per block pair: normalise once, one matrix product, and
-   keep each row's best ``top_n`` distinct partners from the other block
-   (self and same-id partners excluded, SEM-14). Only candidates leave the task.
+4. ``applyInPandas`` per block pair: read the rows batch by batch, normalise
+   once, one matrix product, and keep each row's best ``top_n`` distinct
+   partners from the other block (self and same-id partners excluded, SEM-14).
+   Only candidates leave the task, some rows at a time.
 5. Final ``row_number`` over (score key desc, matched id asc) per left row,
    after expanding each candidate by its multiplicity; then the summaries are
    looked up for the N·top_n result rows (one deduplicated lookup of the
@@ -25,6 +26,8 @@ tile, whatever N is.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -45,6 +48,8 @@ _CANDIDATE_SCHEMA = T.StructType([
     T.StructField("_key", T.DoubleType()),
 ])
 
+_PLAIN = ["_uid", "_m", "ticket_id", "issue_category"]
+
 # Scores are ranked on this many decimals so that equal vectors compare equal
 # whatever the block shape did to the last bits of the product (SEM-13).
 RANK_DECIMALS = 12
@@ -76,6 +81,15 @@ def _unit_rows(mat: np.ndarray) -> np.ndarray:
     return mat
 
 
+def _exceeding(scores: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the scores above their row's limit, found in the order the matrix lies in memory."""
+    if scores.flags.c_contiguous:
+        at, col = np.divmod(np.flatnonzero(scores > limit[:, None]), max(1, scores.shape[1]))
+    else:
+        col, at = np.divmod(np.flatnonzero(scores.T > limit), max(1, scores.shape[0]))
+    return at, col
+
+
 class _Best:
     """The ``top_n`` best partners of every row so far: key, score and place of each, best first; place -1 is a free one.
 
@@ -94,7 +108,7 @@ class _Best:
         n = len(scores)
         full = self.place[row:row + n, -1] >= 0
         # a score that rounds to a greater key exceeds the worst kept key by half a step at least
-        at, col = np.nonzero(scores > np.where(full, self.key[row:row + n, -1] + KEY_STEP / 4, np.inf)[:, None])
+        at, col = _exceeding(scores, np.where(full, self.key[row:row + n, -1] + KEY_STEP / 4, np.inf))
         differ = ids[at] != partner_ids[col]
         at, col = at[differ], col[differ]
         short = np.flatnonzero(~full)
@@ -125,9 +139,10 @@ class _Best:
         at, rank, order = at[kept], rank[kept], order[kept]
         self.key[at, rank], self.score[at, rank], self.place[at, rank] = key[order], score[order], place[order]
 
-    def frame(self, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """The kept pairs of ``left``'s rows with their partners in ``right``."""
-        rows, at = np.nonzero(self.place >= 0)
+    def frame(self, left: pd.DataFrame, right: pd.DataFrame, start: int = 0, end: int | None = None) -> pd.DataFrame:
+        """The kept pairs of ``left``'s rows (from ``start`` to before ``end``) with their partners in ``right``."""
+        rows, at = np.nonzero(self.place[start:end] >= 0)
+        rows += start
         cols = self.place[rows, at]
         return pd.DataFrame({
             "_uid": left["_uid"].to_numpy()[rows],
@@ -157,8 +172,8 @@ def _best_partners(left: pd.DataFrame, right: pd.DataFrame, scores: np.ndarray,
     return best.frame(left, right)
 
 
-def _block_pair(left: pd.DataFrame, right: pd.DataFrame, ul: np.ndarray, ur: np.ndarray, top_n: int,
-                chunk_rows: int, both: bool) -> list[pd.DataFrame]:
+def _score_blocks(left: pd.DataFrame, right: pd.DataFrame, ul: np.ndarray, ur: np.ndarray, top_n: int,
+                  chunk_rows: int, both: bool) -> tuple[_Best, _Best]:
     """Score at most ``chunk_rows`` left rows with at most SCORE_CELLS / ``chunk_rows`` right rows at a time; each product
     serves both directions when ``both``. Only the best so far stay from one product to the next."""
     lid, rid = _codes(left, right)
@@ -170,30 +185,59 @@ def _block_pair(left: pd.DataFrame, right: pd.DataFrame, ul: np.ndarray, ur: np.
             forward.offer(scores, lid[a:a + chunk_rows], rid[b:b + width], a, b)
             if both:
                 backward.offer(scores.T, rid[b:b + width], lid[a:a + chunk_rows], b, a)
+    return forward, backward
+
+
+def _block_pair(left: pd.DataFrame, right: pd.DataFrame, ul: np.ndarray, ur: np.ndarray, top_n: int,
+                chunk_rows: int, both: bool) -> list[pd.DataFrame]:
+    """The best pairs of two blocks, and of the second with the first when ``both``."""
+    forward, backward = _score_blocks(left, right, ul, ur, top_n, chunk_rows, both)
     found = [forward.frame(left, right)] + ([backward.frame(right, left)] if both else [])
     return [f for f in found if not f.empty]
 
 
+def _blocks_of(batches: Iterator[pd.DataFrame]) -> list[tuple[pd.DataFrame, np.ndarray]]:
+    """The one or two blocks of a group, as plain columns and unit vectors, in the order ties are settled in.
+
+    Every vector is held once: a batch's vectors are copied to their rows when all rows are known, and go."""
+    plain, vectors = [], []
+    for batch in batches:
+        # copies, as a view would keep the whole batch
+        plain.append(pd.DataFrame({c: batch[c].to_numpy(copy=True) for c in ("_blk", *_PLAIN)}))
+        vectors.append(_matrix(batch["embedding"], max((len(v) for v in batch["embedding"] if v is not None), default=0)))
+        del batch
+    rows = pd.concat(plain, ignore_index=True)
+    rows = rows.sort_values(["ticket_id", "_uid"], kind="mergesort", na_position="first")
+    dim = max(v.shape[1] for v in vectors)
+    sides, place = [], np.zeros(len(rows), np.int64)  # by place of arrival
+    for b in np.unique(rows["_blk"]):
+        mine = rows[rows["_blk"] == b]
+        place[mine.index] = np.arange(len(mine))
+        sides.append((b, mine[_PLAIN].reset_index(drop=True), np.zeros((len(mine), dim))))
+    blk = rows["_blk"].sort_index().to_numpy()
+    del rows
+    end = len(blk)
+    while vectors:
+        part = vectors.pop()
+        at = slice(end - len(part), end)
+        for b, _, mat in sides:
+            mine = blk[at] == b
+            mat[place[at][mine], :part.shape[1]] = part[mine]
+        end -= len(part)
+    return [(frame, _unit_rows(mat)) for _, frame, mat in sides]
+
+
 def _pair_kernel(top_n: int, chunk_rows: int):
-    columns = [f.name for f in _CANDIDATE_SCHEMA.fields]
-    plain = ["_uid", "_m", "ticket_id", "issue_category"]
-
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        bi, bj = int(pdf["_bi"].iloc[0]), int(pdf["_bj"].iloc[0])
-        pdf = pdf.sort_values(["ticket_id", "_uid"], kind="mergesort", na_position="first")
-        dim = int(max(len(v) if v is not None else 0 for v in pdf["embedding"]))
-        sides = []
-        for b in (bi,) if bi == bj else (bi, bj):
-            mine = (pdf["_blk"] == b).to_numpy()
-            if not mine.any():
-                return pd.DataFrame(columns=columns)
-            sides.append((pdf.loc[mine, plain].reset_index(drop=True), _unit_rows(_matrix(pdf["embedding"][mine], dim))))
-        del pdf
+    def kernel(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole = key[0] == key[1]
+        sides = _blocks_of(batches)
+        if len(sides) == 1 and not whole:  # the other block has no rows
+            return
         (left, ul), (right, ur) = sides[0], sides[-1]
-        parts = _block_pair(left, right, ul, ur, top_n, chunk_rows, both=bi != bj)
-        if not parts:
-            return pd.DataFrame(columns=columns)
-        return pd.concat(parts, ignore_index=True)[columns]
+        forward, backward = _score_blocks(left, right, ul, ur, top_n, chunk_rows, both=not whole)
+        for best, mine, other in ((forward, left, right), (backward, right, left))[:1 if whole else 2]:
+            for lo in range(0, len(mine), ROWS_AT_ONCE):
+                yield best.frame(mine, other, lo, lo + ROWS_AT_ONCE)
 
     return kernel
 

@@ -164,3 +164,47 @@ def test_block_pair_keeps_only_the_best_of_every_tile(monkeypatch):
             if not name.startswith("S") and np.isfinite(key[i, best[i]]).all():
                 assert names[name] == list(other["ticket_id"].to_numpy()[best[i]])
     assert len(got) == 3 * (len(left) + len(right))
+
+
+def test_blocks_are_read_batch_by_batch():
+    """A task holds every vector once, not the whole group's frames beside them; rows stand in the order ties are settled in."""
+    import tracemalloc
+
+    import pandas as pd
+
+    from caseloom.operators import similarity
+
+    rng, size, batches = np.random.default_rng(5), 2000, 20
+    odd = {3: None, 4: np.array([]), 5: np.array([1.0, np.nan]), 6: np.zeros(64)}
+
+    def frame(k):
+        vectors = [odd.get(i, v) if k == 0 else v for i, v in enumerate(np.random.default_rng(k).normal(size=(size, 64)))]
+        return pd.DataFrame({"_blk": rng.integers(0, 2, size) * 3 + 1, "_uid": np.arange(k * size, (k + 1) * size), "_m": 1,
+                             "ticket_id": [None if i == 9 else f"T{i * 7 % 500}" for i in range(size)], "issue_category": "X", "embedding": vectors})
+
+    tracemalloc.start()
+    got = similarity._blocks_of(frame(k) for k in range(batches))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * batches * size * 64 * 8  # with the frames it would be over 3
+    assert [len(f.columns) for f, _ in got] == [4, 4] and sum(len(f) for f, _ in got) == batches * size
+    for f, unit in got:
+        key = list(zip(f["ticket_id"].fillna(""), f["_uid"]))
+        assert key == sorted(key) and unit.shape == (len(f), 64)
+        for uid, row in list(zip(f["_uid"], unit))[::97]:
+            v = np.random.default_rng(uid // size).normal(size=(size, 64))[uid % size]
+            assert uid in odd or np.allclose(row, v / np.linalg.norm(v), atol=1e-15)
+        for uid, row in zip(f["_uid"], unit):
+            if uid in odd:
+                assert np.isnan(row).any() if uid == 5 else not row.any()
+
+
+def test_scores_above_a_limit_in_either_direction():
+    from caseloom.operators.similarity import _exceeding
+
+    scores = np.random.default_rng(6).normal(size=(7, 11))
+    scores[2, 3] = np.nan
+    for m in (scores, np.asfortranarray(scores), scores.T):
+        limit = np.linspace(-1, 1, len(m))
+        at, col = _exceeding(m, limit)
+        assert sorted(zip(at, col)) == sorted(zip(*np.nonzero(m > limit[:, None])))
