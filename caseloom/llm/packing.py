@@ -15,12 +15,14 @@ gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import uuid
 import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,17 +33,26 @@ from caseloom.llm.token_counts import byte_alphabet
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
 MEMO_ENTRIES = 800_000  # words whose ids a worker keeps; beyond it the memo starts anew
-TEXTS_AT_ONCE = 256
+CHARS_AT_ONCE = 4_000_000  # of the texts that are parted into words at a time; one longer text is taken alone
 MEMO_CHARS = 48
 RANK_BLOCK = 1 << 16  # ranks are joined to runs in blocks, so no join key holds more pieces than this
 RUNS_AT_ONCE = 1 << 20  # runs sent from the driver at a time
 
 
+def _below(text: str) -> bool:
+    """Whether lower case works alike on every character: none is U+0130 or beyond."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return max(text) < "\u0130"
+    return True
+
+
 def folded(text: str, special: re.Pattern | None = None) -> str:
     """The text in lower case where that is what the tokenizer does first anyway, and every character alike; else unchanged.
 
     The tokenizer parts its special strings off before that: a text in which folding would make another one, stays as it is."""
-    if not (text.isascii() or max(text) < "\u0130"):
+    if not (text.isascii() or _below(text)):
         return text
     low = text.lower()
     return text if special and low != text and special.findall(low) != special.findall(text) else low
@@ -51,13 +62,16 @@ class WordEncoder:
     """Ids of whole texts, put together from the ids of their blank-separated words.
 
     The tokenizer drops white space and never joins what white space parts, so the words of a text can be encoded
-    once each. New words of a batch are encoded in one call and parted again by their offsets.
+    once each. Arrow parts the texts of a batch into words and numbers the different ones; only these are looked up, and
+    the ids of all words are then taken from theirs by number. New words of a batch are encoded in one call and parted
+    again by their offsets.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.memo: dict[str, bytes] = {"": b""}
         self.marks = {mark: self.ids(mark) for mark in ",."}
         self.alphabet = byte_alphabet()
@@ -71,12 +85,14 @@ class WordEncoder:
         """Ids of a lower-case word of letters, with or without a comma or full stop, straight from the merges: it is one
         part (and the mark another) for the tokenizer, and the steps before change nothing. None for other words."""
         stem, mark = (word[:-1], word[-1]) if word[-1] in self.marks and len(word) > 1 else (word, "")
-        if not stem.isalpha() or max(stem) >= "\u0130" or stem != stem.lower():
+        plain = stem.isascii()
+        if not stem.isalpha() or not (plain or _below(stem)) or stem != stem.lower():
             return None
         ids = self.memo.get(stem) if mark else None
         if ids is None:
-            text = stem if stem.isascii() else "".join(map(self.alphabet.__getitem__, stem.encode()))
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(text)], "<u4").tobytes()
+            text = stem if plain else "".join(map(self.alphabet.__getitem__, stem.encode()))
+            tokens = self.model.tokenize(text)
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
             if mark:
                 self.memo[stem] = ids
         return ids + self.marks[mark] if mark else ids
@@ -101,22 +117,40 @@ class WordEncoder:
                 self.memo[word] = ids[at:end]
                 at = end
 
+    def known(self, words: list[str]) -> list[bytes]:
+        """The ids of different words, each looked up once; a word too long for the memo is encoded each time."""
+        ids = list(map(self.memo.get, words))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        new = [words[i] for i in missing if len(words[i]) <= MEMO_CHARS]
+        if len(self.memo) + len(new) > MEMO_ENTRIES:  # start anew with the words in use
+            self.memo = {"": b""} | {w: x for w, x in zip(words, ids) if x is not None}
+        self.learn(new)
+        for i in missing:
+            ids[i] = self.memo[words[i]] if len(words[i]) <= MEMO_CHARS else self.ids(words[i])
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [folded(t, self.special).replace("\n", " ").split(" ") for t in texts]
-        out = []
-        for lo in range(0, len(split), TEXTS_AT_ONCE):
-            some = split[lo:lo + TEXTS_AT_ONCE]
-            words = {w for w in set().union(*some) if len(w) <= MEMO_CHARS}
-            new = words - self.memo.keys()
-            if len(self.memo) + len(new) > MEMO_ENTRIES:  # start anew with the words in use
-                self.memo = {"": b""} | {w: self.memo[w] for w in words - new}
-            self.learn(list(new))
-            for parts in some:
-                try:
-                    out.append(b"".join(map(self.memo.__getitem__, parts)))
-                except KeyError:  # a long word, which the memo doesn't keep
-                    out.append(b"".join([self.memo[w] if w in self.memo else self.ids(w) for w in parts]))
-        return out
+        out, some, chars = [], [], 0
+        for text in texts:
+            if some and chars + len(text) > CHARS_AT_ONCE:
+                out += self._encode(some)
+                some, chars = [], 0
+            some.append(folded(text, self.special).replace("\n", " "))
+            chars += len(text)
+        return out + self._encode(some) if some else out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        parted = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        words = parted.flatten().dictionary_encode()
+        ids = self.known(words.dictionary.to_pylist())
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        code = words.indices.to_numpy()
+        size = sizes[code]
+        end = np.concatenate([[0], np.cumsum(size)])
+        tokens = pool[np.arange(end[-1]) + np.repeat((np.cumsum(sizes) - sizes)[code] - end[:-1], size)]
+        bounds = end[parted.offsets.to_numpy()]
+        return [tokens[lo:hi].tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])]
 
 
 _encoders: dict[str, WordEncoder] = {}
