@@ -64,16 +64,21 @@ def city_issue_hotspots(parts: DataFrame) -> DataFrame:
     return parts.groupBy("city", "issue_category").agg(*_added()).select("city", "issue_category", "ticket_count", _mean("delay_hours"))
 
 
-def order_numbers(ids: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def order_numbers(ids: DataFrame, known: DataFrame | None = None, by: Column | None = None) -> DataFrame:
     """order_id, number: a number for every different id. ``known`` keeps its numbers, new ids go on after them.
 
-    Store the result: the numbers follow how the ids happened to be dealt.
+    ``by``: numbers follow this column (an order's least value of it), so that orders of one day lie in few ranges of
+    numbers; a bitmap has the size of its range however few of its orders it holds. Store the result: the numbers follow
+    how the ids happened to be dealt.
     """
-    fresh = ids.select("order_id").where(F.col("order_id").isNotNull()).distinct()
+    rows = ids.where(F.col("order_id").isNotNull())
+    fresh = rows.select("order_id").distinct() if by is None else rows.groupBy("order_id").agg(F.min(by).alias("_by"))
     base = 0
     if known is not None:
         fresh = fresh.join(known.select("order_id"), "order_id", "left_anti")
         base = (known.agg(F.max("number")).first()[0] or -1) + 1
+    if by is not None:
+        fresh = fresh.sort("_by")
     numbered = materialize(fresh.select("order_id", (F.monotonically_increasing_id() + base).alias("number")))
     return numbered if known is None else known.select("order_id", "number").unionByName(numbered)
 

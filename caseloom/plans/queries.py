@@ -197,7 +197,7 @@ def city_issue_hotspots(spark, d):
 def weekly_issue_kpis(spark, d):
     """KPIs per week of the order and category, merged from daily parts: orders are counted once a week by their bitmaps."""
     m = materialize(_gold(spark, d).filter("has_ticket").select(*AGGREGATE_COLUMNS, "order_date"))
-    parts = materialize(mergeable.daily_parts(m, mergeable.order_numbers(m)))
+    parts = materialize(mergeable.daily_parts(m, mergeable.order_numbers(m, by=F.to_date("order_date"))))
     week = F.to_date(F.date_trunc("week", F.col("day"))).alias("week")
     out = mergeable.merged(parts, week, F.col("issue_category"))
     return out.withColumnsRenamed({"_k0": "week", "_k1": "issue_category"})

@@ -110,3 +110,25 @@ def test_daily_parts_merge_from_files(spark, mart, workdir):
     by_day = mergeable.merged(parts, F.col("day"), F.col("issue_category")).agg(F.sum("impacted_orders")).first()[0]
     assert by_day == days.agg(F.sum("n")).first()[0] + sum(want.values())
     assert mergeable.merged(parts.limit(0), F.col("issue_category")).collect() == []
+
+
+def test_orders_of_a_day_share_their_bitmaps(spark):
+    """Numbers that follow the day put a day's orders in one or two ranges, however many tasks numbered them."""
+    from pyspark.sql import functions as F
+
+    from caseloom.operators import mergeable
+
+    days, each = 20, 40
+    m = spark.range(days * each).repartition(16).select(
+        F.concat(F.lit("o"), F.col("id").cast("string")).alias("order_id"), F.expr(f"date_add(date'2024-01-01', cast(id % {days} as int))").alias("order_date"),
+        F.lit("A").alias("issue_category"), F.col("id").cast("string").alias("ticket_id"), F.lit(True).alias("has_ticket"),
+        *[F.lit(1.0).alias(c) for c in mergeable.MEANS]).withColumn("order_date", F.when(F.col("order_id") != "o7", F.col("order_date")))
+    m = m.unionByName(m.limit(5))
+    numbers = mergeable.order_numbers(m, by=F.to_date("order_date"))
+    assert numbers.count() == numbers.select("number").distinct().count() == numbers.select("order_id").distinct().count() == days * each
+    parts = mergeable.daily_parts(m, numbers)
+    assert parts.count() <= 2 * (days + 1)
+    got = mergeable.merged(parts, F.col("issue_category")).first()
+    assert (got["ticket_count"], got["impacted_orders"]) == (days * each + 5, days * each)
+    again = mergeable.order_numbers(m, known=numbers.limit(100), by=F.to_date("order_date"))
+    assert again.count() == again.select("order_id").distinct().count() == days * each
