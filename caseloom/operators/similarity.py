@@ -55,6 +55,7 @@ _PLAIN = ["_uid", "_m", "ticket_id", "issue_category"]
 RANK_DECIMALS = 12
 KEY_STEP = 10.0 ** -RANK_DECIMALS  # scores of one key lie no further apart
 SCORE_CELLS = 2_000_000  # doubles of one score matrix: 16 MB
+OFFER_CELLS = 250_000  # scores that are looked through at a time: where all tie, each takes some 100 bytes
 ROWS_AT_ONCE = 8192  # vectors that are copied and normalised at a time
 
 
@@ -104,7 +105,14 @@ class _Best:
         self.place = np.full((rows, top_n), -1, np.int64)
 
     def offer(self, scores: np.ndarray, ids: np.ndarray, partner_ids: np.ndarray, row: int, place: int) -> None:
-        """A matrix of scores of the rows from ``row`` on with the partners from ``place`` on; equal ids don't match."""
+        """A matrix of scores of the rows from ``row`` on with the partners from ``place`` on; equal ids don't match.
+
+        Some rows at a time, as every score of the matrix can be one to look at (ties, or each above the row's limit)."""
+        rows = max(1, OFFER_CELLS // max(1, scores.shape[1]))
+        for lo in range(0, len(scores), rows):
+            self._offer_rows(scores[lo:lo + rows], ids[lo:lo + rows], partner_ids, row + lo, place)
+
+    def _offer_rows(self, scores: np.ndarray, ids: np.ndarray, partner_ids: np.ndarray, row: int, place: int) -> None:
         n = len(scores)
         full = self.place[row:row + n, -1] >= 0
         # a score that rounds to a greater key exceeds the worst kept key by half a step at least

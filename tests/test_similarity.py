@@ -208,3 +208,25 @@ def test_scores_above_a_limit_in_either_direction():
         limit = np.linspace(-1, 1, len(m))
         at, col = _exceeding(m, limit)
         assert sorted(zip(at, col)) == sorted(zip(*np.nonzero(m > limit[:, None])))
+
+
+def test_scores_that_all_count_are_looked_through_some_rows_at_a_time():
+    """Where every score ties or beats its row's limit, a tile needs little beside itself, and the best are the first."""
+    import tracemalloc
+
+    from caseloom.operators.similarity import _Best
+
+    ones = np.ones((1024, 1953))
+    for scores in (ones, ones.T):
+        (n, m), ids = scores.shape, np.arange(max(scores.shape))
+        worse, best = scores - 2, _Best(n, 3)
+        tracemalloc.start()
+        best.offer(worse, ids[:n], ids[:m], 0, 0)  # ties: equal ids don't match
+        ties = best.place.copy()
+        best.offer(scores, ids[:n], -1 - ids[:m], 0, m)  # all above the limit
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 2.5 * ones.nbytes  # 12 times that when the whole tile was looked through at once
+        for i in (0, 1, 2, 3, 900, n - 1):
+            assert list(ties[i]) == [p for p in range(4) if p != i][:3]
+        assert (best.place == m + np.arange(3)).all() and (best.key == 1).all()
