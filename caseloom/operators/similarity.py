@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.config import materialize
+
 _CANDIDATE_SCHEMA = T.StructType([
     T.StructField("_uid", T.LongType()),
     T.StructField("_m", T.LongType()),
@@ -277,6 +279,7 @@ def _all_block_pairs(distinct: DataFrame, top_n: int, block_rows: int, num_block
     """Candidate pairs from every pair of hashed blocks."""
     if num_blocks is None:
         if n_rows is None:
+            distinct = materialize(distinct)  # counted, then read by the pairs
             n_rows = distinct.count()
         num_blocks = choose_blocks(n_rows, block_rows, distinct.sparkSession.sparkContext.defaultParallelism)
     b = int(num_blocks)
@@ -299,8 +302,9 @@ def top_matches(embeddings: DataFrame, enrichment: DataFrame | None = None, top_
     ``embeddings``: ticket_id, issue_category, embedding (array of numbers).
     ``enrichment``: ticket_id, customer_summary, next_best_action[, created_at]
     for the summary lookups; without it those columns are null.
-    ``n_rows``: an upper bound of the row count, used only to size the blocks;
-    when absent the input is counted (one extra pass).
+    ``n_rows``: an upper bound of the row count, used only to size the blocks (too
+    small a number makes them, and a task's memory, larger than ``block_rows``);
+    when absent the distinct rows are stored and counted.
     ``block_rows`` sets the replication (each row travels to N / block_rows
     block pairs; 100,000 rows of 64 doubles are 51 MB); ``chunk_rows`` and SCORE_CELLS bound a task's score matrix,
     independently of the block size.

@@ -78,12 +78,6 @@ def ticket_embeddings(spark, d, enrichment=None):
         "ticket_id", "order_id", "issue_category", "embedding")
 
 
-def _vector_count(spark, d):
-    # block sizing needs only the order of magnitude: the source table's row count
-    # (answered from Parquet footers) bounds the number of vectors
-    return analog.table(spark, d, "embeddings").count()
-
-
 def ticket_rule_enrichment(spark, d):
     """The default rules over the event tickets."""
     return enrich(silver_tickets(spark, d))
@@ -115,8 +109,8 @@ def learned_reply_accuracy(spark, d):
 
 def ticket_similarity(spark, d, enrichment=None):
     enrichment = enrichment if enrichment is not None else shared_enrichment(spark, d)
-    return similarity.top_matches(ticket_embeddings(spark, d, enrichment), enrichment, top_n=3,
-                                  n_rows=_vector_count(spark, d))
+    # no ``n_rows``: a vector meets every ticket of its id, so the vectors' number is no bound of the rows
+    return similarity.top_matches(ticket_embeddings(spark, d, enrichment), enrichment, top_n=3)
 
 
 def conversation_enrichment(spark, d):

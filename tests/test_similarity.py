@@ -230,3 +230,32 @@ def test_scores_that_all_count_are_looked_through_some_rows_at_a_time():
         for i in (0, 1, 2, 3, 900, n - 1):
             assert list(ties[i]) == [p for p in range(4) if p != i][:3]
         assert (best.place == m + np.arange(3)).all() and (best.key == 1).all()
+
+
+def test_blocks_are_sized_by_the_rows_that_are_compared(spark, workdir, monkeypatch):
+    """A vector meets every ticket of its id: tickets that share one make more rows than there are vectors, and copies make none."""
+    from datetime import datetime
+
+    from caseloom.operators import similarity
+    from caseloom.plans import queries
+
+    rng = np.random.default_rng(8)
+    vectors = [(i, [float(x) for x in rng.normal(size=8)], 0) for i in range(12)]
+    events = [(i, datetime(2024, 1, 1), i, "click", 20.0, '{"k": %d}' % k) for i in range(12) for k in (0, 1, 2, 3, 4, 4, 4)]
+    for name, rows, schema in (
+            ("embeddings", vectors, "vec_id long, embedding array<float>, label int"),
+            ("events", events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+            ("orders", [(i, i) for i in range(12)], "o_orderkey long, o_custkey long")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{workdir}/{name}.parquet")
+    sized, choose = [], similarity.choose_blocks
+
+    def seen(n_rows, block_rows, parallelism):
+        sized.append(n_rows)
+        return choose(n_rows, block_rows, parallelism)
+
+    monkeypatch.setattr(similarity, "choose_blocks", seen)
+    got = queries.ticket_similarity(spark, workdir)
+    assert sized == [60]  # 12 vectors x 5 categories
+    enrichment = queries.ticket_enrichment(spark, workdir)
+    want = similarity.top_matches(queries.ticket_embeddings(spark, workdir, enrichment), enrichment, top_n=3, num_blocks=1)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 12 * 7 * 3
